@@ -56,7 +56,7 @@ def classify_tab_lines(lines: DataFrame, max_friends: int | None = MAX_FRIENDS)
     )
     outcome = (
         F.when((F.col("line") == "") | F.col("line").startswith(COMMENT), "skipped")
-        .when(F.col("friends").isNull(), "malformed")
+        .when(~F.contains("line", F.lit(TAB)), "malformed")
         .when(_too_long(max_friends), "celebrity")
         .otherwise("processed")
     )
@@ -93,29 +93,35 @@ def clean_lists(adjacency: DataFrame) -> DataFrame:
 
 
 def _distinct_lists(adjacency: DataFrame, key: Sequence[str], max_friends: int | None) -> DataFrame:
-    """Each list once per key: sorted ``names`` and those met ``twice`` or more."""
-    kept = adjacency.filter(~_too_long(max_friends))
-    merged = kept.select(*key, F.array_sort("friends").alias("friends")).distinct()
-    return merged.select(
+    """Each list that has a pair, once per key: sorted ``names`` and those met ``twice``.
+
+    Every consumer starts from the one shuffle made here. Nothing that follows may be
+    pushed below it, or the consumers would no longer share it: hence the size as an
+    aggregate, and columns that cannot be null.
+    """
+    ordered = F.coalesce(F.sort_array("friends"), no_names())
+    kept = F.when(_too_long(max_friends), no_names()).otherwise(ordered)
+    merged = adjacency.select(*key, kept.alias("friends")).groupBy(*key, "friends")
+    sized = merged.agg(F.max(F.size("friends")).alias("size")).filter(F.col("size") > 1)
+    return sized.select(
         *key,
         "friends",
         F.array_distinct("friends").alias("names"),
         repeated_names(F.col("friends")).alias("twice"),
+        "size",
     )
 
 
 def _with_tiles(lists: DataFrame, block: int) -> DataFrame:
-    """A row per tile ``(i, j)``, ``i <= j``, of each list that has a pair.
+    """A row per tile ``(i, j)``, ``i <= j``, of each list.
 
     The block width grows with the list, so that the copied names stay few next to
-    the pairs made from them.
+    the pairs made from them. With repeats the last blocks may be empty.
     """
-    has_pair = (F.size("names") > 1) | (F.size("twice") > 0)
-    width = F.greatest(F.lit(block), F.ceil(F.sqrt(F.size("names")) * (block / 64)))
-    last = F.floor((F.size("names") - 1) / F.col("width"))
+    width = F.greatest(F.lit(block), F.ceil(F.sqrt(F.col("size")) * (block / 64)))
+    last = F.floor((F.col("size") - 1) / F.col("width"))
     return (
-        lists.filter(has_pair)
-        .withColumn("width", width.cast("int"))
+        lists.withColumn("width", width.cast("int"))
         .withColumn("last", last.cast("int"))
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("last"))))
         .withColumn("j", F.explode(F.sequence(F.col("i"), F.col("last"))))
@@ -228,9 +234,8 @@ def friend_list_intersection(
     """
     key = ["list_id"]
     lists = _distinct_lists(adjacency, [], max_friends)
-    lists = lists.select(
-        F.unhex(F.md5(F.array_join("friends", ","))).alias("list_id"), "names", "twice"
-    )
+    digest = F.coalesce(F.unhex(F.md5(F.array_join("friends", ","))), F.lit(b""))
+    lists = lists.withColumn("list_id", digest)
     pairs = _spread_pairs(lists, key, block, spread_above)
     pairs = pairs.select(*key, "i", "j", "f1", "f2", "parts", _part_of("list_id"))
 
