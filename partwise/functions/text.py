@@ -16,12 +16,13 @@ BLANK_CLASS = r"[\x00-\x20]*"
 
 
 def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(BLANKS))
+    """Spaces first: that trim is much the faster, and mostly leaves nothing to do."""
+    return F.btrim(F.trim(text), F.lit(BLANKS))
 
 
 def split_fields(text: Column, delimiter: str) -> Column:
     """Split on a one-character delimiter, without the trailing empty fields."""
-    return F.split(F.rtrim(text, F.lit(delimiter)), f"[{delimiter}]")
+    return F.split(F.rtrim(text, F.lit(delimiter)), "\\" + delimiter)
 
 
 def whole_number(text: Column) -> Column:

@@ -128,6 +128,12 @@ def _with_tiles(lists: DataFrame, block: int) -> DataFrame:
     )
 
 
+def _tasks(df: DataFrame) -> int:
+    """Tasks for the pairs: a fixed number, since the tiles are far smaller than their
+    pairs and adaptive execution would merge them by their own size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _pairs(lists: DataFrame, key: Sequence[str], block: int) -> DataFrame:
     """``f1 <= f2`` once for each list that holds both, with the key and the tile.
 
@@ -141,7 +147,7 @@ def _pairs(lists: DataFrame, key: Sequence[str], block: int) -> DataFrame:
         _with_tiles(lists, block)
         .select(*key, "i", "j", "twice", part("i").alias("left"), part("j").alias("right"))
         .withColumn("twice", F.when(same, F.array_intersect("left", "twice")).otherwise(no_names()))
-        .repartition(*key, "left", "right")
+        .repartition(_tasks(lists), *key, "left", "right")
     )
     start = F.col("at") + F.when(F.array_contains("twice", F.col("f1")), 1).otherwise(2)
     partners = F.when(same, F.slice("right", start, F.size("right"))).otherwise(F.col("right"))
@@ -152,15 +158,18 @@ def _pairs(lists: DataFrame, key: Sequence[str], block: int) -> DataFrame:
 
 
 def _popular_names(lists: DataFrame, spread_above: int) -> DataFrame:
-    """Names on more lists than ``spread_above``, with their list count in that unit.
+    """Codes of the names on more lists than ``spread_above``, with their ``parts``.
 
-    At most ``MAX_POPULAR`` names can each hold more than one part in ``MAX_POPULAR``
-    of all entries; asking for that too bounds the result whatever the data.
+    No more than ``MAX_POPULAR`` names can each hold over one part in ``MAX_POPULAR``
+    of all entries. Asking for that too bounds the result to so many pairs of numbers,
+    whatever the data. Two names with one code would only be spread more than needed.
     """
-    degrees = lists.select(F.explode("names").alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    # An outer explode, as a plain one adds a filter that hinders the shared shuffle.
+    codes = lists.select(F.explode_outer("names").alias("name")).select(F.xxhash64("name").alias("code"))
+    degrees = codes.groupBy("code").agg(F.count("*").alias("n"))
     share = degrees.agg((F.sum("n") / MAX_POPULAR).alias("share")).scalar()
     popular = degrees.filter((F.col("n") > spread_above) & (F.col("n") > share))
-    return popular.select("name", F.ceil(F.col("n") / spread_above).cast("int").alias("parts"))
+    return popular.select("code", F.ceil(F.col("n") / spread_above).cast("int").alias("parts"))
 
 
 def _spread_pairs(lists: DataFrame, key: Sequence[str], block: int, spread_above: int) -> DataFrame:
@@ -168,13 +177,17 @@ def _spread_pairs(lists: DataFrame, key: Sequence[str], block: int, spread_above
 
     The lists that hold both names are no more than those that hold the rarer one.
     """
-    # Bounded by MAX_POPULAR rows, hence the broadcasts.
+    # At most MAX_POPULAR rows of two numbers, hence the broadcasts.
     popular = F.broadcast(_popular_names(lists, spread_above))
-    first = popular.select(F.col("name").alias("f1"), F.col("parts").alias("parts1"))
-    second = popular.select(F.col("name").alias("f2"), F.col("parts").alias("parts2"))
+    first = popular.select(F.col("code").alias("code1"), F.col("parts").alias("parts1"))
+    second = popular.select(F.col("code").alias("code2"), F.col("parts").alias("parts2"))
     both = F.col("parts1").isNotNull() & F.col("parts2").isNotNull()
     parts = F.when(both, F.least("parts1", "parts2")).otherwise(1)
-    pairs = _pairs(lists, key, block).join(first, "f1", "left").join(second, "f2", "left")
+    pairs = (
+        _pairs(lists, key, block)
+        .join(first, F.xxhash64("f1") == F.col("code1"), "left")
+        .join(second, F.xxhash64("f2") == F.col("code2"), "left")
+    )
     return pairs.select(*key, "i", "j", "f1", "f2", parts.alias("parts"))
 
 
@@ -213,8 +226,10 @@ def common_friends(
     """
     lists = _distinct_lists(adjacency, ["user"], max_friends)
     pairs = _spread_pairs(lists, ["user"], block, spread_above)
-    members = F.array_sort(F.collect_set("user")).alias("members")
-    return pairs.select("f1", "f2", _part_of("user"), "user").groupBy("f1", "f2", "part").agg(members)
+    # Shuffled first and gathered once: a set union has nothing to gain from a map side.
+    group = ["f1", "f2", "part"]
+    rows = pairs.select("f1", "f2", _part_of("user"), "user").repartition(*group)
+    return rows.groupBy(*group).agg(F.sort_array(F.collect_set("user")).alias("members"))
 
 
 def friend_list_intersection(
@@ -269,7 +284,7 @@ def friend_list_intersection(
         .agg(F.count("*").alias("met"))
         .filter(F.col("met") == F.col("n"))
         .groupBy("f1", "f2")
-        .agg(F.array_sort(F.collect_list("name")).alias("members"))
+        .agg(F.sort_array(F.collect_list("name")).alias("members"))
     )
     return alone.unionByName(shared)
 
@@ -278,7 +293,6 @@ def graph_outcomes(lines: DataFrame, max_friends: int | None = MAX_FRIENDS) -> D
     """Lines per outcome, and the pairs that have a friend-list intersection."""
     classified = classify_tab_lines(lines, max_friends)
     outcomes = classified.groupBy("outcome").agg(F.count("*").alias("n"))
-    kept = classified.filter(F.col("outcome") == "processed").select("user", "friends")
-    pairs = friend_list_intersection(kept, max_friends).agg(F.count("*").alias("n"))
+    pairs = friend_list_intersection(parse_tab_lines(lines), max_friends).agg(F.count("*").alias("n"))
     found = pairs.filter(F.col("n") > 0).select(F.lit("pairs_with_members").alias("outcome"), "n")
     return outcomes.unionByName(found)

@@ -21,38 +21,47 @@ COUNTER_NAMES = {
 }
 
 
-def _fields(lines: DataFrame, trim_line: bool) -> DataFrame:
-    line = strip(F.col("value")) if trim_line else F.col("value")
-    return lines.select(line.alias("line")).withColumn("fields", split_fields(F.col("line"), DELIMITER))
-
-
-def _field(position: int) -> Column:
-    return strip(F.get(F.col("fields"), F.lit(position)))
+def _records(lines: DataFrame, trim_line: bool) -> DataFrame:
+    """The line and its five trimmed fields; a field that is missing is null.
 
+    One projection after the other, so that each line is split once.
+    """
+    line = strip(F.col("value")) if trim_line else F.col("value")
+    split = lines.select(line.alias("line")).select(
+        "line", split_fields(F.col("line"), DELIMITER).alias("fields")
+    )
+    named = [strip(F.get("fields", F.lit(i))).alias(name) for i, name in enumerate(FIELDS)]
+    return split.select("line", *named)
 
-def _is_record() -> Column:
-    return F.size("fields") > FIELDS.index("status")
 
+def parse_log(lines: DataFrame, threshold: int = ERROR_THRESHOLD, trim_line: bool = True) -> DataFrame:
+    """Five trimmed text fields and an outcome per line; a missing field is null.
 
-def _outcome(threshold: int) -> Column:
-    code = whole_number(_field(FIELDS.index("status")))
-    return (
+    ``lines`` has a ``value`` column, as ``spark.read.text`` gives it. Every line
+    stays: skipped and malformed ones are marked, not dropped.
+    """
+    coded = _records(lines, trim_line).withColumn("code", whole_number(F.col("status")))
+    outcome = (
         F.when((F.col("line") == "") | F.col("line").startswith(COMMENT), "skipped")
-        .when(~_is_record(), "malformed")
-        .when(code.isNull(), "invalid_code")
-        .when(code < threshold, "ok")
+        .when(F.col("status").isNull(), "malformed")
+        .when(F.col("code").isNull(), "invalid_code")
+        .when(F.col("code") < threshold, "ok")
         .otherwise("error")
     )
+    return coded.select(*FIELDS, outcome.alias("outcome"))
 
 
-def parse_log(lines: DataFrame, threshold: int = ERROR_THRESHOLD, trim_line: bool = True) -> DataFrame:
-    """Five trimmed text fields and an outcome per line; a missing field is null.
+def _error_status() -> Column:
+    return F.when(F.col("outcome") == "error", F.col("status")).alias("status")
 
-    ``lines`` has a ``value`` column, as ``spark.read.text`` gives it. Every line
-    stays: skipped and malformed ones are marked, not dropped.
+
+def _count_statuses(statuses: DataFrame) -> DataFrame:
+    """Lines per status text; lines without one count for nothing.
+
+    They are left out after the aggregation: a filter before it would have to work
+    out the status a second time, and they shuffle as a single row per task.
     """
-    fields = [_field(i).alias(name) for i, name in enumerate(FIELDS)]
-    return _fields(lines, trim_line).select(*fields, _outcome(threshold).alias("outcome"))
+    return statuses.groupBy("status").agg(F.count("status").alias("n")).filter(F.col("n") > 0)
 
 
 def log_summary(lines: DataFrame, threshold: int = ERROR_THRESHOLD) -> DataFrame:
@@ -61,9 +70,8 @@ def log_summary(lines: DataFrame, threshold: int = ERROR_THRESHOLD) -> DataFrame
     One scan with one small aggregation that holds both the error counts and the
     line outcomes, for a job that reports both.
     """
-    parsed = parse_log(lines, threshold)
-    status = F.when(F.col("outcome") == "error", F.col("status")).alias("status")
-    return parsed.select("outcome", status).groupBy("outcome", "status").agg(F.count("*").alias("n"))
+    parsed = parse_log(lines, threshold).select("outcome", _error_status())
+    return parsed.groupBy("outcome", "status").agg(F.count("*").alias("n"))
 
 
 def error_counts(lines: DataFrame, threshold: int = ERROR_THRESHOLD) -> DataFrame:
@@ -71,8 +79,7 @@ def error_counts(lines: DataFrame, threshold: int = ERROR_THRESHOLD) -> DataFram
 
     The key is the status text as written: ``0404``, ``+404`` and ``404`` differ.
     """
-    parsed = parse_log(lines, threshold)
-    return parsed.filter(F.col("outcome") == "error").groupBy("status").agg(F.count("*").alias("n"))
+    return _count_statuses(parse_log(lines, threshold).select(_error_status()))
 
 
 def line_outcomes(lines: DataFrame, threshold: int = ERROR_THRESHOLD) -> DataFrame:
@@ -82,9 +89,7 @@ def line_outcomes(lines: DataFrame, threshold: int = ERROR_THRESHOLD) -> DataFra
 
 def status_counts(lines: DataFrame) -> DataFrame:
     """Lines per status text of any kind, over untrimmed lines with enough fields."""
-    status = _field(FIELDS.index("status")).alias("status")
-    records = _fields(lines, trim_line=False).filter(_is_record())
-    return records.select(status).groupBy("status").agg(F.count("*").alias("n"))
+    return _count_statuses(_records(lines, trim_line=False).select("status"))
 
 
 def grep_lines(lines: DataFrame, pattern: str) -> DataFrame:

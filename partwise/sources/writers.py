@@ -12,6 +12,9 @@ from partwise.session import session_conf
 # Fixed value: the block size that a file should fill.
 BLOCK_BYTES = 128 * 1024 * 1024
 
+# However small the files, a task opens no more of them than this when it merges them.
+FILES_PER_TASK = 65_536
+
 
 def write_flat(df: DataFrame, path: str) -> None:
     """Parquet files in one folder; each task writes what it has, without a shuffle."""
@@ -37,11 +40,17 @@ def write_partitioned(
         rebalanced.write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
-def write_tsv(df: DataFrame, key: Column, value: Column, path: str, ordered: bool = True) -> None:
-    """``key<TAB>value`` lines, sorted by the key across the part files if wanted."""
+def write_tsv(
+    df: DataFrame, key: Column, value: Column, path: str, files: int | None = None
+) -> None:
+    """``key<TAB>value`` lines sorted by the key: across all part files, or, if a
+    number of ``files`` is given, within each of them.
+    """
     lines = df.select(key.cast("string").alias("key"), value.cast("string").alias("text"))
-    if ordered:
+    if files is None:
         lines = lines.orderBy("key")
+    else:
+        lines = lines.repartition(files, "key").sortWithinPartitions("key")
     lines.select(F.concat_ws("\t", "key", "text").alias("value")).write.mode("overwrite").text(path)
 
 
@@ -56,7 +65,7 @@ def compact_lines(spark: SparkSession, src: str, dst: str, target_bytes: int = B
     with session_conf(
         spark,
         spark__sql__files__maxPartitionBytes=target_bytes,
-        spark__sql__files__openCostInBytes=0,
+        spark__sql__files__openCostInBytes=target_bytes // FILES_PER_TASK,
         spark__sql__files__minPartitionNum=1,
     ):
         spark.read.text(src).write.mode("overwrite").text(dst)

@@ -133,6 +133,14 @@ def test_tsv_is_sorted_across_files_and_read_back(spark, tmp_path):
     assert text == "\t5\n0404\t7\n404\t2\nSTATUS\t1\na\t3\n"
 
 
+def test_tsv_sorted_within_files(spark, tmp_path):
+    df = spark.range(100).select(F.col("id").cast("string").alias("k"), "id")
+    writers.write_tsv(df, F.col("k"), F.col("id"), str(tmp_path / "tsv"), files=2)
+    parts = [p.read_text().splitlines() for p in (tmp_path / "tsv").glob("part-*")]
+    assert len(parts) == 2 and sum(map(len, parts)) == 100
+    assert all(part == sorted(part, key=lambda line: line.split("\t")[0]) for part in parts)
+
+
 def test_settings_are_put_back(spark):
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
