@@ -269,17 +269,14 @@ def friend_list_intersection(
     )
 
     place = [*key, "i", "j"]
+    has_rest = F.size("names") > F.when(F.col("f1") == F.col("f2"), 1).otherwise(2)
+    met = counted.join(_with_tiles(lists, block).select(*place, "names"), place).filter(has_rest)
     rest = without(F.col("names"), F.col("f1"), F.col("f2"))
-    met = counted.join(_with_tiles(lists, block).select(*place, "names"), place)
-    met = met.select("f1", "f2", "n", rest.alias("rest"))
-
-    alone = met.filter((F.col("n") == 1) & (F.size("rest") > 0)).select(
-        "f1", "f2", F.col("rest").alias("members")
-    )
+    alone = met.filter(F.col("n") == 1).select("f1", "f2", rest.alias("members"))
     # No more names than the shortest of the lists can be left in a group here.
     shared = (
         met.filter(F.col("n") > 1)
-        .select("f1", "f2", "n", F.explode("rest").alias("name"))
+        .select("f1", "f2", "n", F.explode_outer(rest).alias("name"))
         .groupBy("f1", "f2", "n", "name")
         .agg(F.count("*").alias("met"))
         .filter(F.col("met") == F.col("n"))
