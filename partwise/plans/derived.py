@@ -94,14 +94,20 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_folder(spark: SparkSession, sf_dir: str) -> str:
-    lines = log_lines(spark, sf_dir).select("value")
-    return written_once(spark, sf_dir, "log", lambda path: lines.write.text(path))
+    def write(path: str) -> None:
+        log_lines(spark, sf_dir).select("value").write.text(path)
+
+    return written_once(spark, sf_dir, "log", write)
 
 
 def small_log_files(spark: SparkSession, sf_dir: str) -> str:
     """The event lines as many small text files."""
-    lines = event_lines(spark, sf_dir).repartition(LINE_FILES, "line_no").select("value")
-    return written_once(spark, sf_dir, "small-log-files", lambda path: lines.write.text(path))
+
+    def write(path: str) -> None:
+        spread = event_lines(spark, sf_dir).repartition(LINE_FILES, "line_no")
+        spread.select("value").write.text(path)
+
+    return written_once(spark, sf_dir, "small-log-files", write)
 
 
 def adjacency_lines(spark: SparkSession, sf_dir: str, friend: str, sep: str) -> DataFrame:
@@ -118,21 +124,30 @@ def adjacency_lines(spark: SparkSession, sf_dir: str, friend: str, sep: str) ->
 
 def adjacency_folder(spark: SparkSession, sf_dir: str, friend: str, sep: str) -> str:
     label = f"{friend}-{'tab' if sep.isspace() else 'arrow'}"
-    lines = adjacency_lines(spark, sf_dir, friend, sep)
-    return written_once(spark, sf_dir, label, lambda path: lines.write.text(path))
 
+    def write(path: str) -> None:
+        adjacency_lines(spark, sf_dir, friend, sep).write.text(path)
 
-def trips_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Trips as CSV: no vendor for pending orders, no date before ``PICKUP_FROM``."""
+    return written_once(spark, sf_dir, label, write)
+
+
+def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trip per order: no vendor for pending ones, no date before ``PICKUP_FROM``."""
     status, date = F.col("o_orderstatus"), F.col("o_orderdate")
     vendor = F.when(status == "F", 1).when(status == "O", 2)
     pickup = F.when(date >= F.lit(PICKUP_FROM).cast("date"), F.date_format(date, PICKUP_PATTERN))
-    trips = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("trip_id"),
         vendor.alias("VendorID"),
         F.coalesce(pickup, F.lit("unknown")).alias("tpep_pickup_datetime"),
     )
-    return written_once(spark, sf_dir, "trips-csv", lambda path: trips.write.option("header", True).csv(path))
+
+
+def trips_csv(spark: SparkSession, sf_dir: str) -> str:
+    def write(path: str) -> None:
+        order_trips(spark, sf_dir).write.option("header", True).csv(path)
+
+    return written_once(spark, sf_dir, "trips-csv", write)
 
 
 def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,18 +155,17 @@ def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trips_flat(spark: SparkSession, sf_dir: str) -> str:
-    return written_once(
-        spark, sf_dir, "trips-flat", lambda path: write_flat(prepared_trips(spark, sf_dir), path)
-    )
+    def write(path: str) -> None:
+        write_flat(prepared_trips(spark, sf_dir), path)
+
+    return written_once(spark, sf_dir, "trips-flat", write)
 
 
 def trips_partitioned(spark: SparkSession, sf_dir: str) -> str:
-    return written_once(
-        spark,
-        sf_dir,
-        "trips-partitioned",
-        lambda path: write_partitioned(prepared_trips(spark, sf_dir), path, PARTITION_KEYS),
-    )
+    def write(path: str) -> None:
+        write_partitioned(prepared_trips(spark, sf_dir), path, PARTITION_KEYS)
+
+    return written_once(spark, sf_dir, "trips-partitioned", write)
 
 
 def _customers_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,27 +180,30 @@ def _customers_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def census_layout(spark: SparkSession, sf_dir: str) -> str:
     """Customers in ``r_name=…/n_name=…`` folders."""
-    people = _customers_by_place(spark, sf_dir)
-    return written_once(
-        spark, sf_dir, "census", lambda path: write_partitioned(people, path, ["r_name", "n_name"])
-    )
+
+    def write(path: str) -> None:
+        write_partitioned(_customers_by_place(spark, sf_dir), path, ["r_name", "n_name"])
+
+    return written_once(spark, sf_dir, "census", write)
 
 
 def utility_layout(spark: SparkSession, sf_dir: str) -> str:
     """Orders in ``r_name=…/month=…`` folders."""
-    orders = table(spark, sf_dir, "orders").withColumn("month", F.month("o_orderdate"))
-    people = _customers_by_place(spark, sf_dir).select("c_custkey", "r_name")
-    usage = orders.join(people, orders.o_custkey == people.c_custkey).select(
-        "o_orderkey", "o_totalprice", "r_name", "month"
-    )
-    return written_once(
-        spark, sf_dir, "utility", lambda path: write_partitioned(usage, path, ["r_name", "month"])
-    )
+
+    def write(path: str) -> None:
+        orders = table(spark, sf_dir, "orders").withColumn("month", F.month("o_orderdate"))
+        people = _customers_by_place(spark, sf_dir).select("c_custkey", "r_name")
+        usage = orders.join(people, orders.o_custkey == people.c_custkey)
+        usage = usage.select("o_orderkey", "o_totalprice", "r_name", "month")
+        write_partitioned(usage, path, ["r_name", "month"])
+
+    return written_once(spark, sf_dir, "utility", write)
 
 
 def machine_layout(spark: SparkSession, sf_dir: str) -> str:
     """Parts in ``p_type=…`` folders."""
-    parts = table(spark, sf_dir, "part")
-    return written_once(
-        spark, sf_dir, "machine", lambda path: write_partitioned(parts, path, ["p_type"])
-    )
+
+    def write(path: str) -> None:
+        write_partitioned(table(spark, sf_dir, "part"), path, ["p_type"])
+
+    return written_once(spark, sf_dir, "machine", write)

@@ -17,7 +17,7 @@ def scratch_root(spark: SparkSession) -> str:
     machine, so a temporary folder is a shared folder.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not context.master.startswith("local"):
