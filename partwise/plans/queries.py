@@ -225,20 +225,20 @@ def trips_count_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trips_count_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = spark.read.parquet(derived.trips_flat(spark, sf_dir))
+    flat = readers.read_prepared(spark, derived.trips_flat(spark, sf_dir))
     return trips.count_where(flat, trips.vendor_month(VENDOR, MONTH))
 
 
 @query
 def trips_count_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    partitioned = spark.read.parquet(derived.trips_partitioned(spark, sf_dir))
+    partitioned = readers.read_prepared(spark, derived.trips_partitioned(spark, sf_dir))
     return trips.count_where(partitioned, trips.vendor_month(VENDOR, MONTH))
 
 
 @query
 def trips_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The count as SQL text over the partitioned table."""
-    taxi = spark.read.parquet(derived.trips_partitioned(spark, sf_dir))
+    taxi = readers.read_prepared(spark, derived.trips_partitioned(spark, sf_dir))
     return spark.sql(
         "SELECT COUNT(*) AS n FROM {taxi} WHERE VendorID = {vendor} AND Month = {month}",
         taxi=taxi,
@@ -249,7 +249,7 @@ def trips_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trips_partition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    partitioned = spark.read.parquet(derived.trips_partitioned(spark, sf_dir))
+    partitioned = readers.read_prepared(spark, derived.trips_partitioned(spark, sf_dir))
     return partitioned.groupBy("VendorID", "Month").agg(F.count("*").alias("n"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 TRIP_SCHEMA = StructType(
     [
@@ -13,6 +13,13 @@ TRIP_SCHEMA = StructType(
         StructField("tpep_pickup_datetime", StringType()),
     ]
 )
+PREPARED_SCHEMA = StructType(
+    [
+        *TRIP_SCHEMA,
+        StructField("Pickup_Datetime", TimestampType()),
+        StructField("Month", IntegerType()),
+    ]
+)
 
 
 def read_trips(
@@ -29,6 +36,16 @@ def read_trips_as_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
+def read_prepared(
+    spark: SparkSession, path: str, schema: StructType | None = PREPARED_SCHEMA
+) -> DataFrame:
+    """Prepared trips from Parquet, flat or with keys in the folder names.
+
+    Without a schema Spark reads it from a file footer, in a job of its own.
+    """
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line (``value``) of a text file or a folder of them."""
     return spark.read.text(path)

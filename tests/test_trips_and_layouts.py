@@ -43,6 +43,11 @@ def test_prepare_keeps_typed_rows(spark, csv):
         assert found[0].Pickup_Datetime.hour == 23 and found[1].Pickup_Datetime.hour == 0
 
 
+def test_dates_are_parsed_once(spark, csv):
+    plan = plan_of(trips.prepare_trips(readers.read_trips(spark, csv)))
+    assert plan.count("gettimestamp") == 1 and "IsNotNull(VendorID)" in plan
+
+
 def test_three_layouts_agree_and_prune(spark, csv, tmp_path):
     prepared = trips.prepare_trips(readers.read_trips(spark, csv))
     flat, parts = str(tmp_path / "flat"), str(tmp_path / "parts")
@@ -52,8 +57,9 @@ def test_three_layouts_agree_and_prune(spark, csv, tmp_path):
     counts = {
         "csv": trips.count_where(as_text, trips.vendor_month("1", 1)),
         "flat": trips.count_where(spark.read.parquet(flat), trips.vendor_month(1, 1)),
-        "partitioned": trips.count_where(spark.read.parquet(parts), trips.vendor_month(1, 1)),
+        "partitioned": trips.count_where(readers.read_prepared(spark, parts), trips.vendor_month(1, 1)),
     }
+    assert set(spark.read.parquet(parts).dtypes) == set(readers.read_prepared(spark, parts).dtypes)
     assert {name: df.first().n for name, df in counts.items()} == dict.fromkeys(counts, 2)
     pruned = plan_of(counts["partitioned"])
     assert "PushedFilters: []" in pruned and "ReadSchema: struct<>" in pruned
