@@ -144,10 +144,10 @@ def _pairs(lists: DataFrame, key: Sequence[str], block: int) -> DataFrame:
 
     same = F.col("i") == F.col("j")
     tiles = (
-        _with_tiles(lists, block)
-        .select(*key, "i", "j", "twice", part("i").alias("left"), part("j").alias("right"))
+        _with_tiles(lists.withColumn("list", F.xxhash64(*key, "friends")), block)
+        .select("list", *key, "i", "j", "twice", part("i").alias("left"), part("j").alias("right"))
         .withColumn("twice", F.when(same, F.array_intersect("left", "twice")).otherwise(no_names()))
-        .repartition(_tasks(lists), *key, "left", "right")
+        .repartition(_tasks(lists), "list", "i", "j")
     )
     start = F.col("at") + F.when(F.array_contains("twice", F.col("f1")), 1).otherwise(2)
     partners = F.when(same, F.slice("right", start, F.size("right"))).otherwise(F.col("right"))
@@ -226,10 +226,9 @@ def common_friends(
     """
     lists = _distinct_lists(adjacency, ["user"], max_friends)
     pairs = _spread_pairs(lists, ["user"], block, spread_above)
-    # Shuffled first and gathered once: a set union has nothing to gain from a map side.
-    group = ["f1", "f2", "part"]
-    rows = pairs.select("f1", "f2", _part_of("user"), "user").repartition(*group)
-    return rows.groupBy(*group).agg(F.sort_array(F.collect_set("user")).alias("members"))
+    # A user on many lines is met once per task before the shuffle, and once after it.
+    members = F.sort_array(F.collect_set("user")).alias("members")
+    return pairs.select("f1", "f2", _part_of("user"), "user").groupBy("f1", "f2", "part").agg(members)
 
 
 def friend_list_intersection(

@@ -57,6 +57,12 @@ raw_status AS (
 _STATUS = f"WITH {_LOG} SELECT status, count(*) AS n FROM raw_status GROUP BY status"
 
 
+def _lists(friend: str) -> str:
+    return f"""SELECT CAST(l_orderkey AS VARCHAR) AS user,
+       string_agg(CAST({friend} AS VARCHAR), ',' ORDER BY CAST({friend} AS VARCHAR)) AS friends
+FROM lineitem GROUP BY l_orderkey"""
+
+
 def _graph(friend: str) -> str:
     return f"""
 entry AS (
@@ -131,9 +137,11 @@ SELECT outcome, CASE WHEN outcome = 'error' THEN status END AS status, count(*)
     "log_head": f"SELECT line_no, value FROM ({_EVENTS}) ORDER BY line_no LIMIT 10",
     "tsv_roundtrip": _STATUS,
     "compact_files": f"SELECT value FROM ({_EVENTS})",
-    "friend_lists": """SELECT CAST(l_orderkey AS VARCHAR) AS user,
-       string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS friends
-FROM lineitem GROUP BY l_orderkey""",
+    "compacted_size": f"""WITH total AS (SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes FROM ({_EVENTS}))
+SELECT 'before' AS stage, 40 AS files, bytes FROM total
+UNION ALL SELECT 'after', CAST(ceil(bytes / 134217728) AS BIGINT), bytes FROM total""",
+    "friend_lists": _lists("l_partkey"),
+    "friend_lists_arrow": _lists("l_suppkey"),
     "friend_pairs": f"WITH {_graph('l_suppkey')} SELECT u AS user, f1, f2 FROM pair",
     "common_friend_rows": _COMMON_ROWS,
     "common_friends": _members("true"),

@@ -127,6 +127,12 @@ def friend_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("user", F.array_join(F.array_sort("friends"), ",").alias("friends"))
 
 
+@query
+def friend_lists_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _by_supplier(spark, sf_dir)
+    return lines.select("user", F.array_join(F.array_sort("friends"), ",").alias("friends"))
+
+
 @query
 def friend_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.friend_pairs(_by_supplier(spark, sf_dir))

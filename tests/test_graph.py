@@ -107,8 +107,7 @@ def test_common_friends_of_both_formats(lines, cut):
     }
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("cut", CUTS)
+@pytest.mark.parametrize(("seed", "cut"), list(enumerate(CUTS)))
 def test_against_brute_force(adjacency, seed, cut):
     rows = random_graph(seed)
     df = adjacency(rows)
@@ -136,6 +135,11 @@ def test_spread_pairs_have_one_row_per_part(adjacency):
     assert [(r.part, r.members) for r in found if r.f1 == "a"] == [(0, ["v"])]
 
 
+def test_user_on_many_lines_is_one_member(adjacency):
+    rows = [("hot", ["a", "b", f"n{i}"]) for i in range(60)] + [("u", ["b", "a"])]
+    assert gathered(graph.common_friends(adjacency(rows))) == brute_common(rows)
+
+
 @pytest.mark.parametrize("cut", [{}, {"block": 16}])
 def test_long_list(adjacency, cut):
     names = [f"{i:04d}" for i in range(120)]
