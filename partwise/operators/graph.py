@@ -192,7 +192,7 @@ def _spread_pairs(lists: DataFrame, key: Sequence[str], block: int, spread_above
 
 
 def _part_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.col("parts")).cast("int").alias("part")
+    return F.pmod(F.xxhash64(key), F.col("parts")).cast("int")
 
 
 def friend_pairs(adjacency: DataFrame, max_friends: int | None = None, block: int = BLOCK) -> DataFrame:
@@ -228,7 +228,8 @@ def common_friends(
     pairs = _spread_pairs(lists, ["user"], block, spread_above)
     # A user on many lines is met once per task before the shuffle, and once after it.
     members = F.sort_array(F.collect_set("user")).alias("members")
-    return pairs.select("f1", "f2", _part_of("user"), "user").groupBy("f1", "f2", "part").agg(members)
+    rows = pairs.select("f1", "f2", _part_of("user").alias("part"), "user")
+    return rows.groupBy("f1", "f2", "part").agg(members)
 
 
 def friend_list_intersection(
@@ -243,45 +244,45 @@ def friend_list_intersection(
 
     Only the set of distinct lists matters, so a list is known by a digest of its
     text and the pair rows carry that instead of the list. A list is met again when
-    its pairs are known: a pair on one list takes the rest of it, and a pair on n
-    lists the names it meets n times.
+    its pairs are counted: a pair on one list takes the rest of it, and a pair on more
+    lists the names on all of them, first within each part and then over the parts.
     """
     key = ["list_id"]
     lists = _distinct_lists(adjacency, [], max_friends)
     digest = F.coalesce(F.unhex(F.md5(F.array_join("friends", ","))), F.lit(b""))
     lists = lists.withColumn("list_id", digest)
     pairs = _spread_pairs(lists, key, block, spread_above)
-    pairs = pairs.select(*key, "i", "j", "f1", "f2", "parts", _part_of("list_id"))
-
-    group = ["f1", "f2", "parts", "part"]
-    in_part = F.count("*").over(Window.partitionBy(*group))
-    whole = (
-        pairs.filter(F.col("parts") > 1)
-        .groupBy("f1", "f2", "parts")
-        .agg(F.count("*").alias("in_all"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    )
-    counted = (
-        pairs.withColumn("in_part", in_part)
-        .join(whole, group, "left")
-        .select(*key, "i", "j", "f1", "f2", F.coalesce("in_all", "in_part").alias("n"))
-    )
 
+    # Not by "parts" as well: filters on it would be pushed down and split the shuffle.
+    part = Window.partitionBy("f1", "f2", "part")
+    counted = pairs.withColumn("part", _part_of("list_id")).withColumn("n", F.count("*").over(part))
     place = [*key, "i", "j"]
-    has_rest = F.size("names") > F.when(F.col("f1") == F.col("f2"), 1).otherwise(2)
-    met = counted.join(_with_tiles(lists, block).select(*place, "names"), place).filter(has_rest)
+    met = counted.join(_with_tiles(lists, block).select(*place, "names"), place)
+
     rest = without(F.col("names"), F.col("f1"), F.col("f2"))
-    alone = met.filter(F.col("n") == 1).select("f1", "f2", rest.alias("members"))
-    # No more names than the shortest of the lists can be left in a group here.
-    shared = (
-        met.filter(F.col("n") > 1)
-        .select("f1", "f2", "n", F.explode_outer(rest).alias("name"))
-        .groupBy("f1", "f2", "n", "name")
+    has_rest = F.size("names") > F.when(F.col("f1") == F.col("f2"), 1).otherwise(2)
+    spread = F.col("parts") > 1
+    alone = met.filter(~spread & (F.col("n") == 1) & has_rest).select("f1", "f2", rest.alias("members"))
+
+    # Each list of a spread pair also holds a null, which thus is in all its parts.
+    names = F.when(spread, F.concat(rest, F.array(F.lit(None)))).otherwise(rest)
+    in_part = (
+        met.filter(spread | ((F.col("n") > 1) & has_rest))
+        .select("f1", "f2", "part", "n", F.explode_outer(names).alias("name"))
+        .groupBy("f1", "f2", "part", "n", "name")
         .agg(F.count("*").alias("met"))
         .filter(F.col("met") == F.col("n"))
-        .groupBy("f1", "f2")
-        .agg(F.sort_array(F.collect_list("name")).alias("members"))
     )
+    # No more names are left per part than on the shortest of its lists.
+    in_parts = in_part.groupBy("f1", "f2", "name").agg(F.count("*").alias("parts"))
+    gathered = in_parts.groupBy("f1", "f2").agg(
+        F.max("parts").alias("parts"), F.collect_list(F.struct("parts", "name")).alias("found")
+    )
+    everywhere = F.filter(
+        "found", lambda it: (it["parts"] == F.col("parts")) & it["name"].isNotNull()
+    )
+    members = F.sort_array(F.transform(everywhere, lambda it: it["name"]))
+    shared = gathered.select("f1", "f2", members.alias("members")).filter(F.size("members") > 0)
     return alone.unionByName(shared)
 
 

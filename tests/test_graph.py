@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -220,11 +221,12 @@ def test_outcomes(lines):
     }
 
 
-def test_source_is_scanned_once(spark, tmp_path):
+def test_source_is_scanned_and_pairs_are_shuffled_once(spark, tmp_path):
     path = str(tmp_path / "graph")
     spark.createDataFrame([(v,) for v in TAB_GRAPH], "value string").write.text(path)
     found = graph.friend_list_intersection(graph.parse_tab_lines(spark.read.text(path)))
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
-    assert final.count("FileScan text") == 1 and "ReusedExchange" in final
+    assert final.count("FileScan text") == 1
+    assert len(re.findall(r"\+- Exchange hashpartitioning\(f1#\d+, f2#\d+, part#\d+, ", final)) == 1
