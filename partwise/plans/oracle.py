@@ -171,6 +171,11 @@ SELECT "VendorID", "Month", count(*) AS n FROM prepared GROUP BY 1, 2""",
     "layout_counts": f"""WITH {_TRIPS},
 found AS (SELECT count(*) AS n FROM prepared WHERE "VendorID" = 1 AND "Month" = 1)
 SELECT layout, n FROM found, (VALUES ('csv'), ('flat'), ('partitioned')) v(layout)""",
+    # A rebalanced partition below the block size is one file.
+    "layout_health": f"""WITH {_TRIPS}
+SELECT DISTINCT CAST("VendorID" AS VARCHAR) AS "VendorID", CAST("Month" AS VARCHAR) AS "Month",
+       CAST(1 AS BIGINT) AS files, CAST(1 AS BIGINT) AS blocks, CAST(1 AS BIGINT) AS small_files, false AS fragmented
+FROM prepared""",
     "layout_partitions": f"""WITH {_TRIPS} SELECT DISTINCT "VendorID", "Month" FROM prepared""",
     "census_layout_count": f"SELECT count(*) AS n FROM {_PLACES} WHERE n_name = 'NATION_3'",
     "utility_layout_count": f"""SELECT count(*) AS n FROM {_PLACES} JOIN orders ON o_custkey = c_custkey

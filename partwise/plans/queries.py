@@ -290,6 +290,14 @@ def layout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.layout_audit(spark, derived.trips_partitioned(spark, sf_dir), trips.PARTITION_KEYS)
 
 
+@query
+def layout_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags of the audit, which do not depend on the exact bytes written."""
+    return layout_audit(spark, sf_dir).select(
+        *trips.PARTITION_KEYS, "files", "blocks", "small_files", "fragmented"
+    )
+
+
 @query
 def layout_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.keyed_inventory(

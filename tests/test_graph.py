@@ -10,6 +10,7 @@ import pytest
 
 from partwise.operators import graph
 
+# The small inputs whose results are known.
 TAB_GRAPH = ("A\tB,C,D", "B\tA,C,E", "C\tA,B,D", "D\tA,C", "E\tB")
 ARROW_GRAPH = ("A -> B,C,D", "B -> A,C", "C -> A,B,E", "D -> A", "E -> C")
 

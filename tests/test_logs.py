@@ -6,6 +6,7 @@ import pytest
 
 from partwise.operators import logs
 
+# The small inputs whose results are known.
 SPACED = """\
 2024-01-15 | 192.168.1.10 | /index.html | 200 | 2048
 2024-01-15 | 10.0.0.5     | /api/users  | 404 | 512
