@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {}
 # Fixed values of the registered queries.
 VENDOR, MONTH = 1, 1
 ERROR_PATTERN = r"\| 4[0-9][0-9] \|"
+# A low guard, so that it meets some lists: the longest has 13 names.
 FEW_FRIENDS = 6
 
 
