@@ -7,13 +7,25 @@ import tempfile
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from partwise.llm import minhash
+from partwise.llm import bpe, decontaminate, lattice, minhash, quality, secrets, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+#: The rules of op2: verdict, then host and path.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 _shipped: set[str] = set()
 
 
@@ -41,7 +53,78 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op2_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every address, by rule or by the class of its aliases."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op3_lattice_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of embeddings at cosine 0.9."""
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the alignment's score and place."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written into seekable bundles and read back."""
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: numbers of the base kinds, their digest, and all spans."""
+    rules = [*secrets.BASE, *secrets.MORE]
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), rules)
+    base = F.filter("found", lambda span: span["kind"] < len(secrets.BASE))
+
+    def number(kind: int) -> F.Column:
+        return F.size(F.filter("found", lambda span: span["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(secrets.as_text(base, rules), 256).alias("base_sha256"),
+        secrets.as_text(F.col("found"), rules).alias("spans"),
+    )
+
+
 @query
 def op9_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose two-word shingles agree to 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids, and of the bytes they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN).drop("text")
+    decoded = bpe.decode(encoded, VOCABULARY)
+    return decoded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )

@@ -1,8 +1,9 @@
 """Words of whole texts as arrays: byte spans, 64-bit hashes and shingles.
 
 The texts of an Arrow batch lie in one buffer, so words are found and hashed for many
-texts at once with numpy. A word is a run of bytes other than space and 0x09-0x0D, with
-A-Z taken as a-z; other letters are compared as they are.
+texts at once with numpy. A word is a run of bytes other than space and 0x09-0x0D (or, on
+request, other than ASCII marks too), with A-Z taken as a-z; other letters are compared as
+they are.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MARK = _SPACE.copy()
+_MARK[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -75,12 +78,12 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
-def split_words(texts: pa.Array) -> Words:
-    """The words of every text, with their hashes."""
+def split_words(texts: pa.Array, at_marks: bool = False) -> Words:
+    """The words of every text, with their hashes; ``at_marks`` splits at ASCII marks as well."""
     raw, text_starts = text_bytes(texts)
     n = len(raw)
     data = _LOWER[raw]
-    solid = ~_SPACE[raw]
+    solid = ~(_MARK if at_marks else _SPACE)[raw]
     inner = text_starts[(text_starts > 0) & (text_starts < n)]
     before = np.empty(n, bool)
     after = np.empty(n, bool)
