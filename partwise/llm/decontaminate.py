@@ -2,8 +2,8 @@
 
 1. Every run of ``GRAM`` words of a test item is looked up in the whole corpus, and the
    documents that hold it are counted.
-2. Of every ``STRETCH`` neighbouring runs of an item the ``SEEDS`` rarest are its seeds. The
-   choice is relative, so an item that was copied into very many documents keeps its seeds.
+2. Of every ``STRETCH`` neighbouring runs of an item the ``SEEDS`` rarest of those that occur
+   at all are its seeds. The choice is relative, so an item that was copied into very many documents keeps its seeds.
 3. Documents are cut into passages that overlap by more than the longest item; passages
    that hold a seed are joined to the items with that seed.
 4. Local alignment of the item's words with the passage scores what replaced, added and
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from partwise.llm.bits import BitTable
 from partwise.llm.common import drop_ids, settle
 from partwise.llm.words import chunks, gram_hashes, split_words
 
@@ -30,8 +31,6 @@ GRAM, STRETCH, SEEDS = 3, 4, 2
 PASSAGE_WORDS = 256
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST = 0.5
-#: The bit table has 2^26 bits (8 MB).
-_TABLE_WORDS = 1 << 20
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,23 +47,6 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["item_id", "words", "runs"])
 
 
-class _BitTable:
-    """Which of 2^26 residues occur; built by Spark, sent to the tasks."""
-
-    def __init__(self, runs: DataFrame):
-        cell = F.shiftrightunsigned("run", 6).bitwiseAND(_TABLE_WORDS - 1)
-        bit = F.expr("shiftleft(1L, cast(run & 63 as int))")
-        cells = runs.select(cell.alias("cell"), bit.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
-        bits = np.zeros(_TABLE_WORDS, np.uint64)
-        for row in cells.toLocalIterator():
-            bits[row["cell"]] = np.int64(row["bits"]).view(np.uint64)
-        self.bits = bits
-
-    def holds(self, runs: np.ndarray) -> np.ndarray:
-        cells = self.bits[((runs >> np.uint64(6)) & np.uint64(_TABLE_WORDS - 1)).astype(np.int64)]
-        return (cells >> (runs & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _inside(found, n: int) -> tuple[np.ndarray, np.ndarray]:
     """All runs of ``n`` words that lie within one text: their hashes and their texts."""
     runs = gram_hashes(found.hashes, n)
@@ -206,14 +188,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
         return spark.createDataFrame([], found)
 
     runs = items.select("item_id", F.posexplode("runs").alias("at", "run"))
-    table = spark.sparkContext.broadcast(_BitTable(runs.select("run")))
+    table = spark.sparkContext.broadcast(BitTable.of(runs.select("run")))
     counts = texts.select("text").mapInArrow(_count(table), "run long, n long").groupBy("run").agg(F.sum("n").alias("docs"))
-    counted = runs.join(counts, "run", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
+    counted = runs.join(counts, "run")
     stretch = Window.partitionBy("item_id", F.floor(F.col("at") / STRETCH)).orderBy("docs", "run", "at")
     rarest = counted.withColumn("rank", F.row_number().over(stretch)).where(F.col("rank") <= SEEDS)
-    seeds = settle(rarest.where("docs > 0").select("item_id", "run").distinct(), "seeds")
+    seeds = settle(rarest.select("item_id", "run").distinct(), "seeds")
 
-    chosen = spark.sparkContext.broadcast(_BitTable(seeds.select("run")))
+    chosen = spark.sparkContext.broadcast(BitTable.of(seeds.select("run")))
     margin = longest + longest // 4
     schema = f"doc_id {doc_kind}, start long, passage array<long>, runs array<long>"
     cut = texts.mapInArrow(_passages(chosen, margin), schema)

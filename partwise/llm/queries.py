@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import bpe, decontaminate, lattice, minhash, quality, secrets, urls, warc
+from partwise.llm import bpe, decontaminate, lattice, minhash, quality, secrets, suffixes, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,6 +110,18 @@ def op7_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without strings of 50 bytes that an earlier one has."""
+    return suffixes.drop_repeats(table(spark, sf_dir, "documents"), window=50).select(
+        "doc_id",
+        (F.length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"),
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op9_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose two-word shingles agree to 0.8."""
