@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partwise.llm.bits import BitTable
 from partwise.llm.common import settle
 from partwise.llm.components import components
 from partwise.llm.words import chunks, mix, shingle_sets, split_words
@@ -86,6 +87,16 @@ def _sign(words: int):
     return sign
 
 
+def _only(table):
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            held = table.value.holds(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(held))
+
+    return only
+
+
 def _list_shingles(words: int):
     def list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +196,7 @@ def near_duplicate_links(signed: DataFrame, sets_of, percent: int) -> DataFrame:
     sizes = sets.select("id", (F.length("shingles") / 8).cast("long").alias("size"))
     weights = stars.join(sizes, "id").groupBy("pivot").agg(F.sum("size").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int")
-    weights = weights.select("pivot", blocks.alias("blocks"))
+    weights = settle(weights.select("pivot", blocks.alias("blocks")), "blocks")
     members = stars.join(weights, "pivot").withColumn("is_pivot", F.col("id") == F.col("pivot"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     places = F.when(F.col("is_pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
@@ -241,7 +252,10 @@ def near_duplicates(
     members = named.join(classes, digest)
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+        # Texts that met no other leave before the join moves them.
+        table = docs.sparkSession.sparkContext.broadcast(BitTable.of(ids))
+        met = texts.mapInArrow(_only(table), texts.schema)
+        wanted = met.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
         listed = wanted.mapInArrow(_list_shingles(words), "id long, shingles binary")
         return listed.where(F.length("shingles") > 0)
 
