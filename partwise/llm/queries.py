@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import bpe, decontaminate, lattice, minhash, quality, secrets, suffixes, urls, warc
+from partwise.llm import bpe, decontaminate, lattice, lines, minhash, quality, secrets, suffixes, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,6 +84,12 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_similar_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that match an earlier line of the corpus to 0.8."""
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written into seekable bundles and read back."""
