@@ -8,7 +8,7 @@
     python -m partwise.jobs partition-trips           <csv>   <output>
     python -m partwise.jobs compare-layouts           <csv>   <output>
 
-``partition-trips`` writes ``<output>/flat`` and ``<output>/partitioned``;
+``partition-trips`` writes ``<output>/flat``, ``<output>/partitioned`` and ``<output>/audit``;
 ``compare-layouts`` times the selective count on the CSV and on both of them.
 """
 
@@ -17,19 +17,18 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from partwise.functions.lists import bracketed
 from partwise.operators import graph, layout, logs, trips
-from partwise.session import scratch_root
+from partwise.session import written
 from partwise.sources import readers, writers
 
 
 def error_count(spark: SparkSession, src: str, dst: str) -> DataFrame:
     """Write the error counts and give the line counters, all from one scan."""
-    scratch_root(spark)
-    summary = logs.log_summary(readers.read_lines(spark, src)).checkpoint()
+    summary = written(logs.log_summary(readers.read_lines(spark, src)), "log-summary")
     errors = summary.filter(F.col("outcome") == "error")
     writers.write_tsv(errors, F.col("status"), F.col("n"), dst)
     return _named(summary.groupBy("outcome").agg(F.sum("n").alias("n")), logs.COUNTER_NAMES)
@@ -42,21 +41,21 @@ def status_count(spark: SparkSession, src: str, dst: str) -> DataFrame:
 
 
 def friend_list_intersection(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Write ``(a,b)<TAB>[x, y]`` lines and give the line and pair counters."""
-    lines = readers.read_lines(spark, src)
-    pairs = graph.friend_list_intersection(graph.parse_tab_lines(lines))
+    """Write ``(a,b)<TAB>[x, y]`` lines and give the line and pair counters, from one scan."""
+    pairs, outcomes = graph.intersection_and_outcomes(readers.read_lines(spark, src))
     key = F.concat(F.lit("("), F.col("f1"), F.lit(","), F.col("f2"), F.lit(")"))
-    writers.write_tsv(pairs, key, bracketed(F.col("members")), dst)
-    outcomes = graph.classify_tab_lines(lines).groupBy("outcome").agg(F.count("*").alias("n"))
-    found = readers.read_lines(spark, dst).agg(F.count("*").alias("n"))
-    found = found.filter(F.col("n") > 0).select(F.lit("pairs_with_members").alias("outcome"), "n")
+    seen = Observation()
+    counted = pairs.observe(seen, F.count(F.lit(1)).alias("n"))
+    writers.write_tsv(counted, key, bracketed(F.col("members")), dst, per_file=True)
+    n = seen.get["n"]
+    found = spark.createDataFrame([("pairs_with_members", n)] if n else [], "outcome string, n bigint")
     return _named(outcomes.unionByName(found), graph.COUNTER_NAMES)
 
 
 def common_friends(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Write ``a,b<TAB>[x, y]`` lines."""
+    """Write ``a,b<TAB>[x, y]`` lines, a complete one for each pair."""
     pairs = graph.common_friends(graph.parse_arrow_lines(readers.read_lines(spark, src)))
-    writers.write_tsv(pairs, F.concat_ws(",", "f1", "f2"), bracketed(F.col("members")), dst)
+    writers.write_tsv(pairs, F.concat_ws(",", "f1", "f2"), bracketed(F.col("members")), dst, per_file=True)
     return readers.read_tsv(spark, dst, "pair", "members")
 
 
@@ -66,11 +65,16 @@ def compact(spark: SparkSession, src: str, dst: str) -> DataFrame:
 
 
 def partition_trips(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Write the prepared trips flat and partitioned; give the audit of the latter."""
-    prepared = trips.prepare_trips(readers.read_trips(spark, src, infer=True))
-    writers.write_flat(prepared, f"{dst}/flat")
-    writers.write_partitioned(prepared, f"{dst}/partitioned", trips.PARTITION_KEYS)
-    return layout.layout_audit(spark, f"{dst}/partitioned", trips.PARTITION_KEYS)
+    """Write the prepared trips flat and, from there, partitioned, and the audit of the latter.
+
+    The CSV is scanned once. The audit is also written to ``<output>/audit``.
+    """
+    writers.write_flat(trips.prepare_trips(readers.read_trips(spark, src)), f"{dst}/flat")
+    flat = readers.read_prepared(spark, f"{dst}/flat")
+    writers.write_partitioned(flat, f"{dst}/partitioned", trips.PARTITION_KEYS)
+    audit = layout.layout_audit(spark, f"{dst}/partitioned", trips.PARTITION_KEYS)
+    audit.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{dst}/audit")
+    return audit
 
 
 def compare_layouts(spark: SparkSession, src: str, dst: str) -> DataFrame:
@@ -119,7 +123,10 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("output")
     chosen = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(chosen.job).config("spark.ui.enabled", "false").getOrCreate()
-    JOBS[chosen.job](spark, chosen.input, chosen.output).show(truncate=False)
+    report = JOBS[chosen.job](spark, chosen.input, chosen.output)
+    print(*report.columns, sep="\t")
+    for row in report.toLocalIterator():  # all of it, a partition at a time
+        print(*row, sep="\t")
 
 
 if __name__ == "__main__":

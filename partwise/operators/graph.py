@@ -7,24 +7,24 @@ ends up in one task:
 * copies of a list are merged before any pair is made;
 * a list is cut into blocks, and every two blocks form a tile that is shuffled on
   its own, so the pairs of one long list are made by many tasks;
-* a pair of two popular names is spread over several groups.
+* the members of a pair on very many lists are gathered in parts first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partwise.functions.lists import no_names, repeated_names, split_names, without
 from partwise.functions.text import strip
+from partwise.session import written
 
-# Fixed values of the two line formats and of the guard against long lists.
+# Fixed values of the two line formats.
 TAB = "\t"
 ARROW = " -> "
 COMMENT = "#"
-MAX_FRIENDS = 10_000
 # The names under which a job reports how its lines fared.
 COUNTER_NAMES = {
     "malformed": "Lignes malformées",
@@ -35,17 +35,17 @@ COUNTER_NAMES = {
 
 # Names per block of a list; longer lists use larger blocks.
 BLOCK = 256
-# A name on more lists than this has its pairs with other such names spread.
-SPREAD_ABOVE = 1_000_000
-# No more names than this can be popular, whatever the data.
-MAX_POPULAR = 500_000
+# A pair on more lists than this is gathered in parts of about so many members.
+PART_MEMBERS = 1_000_000
+# Pairs that one task makes, about.
+TASK_PAIRS = 4_000_000
 
 
-def classify_tab_lines(lines: DataFrame, max_friends: int | None = MAX_FRIENDS) -> DataFrame:
+def classify_tab_lines(lines: DataFrame, max_friends: int | None = None) -> DataFrame:
     """``user<TAB>a,b,…`` lines with user, friends and an outcome per line.
 
     Outcomes: skipped (blank or comment), malformed (no tab), celebrity (more than
-    ``max_friends`` names, repeats included), processed.
+    ``max_friends`` names, repeats included; only if that is given), processed.
     """
     line = strip(F.col("value"))
     parts = lines.select(line.alias("line"), F.split(line, TAB, 2).alias("parts"))
@@ -65,7 +65,7 @@ def classify_tab_lines(lines: DataFrame, max_friends: int | None = MAX_FRIENDS)
 
 def parse_tab_lines(lines: DataFrame) -> DataFrame:
     """(user, friends) of the well-formed ``user<TAB>a,b,…`` lines."""
-    classified = classify_tab_lines(lines, max_friends=None)
+    classified = classify_tab_lines(lines)
     return classified.filter(F.col("outcome") == "processed").select("user", "friends")
 
 
@@ -92,24 +92,33 @@ def clean_lists(adjacency: DataFrame) -> DataFrame:
     return adjacency.withColumn("friends", without(F.array_distinct("friends"), F.lit("")))
 
 
-def _distinct_lists(adjacency: DataFrame, key: Sequence[str], max_friends: int | None) -> DataFrame:
-    """Each list that has a pair, once per key: sorted ``names`` and those met ``twice``.
+def _with_names(merged: DataFrame) -> DataFrame:
+    """Distinct ``names`` of the sorted ``friends``, those met ``twice``, and the ``size``."""
+    return merged.withColumns(
+        {
+            "names": F.array_distinct("friends"),
+            "twice": repeated_names(F.col("friends")),
+            "size": F.size("friends"),
+        }
+    ).filter(F.col("size") > 1)
 
-    Every consumer starts from the one shuffle made here. Nothing that follows may be
-    pushed below it, or the consumers would no longer share it: hence the size as an
-    aggregate, and columns that cannot be null.
-    """
+
+def _sorted_friends(max_friends: int | None) -> Column:
     ordered = F.coalesce(F.sort_array("friends"), no_names())
-    kept = F.when(_too_long(max_friends), no_names()).otherwise(ordered)
-    merged = adjacency.select(*key, kept.alias("friends")).groupBy(*key, "friends")
-    sized = merged.agg(F.max(F.size("friends")).alias("size")).filter(F.col("size") > 1)
-    return sized.select(
-        *key,
-        "friends",
-        F.array_distinct("friends").alias("names"),
-        repeated_names(F.col("friends")).alias("twice"),
-        "size",
-    )
+    return F.when(_too_long(max_friends), no_names()).otherwise(ordered)
+
+
+def _user_lists(adjacency: DataFrame, max_friends: int | None) -> DataFrame:
+    """Each list of a user that has a pair, once: ``names``, ``twice`` and a ``list`` number."""
+    merged = adjacency.select("user", _sorted_friends(max_friends).alias("friends")).distinct()
+    lists = _with_names(merged).select("user", "names", "twice", "size")
+    return written(lists.withColumn("list", F.monotonically_increasing_id()), "friend-lists")
+
+
+def _bare_lists(merged: DataFrame) -> DataFrame:
+    """Each distinct list that has a pair, with a ``list`` number, whoever it belongs to."""
+    lists = _with_names(merged.select("friends").distinct()).select("names", "twice", "size")
+    return written(lists.withColumn("list", F.monotonically_increasing_id()), "friend-lists")
 
 
 def _with_tiles(lists: DataFrame, block: int) -> DataFrame:
@@ -128,77 +137,42 @@ def _with_tiles(lists: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _tasks(df: DataFrame) -> int:
-    """Tasks for the pairs: a fixed number, since the tiles are far smaller than their
-    pairs and adaptive execution would merge them by their own size."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _tasks(lists: DataFrame) -> int:
+    """Tasks for the pairs, by their number: the tiles are far smaller than their pairs,
+    and adaptive execution would merge them by their own size."""
+    size = F.col("size").cast("double")
+    pairs = lists.agg(F.sum(size * size / 2)).head()[0] or 0
+    least = lists.sparkSession.sparkContext.defaultParallelism
+    return max(least, int(pairs // TASK_PAIRS) + 1)
 
 
-def _pairs(lists: DataFrame, key: Sequence[str], block: int) -> DataFrame:
-    """``f1 <= f2`` once for each list that holds both, with the key and the tile.
+def _pairs(lists: DataFrame, keep: Sequence[str], block: int) -> DataFrame:
+    """``f1 <= f2`` once for each list that holds both, with the columns to ``keep``.
 
     A name met twice in a list pairs with itself.
     """
+
     def part(index: str) -> Column:
         return F.slice("names", F.col(index) * F.col("width") + 1, F.col("width"))
 
     same = F.col("i") == F.col("j")
     tiles = (
-        _with_tiles(lists.withColumn("list", F.xxhash64(*key, "friends")), block)
-        .select("list", *key, "i", "j", "twice", part("i").alias("left"), part("j").alias("right"))
+        _with_tiles(lists, block)
+        .select("list", *[c for c in keep if c != "list"], "i", "j", "twice", part("i").alias("left"), part("j").alias("right"))
         .withColumn("twice", F.when(same, F.array_intersect("left", "twice")).otherwise(no_names()))
         .repartition(_tasks(lists), "list", "i", "j")
     )
     start = F.col("at") + F.when(F.array_contains("twice", F.col("f1")), 1).otherwise(2)
     partners = F.when(same, F.slice("right", start, F.size("right"))).otherwise(F.col("right"))
     return (
-        tiles.select(*key, "i", "j", "twice", "right", F.posexplode("left").alias("at", "f1"))
-        .select(*key, "i", "j", "f1", F.explode(partners).alias("f2"))
-    )
-
-
-def _popular_names(lists: DataFrame, spread_above: int) -> DataFrame:
-    """Codes of the names on more lists than ``spread_above``, with their ``parts``.
-
-    No more than ``MAX_POPULAR`` names can each hold over one part in ``MAX_POPULAR``
-    of all entries. Asking for that too bounds the result to so many pairs of numbers,
-    whatever the data. Two names with one code would only be spread more than needed.
-    """
-    # An outer explode, as a plain one adds a filter that hinders the shared shuffle.
-    codes = lists.select(F.explode_outer("names").alias("name")).select(F.xxhash64("name").alias("code"))
-    degrees = codes.groupBy("code").agg(F.count("*").alias("n"))
-    share = degrees.agg((F.sum("n") / MAX_POPULAR).alias("share")).scalar()
-    popular = degrees.filter((F.col("n") > spread_above) & (F.col("n") > share))
-    return popular.select("code", F.ceil(F.col("n") / spread_above).cast("int").alias("parts"))
-
-
-def _spread_pairs(lists: DataFrame, key: Sequence[str], block: int, spread_above: int) -> DataFrame:
-    """Pair rows with the number of ``parts`` their pair is spread over, nearly always 1.
-
-    The lists that hold both names are no more than those that hold the rarer one.
-    """
-    # At most MAX_POPULAR rows of two numbers, hence the broadcasts.
-    popular = F.broadcast(_popular_names(lists, spread_above))
-    first = popular.select(F.col("code").alias("code1"), F.col("parts").alias("parts1"))
-    second = popular.select(F.col("code").alias("code2"), F.col("parts").alias("parts2"))
-    both = F.col("parts1").isNotNull() & F.col("parts2").isNotNull()
-    parts = F.when(both, F.least("parts1", "parts2")).otherwise(1)
-    pairs = (
-        _pairs(lists, key, block)
-        .join(first, F.xxhash64("f1") == F.col("code1"), "left")
-        .join(second, F.xxhash64("f2") == F.col("code2"), "left")
+        tiles.select(*keep, "i", "j", "twice", "right", F.posexplode("left").alias("at", "f1"))
+        .select(*keep, "f1", F.explode(partners).alias("f2"))
     )
-    return pairs.select(*key, "i", "j", "f1", "f2", parts.alias("parts"))
-
-
-def _part_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.col("parts")).cast("int")
 
 
 def friend_pairs(adjacency: DataFrame, max_friends: int | None = None, block: int = BLOCK) -> DataFrame:
     """(user, f1, f2): the pairs of each friend list, ``f1 <= f2``, once per list."""
-    lists = _distinct_lists(adjacency, ["user"], max_friends)
-    return _pairs(lists, ["user"], block).select("user", "f1", "f2")
+    return _pairs(_user_lists(adjacency, max_friends), ["user"], block)
 
 
 def common_friend_rows(
@@ -216,80 +190,113 @@ def common_friends(
     adjacency: DataFrame,
     max_friends: int | None = None,
     block: int = BLOCK,
-    spread_above: int = SPREAD_ABOVE,
+    part_members: int = PART_MEMBERS,
 ) -> DataFrame:
-    """(f1, f2, part, members): the sorted users whose list holds both names.
+    """(f1, f2, members): the sorted users whose list holds both names, a row per pair.
 
-    One row per pair with part 0, except for two names that are each on more than
-    ``spread_above`` lists: their members are spread over several parts, all of
-    them kept.
+    Pairs are counted first. The rows of one on more than ``part_members`` lists are
+    gathered by a hash of the user in several tasks, before the parts become its row. A
+    pair whose members do not fit into a row is a case for :func:`common_friend_rows`.
     """
-    lists = _distinct_lists(adjacency, ["user"], max_friends)
-    pairs = _spread_pairs(lists, ["user"], block, spread_above)
-    # A user on many lines is met once per task before the shuffle, and once after it.
-    members = F.sort_array(F.collect_set("user")).alias("members")
-    rows = pairs.select("f1", "f2", _part_of("user").alias("part"), "user")
-    return rows.groupBy("f1", "f2", "part").agg(members)
+    pairs = friend_pairs(adjacency, max_friends, block)
+    counts = pairs.groupBy("f1", "f2").agg(F.count("*").alias("n")).filter(F.col("n") > part_members)
+    parts = F.ceil(F.col("n") / part_members).cast("int").alias("parts")
+    large = written(counts.select("f1", "f2", parts), "large-pairs")
+    # A user on many lists is met once per task before the shuffle, and once after it.
+    small = pairs.join(large, ["f1", "f2"], "left_anti").groupBy("f1", "f2")
+    gathered = small.agg(F.sort_array(F.collect_set("user")).alias("members"))
+    part = F.pmod(F.xxhash64("user"), F.col("parts")).alias("part")
+    spread = pairs.join(large, ["f1", "f2"]).select("f1", "f2", part, "user").repartition("f1", "f2", "part")
+    in_parts = spread.groupBy("f1", "f2", "part").agg(F.collect_set("user").alias("members"))
+    merged = in_parts.groupBy("f1", "f2").agg(F.sort_array(F.flatten(F.collect_list("members"))).alias("members"))
+    return gathered.unionByName(merged)
+
+
+def _rest(names: str) -> Column:
+    return without(F.col(names), F.col("f1"), F.col("f2"))
+
+
+def _lists_of_pairs(lists: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The pair rows, and per pair the number ``n`` of its lists with one of them.
+
+    Counting combines before the shuffle and needs no sort. ``size`` is that of the
+    shortest list, which for n = 1 is the list's own.
+    """
+    pairs = _pairs(lists, ["list", "size"], block)
+    met = pairs.groupBy("f1", "f2").agg(
+        F.count("*").alias("n"), F.min("list").alias("list"), F.min("size").alias("size")
+    )
+    return pairs, met
+
+
+def _names_on_all(lists: DataFrame, pairs: DataFrame, met: DataFrame) -> DataFrame:
+    """(f1, f2, name) for pairs on more than one list: the names on every one of them.
+
+    One list gives the candidates; only what the others share with it is counted.
+    """
+    more = met.filter(F.col("n") > 1).join(lists.select("list", F.col("names").alias("first")), "list")
+    more = more.select("f1", "f2", "n", _rest("first").alias("candidates")).filter(F.size("candidates") > 0)
+    rows = pairs.select("f1", "f2", "list").join(more, ["f1", "f2"]).join(lists.select("list", "names"), "list")
+    names = rows.select("f1", "f2", "n", F.explode(F.array_intersect("candidates", "names")).alias("name"))
+    counted = names.groupBy("f1", "f2", "n", "name").agg(F.count("*").alias("met"))
+    return counted.filter(F.col("met") == F.col("n")).select("f1", "f2", "name")
+
+
+def _has_rest() -> Column:
+    """Whether a list of ``size`` holds more than the pair; a name with itself is in it twice."""
+    return F.col("size") > 2
+
+
+def _intersections(lists: DataFrame, block: int) -> DataFrame:
+    pairs, met = _lists_of_pairs(lists, block)
+    alone = met.filter((F.col("n") == 1) & _has_rest()).select("f1", "f2", "list")
+    alone = alone.join(lists.select("list", "names"), "list").select("f1", "f2", _rest("names").alias("members"))
+    alone = alone.filter(F.size("members") > 0)
+    shared = _names_on_all(lists, pairs, met).groupBy("f1", "f2").agg(F.sort_array(F.collect_list("name")).alias("members"))
+    return alone.unionByName(shared)
 
 
 def friend_list_intersection(
-    adjacency: DataFrame,
-    max_friends: int | None = MAX_FRIENDS,
-    block: int = BLOCK,
-    spread_above: int = SPREAD_ABOVE,
+    adjacency: DataFrame, max_friends: int | None = None, block: int = BLOCK
 ) -> DataFrame:
     """(f1, f2, members): the names on every list that holds both, without the two.
 
     Pairs with no such name have no row. Not the same as :func:`common_friends`.
 
-    Only the set of distinct lists matters, so a list is known by a digest of its
-    text and the pair rows carry that instead of the list. A list is met again when
-    its pairs are counted: a pair on one list takes the rest of it, and a pair on more
-    lists the names on all of them, first within each part and then over the parts.
+    Only the set of distinct lists matters, so each is written once under a number, and
+    the pair rows carry that. A pair on one list takes the rest of it; only pairs on
+    more lists go back to their rows.
     """
-    key = ["list_id"]
-    lists = _distinct_lists(adjacency, [], max_friends)
-    digest = F.coalesce(F.unhex(F.md5(F.array_join("friends", ","))), F.lit(b""))
-    lists = lists.withColumn("list_id", digest)
-    pairs = _spread_pairs(lists, key, block, spread_above)
-
-    # Not by "parts" as well: filters on it would be pushed down and split the shuffle.
-    part = Window.partitionBy("f1", "f2", "part")
-    counted = pairs.withColumn("part", _part_of("list_id")).withColumn("n", F.count("*").over(part))
-    place = [*key, "i", "j"]
-    met = counted.join(_with_tiles(lists, block).select(*place, "names"), place)
-
-    rest = without(F.col("names"), F.col("f1"), F.col("f2"))
-    has_rest = F.size("names") > F.when(F.col("f1") == F.col("f2"), 1).otherwise(2)
-    spread = F.col("parts") > 1
-    alone = met.filter(~spread & (F.col("n") == 1) & has_rest).select("f1", "f2", rest.alias("members"))
-
-    # Each list of a spread pair also holds a null, which thus is in all its parts.
-    names = F.when(spread, F.concat(rest, F.array(F.lit(None)))).otherwise(rest)
-    in_part = (
-        met.filter(spread | ((F.col("n") > 1) & has_rest))
-        .select("f1", "f2", "part", "n", F.explode_outer(names).alias("name"))
-        .groupBy("f1", "f2", "part", "n", "name")
-        .agg(F.count("*").alias("met"))
-        .filter(F.col("met") == F.col("n"))
-    )
-    # No more names are left per part than on the shortest of its lists.
-    in_parts = in_part.groupBy("f1", "f2", "name").agg(F.count("*").alias("parts"))
-    gathered = in_parts.groupBy("f1", "f2").agg(
-        F.max("parts").alias("parts"), F.collect_list(F.struct("parts", "name")).alias("found")
-    )
-    everywhere = F.filter(
-        "found", lambda it: (it["parts"] == F.col("parts")) & it["name"].isNotNull()
-    )
-    members = F.sort_array(F.transform(everywhere, lambda it: it["name"]))
-    shared = gathered.select("f1", "f2", members.alias("members")).filter(F.size("members") > 0)
-    return alone.unionByName(shared)
+    return _intersections(_bare_lists(adjacency.select(_sorted_friends(max_friends).alias("friends"))), block)
 
 
-def graph_outcomes(lines: DataFrame, max_friends: int | None = MAX_FRIENDS) -> DataFrame:
-    """Lines per outcome, and the pairs that have a friend-list intersection."""
+def _classified_lists(lines: DataFrame, max_friends: int | None) -> tuple[DataFrame, DataFrame]:
+    """(outcome, n) of the lines and the distinct lists, from one scan."""
     classified = classify_tab_lines(lines, max_friends)
-    outcomes = classified.groupBy("outcome").agg(F.count("*").alias("n"))
-    pairs = friend_list_intersection(parse_tab_lines(lines), max_friends).agg(F.count("*").alias("n"))
-    found = pairs.filter(F.col("n") > 0).select(F.lit("pairs_with_members").alias("outcome"), "n")
-    return outcomes.unionByName(found)
+    used = F.when(F.col("outcome") == "processed", F.coalesce(F.sort_array("friends"), no_names()))
+    merged = classified.select("outcome", used.alias("friends")).groupBy("outcome", "friends")
+    merged = written(merged.agg(F.count("*").alias("n")), "graph-lines")
+    outcomes = merged.groupBy("outcome").agg(F.sum("n").alias("n"))
+    return outcomes, _bare_lists(merged.filter(F.col("friends").isNotNull()))
+
+
+def graph_outcomes(lines: DataFrame, max_friends: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Lines per outcome, and the pairs that have a friend-list intersection.
+
+    Whether a pair has one is all that is asked: no members are gathered.
+    """
+    outcomes, lists = _classified_lists(lines, max_friends)
+    pairs, met = _lists_of_pairs(lists, block)
+    distinct = lists.select("list", F.size("names").alias("names"))
+    alone = met.filter((F.col("n") == 1) & _has_rest()).join(distinct, "list")
+    wanted = F.when(F.col("f1") == F.col("f2"), 1).otherwise(2)
+    alone = alone.filter(F.col("names") > wanted).select("f1", "f2")
+    shared = _names_on_all(lists, pairs, met).select("f1", "f2").distinct()
+    found = alone.unionByName(shared).agg(F.count("*").alias("n")).filter(F.col("n") > 0)
+    return outcomes.unionByName(found.select(F.lit("pairs_with_members").alias("outcome"), "n"))
+
+
+def intersection_and_outcomes(lines: DataFrame, max_friends: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The friend-list intersection and (outcome, n) of the lines, from one scan."""
+    outcomes, lists = _classified_lists(lines, max_friends)
+    return _intersections(lists, BLOCK), outcomes

@@ -97,6 +97,6 @@ def grep_lines(lines: DataFrame, pattern: str) -> DataFrame:
     return lines.filter(F.col("value").rlike(pattern))
 
 
-def head_lines(lines: DataFrame, n: int = 10, order_by: str | None = None) -> DataFrame:
-    """The first lines, in file order or by a line number column."""
-    return lines.limit(n) if order_by is None else lines.orderBy(order_by).limit(n)
+def head_lines(lines: DataFrame, order_by: str, n: int = 10) -> DataFrame:
+    """The first lines by a line number column; ``readers.first_lines`` has them in file order."""
+    return lines.orderBy(order_by).limit(n)

@@ -6,7 +6,7 @@ Every row of a source table has its part in the derived data:
   irregular lines (odd codes, too few fields, comments, blanks);
 * friend lists: the suppliers, or the parts, of each order, repeats included;
   suppliers, nations and regions add comments, lines without a list and blanks;
-* trips: a trip per order.
+* trips: a trip per order; the pickup of every 97th order key is junk.
 """
 
 from __future__ import annotations
@@ -23,10 +23,13 @@ from partwise.sources.readers import read_trips
 from partwise.sources.writers import write_flat, write_partitioned
 
 # Fixed values of the derived data.
-PICKUP_FROM = "1995-02-01"
-LINE_FILES = 40
+TRIP_KINDS = {"trip_id": "bigint", "VendorID": "int"}
+JUNK_EVERY = 97
+LINES_PER_FILE = 250
+EVENT_KEYS = ("event_type",)
 
 _written: dict[tuple[str, str, str], str] = {}
+_locks: dict[tuple[str, str, str], Lock] = {}
 _lock = Lock()
 
 
@@ -38,13 +41,13 @@ def written_once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[
     """Path of a dataset under the shared scratch folder, written at first use."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
     with _lock:
-        path = _written.get(key)
-    if path is None:
-        path = new_scratch_path(spark, label)
-        write(path)
-        with _lock:
+        own = _locks.setdefault(key, Lock())
+    with own:  # a second caller waits for the first to write
+        if key not in _written:
+            path = new_scratch_path(spark, label)
+            write(path)
             _written[key] = path
-    return path
+        return _written[key]
 
 
 def _piped(*parts: Column | str) -> Column:
@@ -101,18 +104,48 @@ def log_folder(spark: SparkSession, sf_dir: str) -> str:
 
 
 def small_log_files(spark: SparkSession, sf_dir: str) -> str:
-    """The event lines as many small text files."""
+    """The access log as many small text files, of about ``LINES_PER_FILE`` lines."""
 
     def write(path: str) -> None:
-        spread = event_lines(spark, sf_dir).repartition(LINE_FILES, "line_no")
-        spread.select("value").write.text(path)
+        lines = log_lines(spark, sf_dir)
+        files = -(-lines.count() // LINES_PER_FILE)
+        lines.repartition(max(1, files), "kind", "line_no").select("value").write.text(path)
 
     return written_once(spark, sf_dir, "small-log-files", write)
 
 
+def ordered_log(spark: SparkSession, sf_dir: str) -> str:
+    """The event lines by their number, in files whose names follow that order."""
+
+    def write(path: str) -> None:
+        event_lines(spark, sf_dir).orderBy("line_no").select("value").write.text(path)
+
+    return written_once(spark, sf_dir, "ordered-log", write)
+
+
+def event_layout(spark: SparkSession, sf_dir: str) -> str:
+    """The event lines as text in ``event_type=…/part=…`` folders, a file in each."""
+
+    def write(path: str) -> None:
+        events = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("user_id") % 3).alias("part"))
+        lines = event_lines(spark, sf_dir).join(events, F.col("line_no") == F.col("event_id"))
+        lines = lines.select("value", "event_type", "part").repartition("event_type", "part")
+        lines.write.partitionBy("event_type", "part").text(path)
+
+    return written_once(spark, sf_dir, "event-layout", write)
+
+
 def adjacency_lines(spark: SparkSession, sf_dir: str, friend: str, sep: str) -> DataFrame:
-    """``order<sep>friend,friend,…`` lines, a friend for each line item of the order."""
+    """``order<sep>friend,friend,…`` lines, a friend for each line item of the order.
+
+    As ``kinds`` the friends are the parts with their brands and types, so that many
+    pairs are on several lists.
+    """
     items = table(spark, sf_dir, "lineitem")
+    if friend == "kinds":
+        items = items.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        each = F.array(F.col("l_partkey").cast("string"), F.col("p_brand"), F.col("p_type"))
+        items = items.select("l_orderkey", F.explode(each).alias("kinds"))
     names = F.array_join(F.sort_array(F.collect_list(F.col(friend).cast("string"))), ",")
     lists = items.groupBy("l_orderkey").agg(names.alias("names"))
     lines = lists.select(F.concat(F.col("l_orderkey").cast("string"), F.lit(sep), F.col("names")).alias("value"))
@@ -132,10 +165,10 @@ def adjacency_folder(spark: SparkSession, sf_dir: str, friend: str, sep: str) ->
 
 
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A trip per order: no vendor for pending ones, no date before ``PICKUP_FROM``."""
+    """A trip per order: no vendor for pending ones, no date for every ``JUNK_EVERY``-th key."""
     status, date = F.col("o_orderstatus"), F.col("o_orderdate")
     vendor = F.when(status == "F", 1).when(status == "O", 2)
-    pickup = F.when(date >= F.lit(PICKUP_FROM).cast("date"), F.date_format(date, PICKUP_PATTERN))
+    pickup = F.when(F.col("o_orderkey") % JUNK_EVERY != 0, F.date_format(date, PICKUP_PATTERN))
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("trip_id"),
         vendor.alias("VendorID"),
@@ -151,7 +184,7 @@ def trips_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_trips(read_trips(spark, trips_csv(spark, sf_dir)))
+    return prepare_trips(read_trips(spark, trips_csv(spark, sf_dir), TRIP_KINDS))
 
 
 def trips_flat(spark: SparkSession, sf_dir: str) -> str:
@@ -163,7 +196,8 @@ def trips_flat(spark: SparkSession, sf_dir: str) -> str:
 
 def trips_partitioned(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
-        write_partitioned(prepared_trips(spark, sf_dir), path, PARTITION_KEYS)
+        flat = spark.read.parquet(trips_flat(spark, sf_dir))
+        write_partitioned(flat, path, PARTITION_KEYS)
 
     return written_once(spark, sf_dir, "trips-partitioned", write)
 

@@ -1,7 +1,6 @@
 """SQL twins of the registered queries, for DuckDB over the given tables.
 
 They derive the same lines from the tables and apply the rules in SQL's own way.
-Queries about files, bytes or seconds have no twin.
 """
 
 from __future__ import annotations
@@ -74,20 +73,25 @@ pair AS (
 """
 
 
-def _intersection(condition: str) -> str:
+_PARTS = "SELECT l_orderkey AS u, CAST(l_partkey AS VARCHAR) AS f FROM lineitem"
+_KINDS = f"""{_PARTS}
+  UNION ALL SELECT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey
+  UNION ALL SELECT l_orderkey, p_type FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+
+def _intersection(friends: str) -> str:
     return f"""
-entry AS (
-  SELECT l_orderkey AS u, CAST(l_partkey AS VARCHAR) AS f, count(*) AS times
-  FROM lineitem GROUP BY 1, 2),
-kept AS (SELECT u FROM entry GROUP BY u HAVING {condition}),
+entry AS (SELECT u, f, count(*) AS times FROM ({friends}) GROUP BY 1, 2),
+same AS (SELECT u, string_agg(f || ':' || times, ',' ORDER BY f) AS list FROM entry GROUP BY u),
+one AS (SELECT min(u) AS u FROM same GROUP BY list),
+kept AS (SELECT entry.* FROM entry SEMI JOIN one USING (u)),
 pair AS (
-  SELECT a.u, a.f AS f1, b.f AS f2 FROM entry a JOIN entry b ON a.u = b.u AND a.f < b.f
-  UNION ALL SELECT u, f, f FROM entry WHERE times > 1),
-kept_pair AS (SELECT * FROM pair SEMI JOIN kept USING (u)),
-lists AS (SELECT f1, f2, count(*) AS n FROM kept_pair GROUP BY 1, 2),
+  SELECT a.u, a.f AS f1, b.f AS f2 FROM kept a JOIN kept b ON a.u = b.u AND a.f < b.f
+  UNION ALL SELECT u, f, f FROM kept WHERE times > 1),
+lists AS (SELECT f1, f2, count(*) AS n FROM pair GROUP BY 1, 2),
 met AS (
   SELECT p.f1, p.f2, e.f AS name, count(*) AS met
-  FROM kept_pair p JOIN entry e ON e.u = p.u AND e.f NOT IN (p.f1, p.f2) GROUP BY 1, 2, 3),
+  FROM pair p JOIN kept e ON e.u = p.u AND e.f NOT IN (p.f1, p.f2) GROUP BY 1, 2, 3),
 found AS (
   SELECT m.f1, m.f2, '[' || string_agg(m.name, ', ' ORDER BY m.name) || ']' AS members
   FROM met m JOIN lists l ON l.f1 = m.f1 AND l.f2 = m.f2 AND l.n = m.met GROUP BY 1, 2)
@@ -95,7 +99,15 @@ found AS (
 
 
 _COMMON_ROWS = f"WITH {_graph('l_suppkey')} SELECT f1, f2, u AS member FROM pair"
-_INTERSECTION = f"WITH {_intersection('sum(times) <= 10000')} SELECT f1, f2, members FROM found"
+_INTERSECTION = f"WITH {_intersection(_PARTS)} SELECT f1, f2, members FROM found"
+
+
+def _outcomes(friends: str) -> str:
+    return f"""WITH {_intersection(friends)}
+SELECT 'skipped' AS outcome, (SELECT count(*) FROM supplier) + (SELECT count(*) FROM region) AS n
+UNION ALL SELECT 'malformed', count(*) FROM nation
+UNION ALL SELECT 'processed', count(DISTINCT l_orderkey) FROM lineitem
+UNION ALL SELECT 'pairs_with_members', count(*) FROM found"""
 
 
 def _members(condition: str) -> str:
@@ -108,7 +120,7 @@ _TRIPS = """
 trips AS (
   SELECT o_orderkey AS trip_id,
          CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS "VendorID",
-         CASE WHEN o_orderdate >= DATE '1995-02-01' THEN strftime(o_orderdate, '%m/%d/%Y %I:%M:%S %p')
+         CASE WHEN o_orderkey % 97 <> 0 THEN strftime(o_orderdate, '%m/%d/%Y %I:%M:%S %p')
               ELSE 'unknown' END AS tpep_pickup_datetime
   FROM orders),
 dated AS (SELECT *, try_strptime(tpep_pickup_datetime, '%m/%d/%Y %I:%M:%S %p') AS picked_up FROM trips),
@@ -123,6 +135,17 @@ FROM prepared"""
 _COUNT = f"""WITH {_TRIPS} SELECT count(*) AS n FROM prepared WHERE "VendorID" = 1 AND "Month" = 1"""
 _PLACES = "nation JOIN region ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey"
 
+# A file per event type and remainder of the user; a line takes its bytes and a line end.
+_AUDIT = f"""WITH file AS (
+  SELECT event_type, CAST(sum(strlen(lines.value) + 1) AS BIGINT) AS length
+  FROM ({_EVENTS}) lines JOIN events ON line_no = event_id GROUP BY event_type, user_id % 3),
+audit AS (
+  SELECT event_type, count(*) AS files, CAST(sum(length) AS BIGINT) AS bytes, avg(length) AS mean_bytes,
+         max(length) AS max_bytes, CAST(sum(greatest(ceil(length / 16384), 1)) AS BIGINT) AS blocks,
+         count(*) FILTER (length < 16384) AS small_files,
+         sum(greatest(ceil(length / 16384), 1)) > greatest(ceil(sum(length) / 16384), 1) AS fragmented
+  FROM file GROUP BY event_type)"""
+
 ORACLE: dict[str, str] = {
     "http_error_count": f"""WITH {_LOG}
 SELECT status, count(*) AS n FROM parsed WHERE outcome = 'error' GROUP BY status""",
@@ -134,27 +157,32 @@ SELECT status, count(*) AS n FROM parsed WHERE outcome = 'error' AND code >= 500
 SELECT outcome, CASE WHEN outcome = 'error' THEN status END AS status, count(*) AS n FROM parsed GROUP BY 1, 2""",
     "log_fields": f"WITH {_LOG} SELECT date, ip, url, status, size, outcome FROM parsed",
     "error_lines": rf"WITH {_LOG} SELECT value FROM log WHERE regexp_matches(value, '\| 4[0-9][0-9] \|')",
-    "log_head": f"SELECT line_no, value FROM ({_EVENTS}) ORDER BY line_no LIMIT 10",
+    "log_head": f"""SELECT row_number() OVER (ORDER BY line_no) AS line_no, value FROM ({_EVENTS})
+ORDER BY 1 LIMIT 10""",
+    "log_head_by_number": f"SELECT line_no, value FROM ({_EVENTS}) ORDER BY line_no LIMIT 10",
+    "overwritten_counts": f"""WITH {_LOG}
+SELECT status, count(*) AS n FROM parsed WHERE outcome = 'error' GROUP BY status""",
     "tsv_roundtrip": _STATUS,
-    "compact_files": f"SELECT value FROM ({_EVENTS})",
-    "compacted_size": f"""WITH total AS (SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes FROM ({_EVENTS}))
-SELECT 'before' AS stage, 40 AS files, bytes FROM total
+    "compact_files": f"WITH {_LOG} SELECT value FROM log",
+    "compacted_size": f"""WITH {_LOG},
+total AS (SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes, count(*) AS n FROM log)
+SELECT 'before' AS stage, CAST(ceil(n / 250) AS BIGINT) AS files, bytes FROM total
 UNION ALL SELECT 'after', CAST(ceil(bytes / 134217728) AS BIGINT), bytes FROM total""",
     "friend_lists": _lists("l_partkey"),
     "friend_lists_arrow": _lists("l_suppkey"),
     "friend_pairs": f"WITH {_graph('l_suppkey')} SELECT u AS user, f1, f2 FROM pair",
     "common_friend_rows": _COMMON_ROWS,
     "common_friends": _members("true"),
-    "common_friends_spread": _COMMON_ROWS,
+    "common_friends_spread": _members("true"),
+    "common_friends_lines": f"SELECT f1 || ',' || f2 || chr(9) || members AS value FROM ({_members('true')})",
     "common_friends_clean": _members("f1 < f2"),
     "friend_list_intersection": _INTERSECTION,
     "friend_list_intersection_spread": _INTERSECTION,
-    "graph_outcomes": f"""WITH {_intersection('sum(times) <= 6')}
-SELECT 'skipped' AS outcome, (SELECT count(*) FROM supplier) + (SELECT count(*) FROM region) AS n
-UNION ALL SELECT 'malformed', count(*) FROM nation
-UNION ALL SELECT 'processed', count(*) FROM kept
-UNION ALL SELECT 'celebrity', count(DISTINCT u) - (SELECT count(*) FROM kept) FROM entry
-UNION ALL SELECT 'pairs_with_members', count(*) FROM found""",
+    "friend_list_intersection_lines": f"""SELECT '(' || f1 || ',' || f2 || ')' || chr(9) || members AS value
+FROM ({_INTERSECTION})""",
+    "friend_list_intersection_shared": f"WITH {_intersection(_KINDS)} SELECT f1, f2, members FROM found",
+    "graph_outcomes": _outcomes(_PARTS),
+    "graph_outcomes_shared": _outcomes(_KINDS),
     "trips_typed": _TYPED,
     "trips_inferred": _TYPED,
     "trips_total": f"WITH {_TRIPS} SELECT count(*) AS n FROM prepared",
@@ -171,11 +199,15 @@ SELECT "VendorID", "Month", count(*) AS n FROM prepared GROUP BY 1, 2""",
     "layout_counts": f"""WITH {_TRIPS},
 found AS (SELECT count(*) AS n FROM prepared WHERE "VendorID" = 1 AND "Month" = 1)
 SELECT layout, n FROM found, (VALUES ('csv'), ('flat'), ('partitioned')) v(layout)""",
-    # A rebalanced partition below the block size is one file.
-    "layout_health": f"""WITH {_TRIPS}
-SELECT DISTINCT CAST("VendorID" AS VARCHAR) AS "VendorID", CAST("Month" AS VARCHAR) AS "Month",
-       CAST(1 AS BIGINT) AS files, CAST(1 AS BIGINT) AS blocks, CAST(1 AS BIGINT) AS small_files, false AS fragmented
-FROM prepared""",
+    "layout_comparison": f"""WITH {_TRIPS},
+found AS (SELECT count(*) AS n FROM prepared WHERE "VendorID" = 1 AND "Month" = 1)
+SELECT layout, n, below_csv, below_flat
+FROM found, (VALUES ('csv', false, false), ('flat', true, false), ('partitioned', true, true)) v(layout, below_csv, below_flat)""",
+    "layout_audit": f"{_AUDIT} SELECT * FROM audit",
+    "layout_health": f"{_AUDIT} SELECT event_type, files, blocks, small_files FROM audit WHERE fragmented",
+    "layout_files": f"""WITH {_TRIPS}
+SELECT CAST("VendorID" AS VARCHAR) AS "VendorID", CAST("Month" AS VARCHAR) AS "Month", count(*) AS rows
+FROM prepared GROUP BY 1, 2""",
     "layout_partitions": f"""WITH {_TRIPS} SELECT DISTINCT "VendorID", "Month" FROM prepared""",
     "census_layout_count": f"SELECT count(*) AS n FROM {_PLACES} WHERE n_name = 'NATION_3'",
     "utility_layout_count": f"""SELECT count(*) AS n FROM {_PLACES} JOIN orders ON o_custkey = c_custkey

@@ -19,8 +19,7 @@ QUERIES: dict[str, Query] = {}
 # Fixed values of the registered queries.
 VENDOR, MONTH = 1, 1
 ERROR_PATTERN = r"\| 4[0-9][0-9] \|"
-# A low guard, so that it meets some lists: the longest has 13 names.
-FEW_FRIENDS = 6
+AUDIT_BLOCK = 16_384
 
 
 def query(fn: Query) -> Query:
@@ -72,8 +71,13 @@ def error_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def log_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.first_lines(spark, derived.ordered_log(spark, sf_dir), 10)
+
+
+@query
+def log_head_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = derived.event_lines(spark, sf_dir).select("line_no", "value")
-    return logs.head_lines(lines, 10, order_by="line_no")
+    return logs.head_lines(lines, "line_no", 10)
 
 
 @query
@@ -84,6 +88,15 @@ def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_tsv(spark, path, "status", "n", "bigint")
 
 
+@query
+def overwritten_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second result at the path of a first one replaces it."""
+    path = new_scratch_path(spark, "overwritten")
+    for counts in (logs.status_counts(_log(spark, sf_dir)), logs.error_counts(_log(spark, sf_dir))):
+        writers.write_tsv(counts, F.col("status"), F.col("n"), path)
+    return readers.read_tsv(spark, path, "status", "n", "bigint")
+
+
 @query
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch_path(spark, "compacted")
@@ -151,9 +164,29 @@ def common_friends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def common_friends_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every pair spread and every list tiled: the same members, as rows."""
-    pairs = graph.common_friends(_by_supplier(spark, sf_dir), block=2, spread_above=20)
-    return pairs.select("f1", "f2", F.explode("members").alias("member"))
+    """Most pairs gathered in parts and every list tiled: the same rows."""
+    return _printed(graph.common_friends(_by_supplier(spark, sf_dir), block=2, part_members=20))
+
+
+def _written_lines(spark: SparkSession, pairs: DataFrame, key: F.Column) -> DataFrame:
+    path = new_scratch_path(spark, "pair-lines")
+    writers.write_tsv(pairs, key, bracketed(F.col("members")), path, per_file=True)
+    return readers.read_lines(spark, path)
+
+
+@query
+def common_friends_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written ``a,b<TAB>[x, y]`` lines."""
+    pairs = graph.common_friends(_by_supplier(spark, sf_dir))
+    return _written_lines(spark, pairs, F.concat_ws(",", "f1", "f2"))
+
+
+@query
+def friend_list_intersection_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written ``(a,b)<TAB>[x, y]`` lines."""
+    pairs = graph.friend_list_intersection(_by_part(spark, sf_dir))
+    key = F.concat(F.lit("("), F.col("f1"), F.lit(","), F.col("f2"), F.lit(")"))
+    return _written_lines(spark, pairs, key)
 
 
 @query
@@ -168,16 +201,29 @@ def friend_list_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def friend_list_intersection_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every list tiled and nearly every pair spread over groups."""
-    pairs = graph.friend_list_intersection(
-        _by_part(spark, sf_dir), max_friends=None, block=2, spread_above=20
-    )
-    return _printed(pairs)
+    """The same with every list tiled."""
+    return _printed(graph.friend_list_intersection(_by_part(spark, sf_dir), block=2))
+
+
+def _kind_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_lines(spark, derived.adjacency_folder(spark, sf_dir, "kinds", graph.TAB))
+
+
+@query
+def friend_list_intersection_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists that share many pairs: parts with their brands and types."""
+    lists = graph.parse_tab_lines(_kind_lines(spark, sf_dir))
+    return _printed(graph.friend_list_intersection(lists))
 
 
 @query
 def graph_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.graph_outcomes(_part_lines(spark, sf_dir), max_friends=FEW_FRIENDS)
+    return graph.graph_outcomes(_part_lines(spark, sf_dir))
+
+
+@query
+def graph_outcomes_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.graph_outcomes(_kind_lines(spark, sf_dir))
 
 
 # Trips and layouts -----------------------------------------------------------
@@ -188,6 +234,10 @@ def _typed_rows(trips_df: DataFrame) -> DataFrame:
     return trips_df.select("trip_id", "VendorID", "Month", "tpep_pickup_datetime", pickup)
 
 
+def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_trips(spark, derived.trips_csv(spark, sf_dir), derived.TRIP_KINDS)
+
+
 @query
 def trips_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_rows(derived.prepared_trips(spark, sf_dir))
@@ -207,12 +257,12 @@ def trips_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trips_rows_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.count_where(readers.read_trips(spark, derived.trips_csv(spark, sf_dir)))
+    return trips.count_where(_trips(spark, sf_dir))
 
 
 @query
 def trips_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.preview(readers.read_trips(spark, derived.trips_csv(spark, sf_dir)), "trip_id")
+    return trips.preview(_trips(spark, sf_dir), "trip_id")
 
 
 @query
@@ -272,8 +322,8 @@ def layout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-@query
-def layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layout_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timed comparison, for the bench: rows found, seconds and bytes per layout."""
     chosen = (F.col("VendorID") == str(VENDOR)) & (F.col("Month") == str(MONTH))
     csv, flat = derived.trips_csv(spark, sf_dir), derived.trips_flat(spark, sf_dir)
     partitioned = derived.trips_partitioned(spark, sf_dir)
@@ -286,30 +336,49 @@ def layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.compare_layouts(spark, layouts)
 
 
+@query
+def layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison without its seconds: rows found, and whether fewer bytes are behind them."""
+    timed = layout_timing(spark, sf_dir)
+    size = {row.layout: row.bytes for row in timed.collect()}  # three rows
+    return timed.select(
+        "layout",
+        "n",
+        (F.col("bytes") < size["csv"]).alias("below_csv"),
+        (F.col("bytes") < size["flat"]).alias("below_flat"),
+    )
+
+
 @query
 def layout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.layout_audit(spark, derived.trips_partitioned(spark, sf_dir), trips.PARTITION_KEYS)
+    """The audit of a text layout, whose bytes follow from its lines."""
+    root = derived.event_layout(spark, sf_dir)
+    return layout.layout_audit(spark, root, derived.EVENT_KEYS, block_bytes=AUDIT_BLOCK)
 
 
 @query
 def layout_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flags of the audit, which do not depend on the exact bytes written."""
-    return layout_audit(spark, sf_dir).select(
-        *trips.PARTITION_KEYS, "files", "blocks", "small_files", "fragmented"
-    )
+    """The partitions that use more blocks than their bytes need."""
+    audit = layout_audit(spark, sf_dir)
+    return audit.filter("fragmented").select(*derived.EVENT_KEYS, "files", "blocks", "small_files")
 
 
 @query
 def layout_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.keyed_inventory(
-        spark, derived.trips_partitioned(spark, sf_dir), trips.PARTITION_KEYS
-    )
+    """Rows per partition, by the keys in the paths of the inventory's files."""
+    root = derived.trips_partitioned(spark, sf_dir)
+    files = layout.keyed_inventory(spark, root, trips.PARTITION_KEYS).filter(F.col("length") > 0)
+    end = r"([^/]+/[^/]+/[^/]+)$"
+    rows = spark.read.parquet(root).select(F.regexp_extract("_metadata.file_path", end, 1).alias("file"))
+    rows = rows.groupBy("file").agg(F.count("*").alias("rows"))
+    found = files.withColumn("file", F.regexp_extract("path", end, 1)).join(rows, "file")
+    return found.groupBy(*trips.PARTITION_KEYS).agg(F.sum("rows").alias("rows"))
 
 
 @query
 def layout_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The partitions found by the audit, from the file paths alone."""
-    audit = layout_audit(spark, sf_dir)
+    audit = layout.layout_audit(spark, derived.trips_partitioned(spark, sf_dir), trips.PARTITION_KEYS)
     return audit.select(*[F.col(key).cast("int").alias(key) for key in trips.PARTITION_KEYS])
 
 

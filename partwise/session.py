@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -33,18 +31,19 @@ def new_scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/partwise-{app}/{label}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def session_conf(spark: SparkSession, **settings: object) -> Iterator[None]:
-    """Run the enclosed action under other SQL settings (``__`` stands for a dot)."""
-    wanted = {key.replace("__", "."): str(value) for key, value in settings.items()}
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the scratch folder and read back: the same rows for every use."""
+    path = new_scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def child_session(spark: SparkSession, **settings: object) -> SparkSession:
+    """A session of its own settings over the same application (``__`` stands for a dot).
+
+    What others do on ``spark`` meanwhile does not see them.
+    """
+    child = spark.newSession()
+    for key, value in settings.items():
+        child.conf.set(key.replace("__", "."), str(value))
+    return child

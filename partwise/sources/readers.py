@@ -2,33 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
-
-TRIP_SCHEMA = StructType(
-    [
-        StructField("trip_id", LongType()),
-        StructField("VendorID", IntegerType()),
-        StructField("tpep_pickup_datetime", StringType()),
-    ]
-)
-PREPARED_SCHEMA = StructType(
-    [
-        *TRIP_SCHEMA,
-        StructField("Pickup_Datetime", TimestampType()),
-        StructField("Month", IntegerType()),
-    ]
-)
-
-
-def read_trips(
-    spark: SparkSession, path: str, schema: StructType | None = TRIP_SCHEMA, infer: bool = False
-) -> DataFrame:
-    """Typed trips from CSV with a header. Inference reads the files once more."""
-    reader = spark.read.option("header", True)
-    reader = reader.option("inferSchema", True) if infer else reader.schema(schema)
-    return reader.csv(path)
+from pyspark.sql.types import StructType
+
+from partwise.session import child_session
+
+# The named columns of a trips file that are no text.
+TRIP_TYPES = {"VendorID": "int"}
+
+
+def read_trips(spark: SparkSession, path: str, types: dict[str, str] | None = None, infer: bool = False) -> DataFrame:
+    """Trips from CSV with a header: all its columns, in its order, known by their names.
+
+    The columns of ``types`` (by default ``TRIP_TYPES``) that the file has get their
+    type, a value that does not fit becomes null; the others are text. Inference takes
+    the types from the data and reads the files once more.
+    """
+    if infer:
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    read = read_trips_as_text(spark, path)
+    types = TRIP_TYPES if types is None else types
+    return read.withColumns({name: F.col(name).try_cast(kind) for name, kind in types.items() if name in read.columns})
 
 
 def read_trips_as_text(spark: SparkSession, path: str) -> DataFrame:
@@ -36,9 +31,7 @@ def read_trips_as_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-def read_prepared(
-    spark: SparkSession, path: str, schema: StructType | None = PREPARED_SCHEMA
-) -> DataFrame:
+def read_prepared(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Prepared trips from Parquet, flat or with keys in the folder names.
 
     Without a schema Spark reads it from a file footer, in a job of its own.
@@ -51,18 +44,49 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def first_lines(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
+    """The first ``n`` lines by file path and place: (line_no, value), counted from 1.
+
+    As many files as are needed for ``n`` lines are read, in the order of their paths.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    known = 0
+    while True:
+        known = min(len(files), max(1, 2 * known))
+        lines = spark.read.text(files[:known]) if files else spark.read.text(path)
+        # Rows of a split stay in order; splits are ordered by file and offset.
+        placed = lines.select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("offset"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        head = placed.orderBy("file", "offset", "row").limit(n)
+        if known == len(files) or head.count() >= n:
+            numbered = F.row_number().over(Window.orderBy("file", "offset", "row")).cast("bigint")
+            return head.select(numbered.alias("line_no"), "value")
+
+
 def read_tsv(spark: SparkSession, path: str, key: str, value: str, value_type: str = "string") -> DataFrame:
-    """Read ``key<TAB>value`` lines back; the first tab parts the two."""
+    """Read ``key<TAB>value`` lines back; the first tab parts the two.
+
+    A line without a tab has a null value, as has one whose value is not of the type.
+    """
     parts = F.split("value", "\t", 2)
     return spark.read.text(path).select(
-        parts[0].alias(key), parts[1].cast(value_type).alias(value)
+        parts[0].alias(key), F.get(parts, F.lit(1)).try_cast(value_type).alias(value)
     )
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row per file under a folder, at any depth: path, length, modificationTime.
 
-    The file content is a column too; as it is not selected, no file is opened.
+    The file content is a column too; as it is not selected, no file is opened. So the
+    sizes say nothing about the work: the splits are made as large as can be, which
+    leaves about as many tasks as the cluster has cores, however many bytes there are.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    listing = child_session(
+        spark, spark__sql__files__maxPartitionBytes=1 << 60, spark__sql__files__openCostInBytes=0
+    )
+    files = listing.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return files.select("path", "length", "modificationTime")

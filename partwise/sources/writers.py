@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.session import session_conf
+from partwise.session import child_session
 
 # Fixed value: the block size that a file should fill.
 BLOCK_BYTES = 128 * 1024 * 1024
@@ -21,36 +21,34 @@ def write_flat(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(
-    df: DataFrame, path: str, keys: Sequence[str], file_bytes: int = BLOCK_BYTES
-) -> None:
+def write_partitioned(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Parquet in ``key=value`` folders, with few and evenly filled files in each.
 
     Without a shuffle every task would write a file into every folder. A plain
     ``repartition`` on the keys would put each folder, however large, into one task.
     A rebalance does neither: adaptive execution merges small key groups and splits
-    large ones at the advisory size.
+    large ones at the advisory size, which the session is made with
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
     """
-    with session_conf(
-        df.sparkSession,
-        spark__sql__adaptive__enabled="true",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes=file_bytes,
-    ):
-        rebalanced = df.hint("rebalance", *[F.col(key) for key in keys])
-        rebalanced.write.mode("overwrite").partitionBy(*keys).parquet(path)
+    rebalanced = df.hint("rebalance", *[F.col(key) for key in keys])
+    rebalanced.write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
 def write_tsv(
-    df: DataFrame, key: Column, value: Column, path: str, files: int | None = None
+    df: DataFrame, key: Column, value: Column, path: str, files: int | None = None, per_file: bool = False
 ) -> None:
-    """``key<TAB>value`` lines sorted by the key: across all part files, or, if a
-    number of ``files`` is given, within each of them.
+    """``key<TAB>value`` lines sorted by the key.
+
+    Across all part files, for small results; within each file, with ``per_file`` or a
+    number of ``files``. That needs no sampling of the keys, so what makes the lines
+    runs once.
     """
     lines = df.select(key.cast("string").alias("key"), value.cast("string").alias("text"))
-    if files is None:
-        lines = lines.orderBy("key")
+    if files is not None or per_file:
+        spread = lines.repartition(files, "key") if files is not None else lines.repartition("key")
+        lines = spread.sortWithinPartitions("key")
     else:
-        lines = lines.repartition(files, "key").sortWithinPartitions("key")
+        lines = lines.orderBy("key")
     lines.select(F.concat_ws("\t", "key", "text").alias("value")).write.mode("overwrite").text(path)
 
 
@@ -62,10 +60,10 @@ def compact_lines(spark: SparkSession, src: str, dst: str, target_bytes: int = B
     file only when all of it fits the target. The lines stay the same; the order of
     the source files does not.
     """
-    with session_conf(
+    packing = child_session(
         spark,
         spark__sql__files__maxPartitionBytes=target_bytes,
         spark__sql__files__openCostInBytes=target_bytes // FILES_PER_TASK,
         spark__sql__files__minPartitionNum=1,
-    ):
-        spark.read.text(src).write.mode("overwrite").text(dst)
+    )
+    packing.read.text(src).write.mode("overwrite").text(dst)

@@ -9,13 +9,14 @@ from itertools import combinations
 import pytest
 
 from partwise.operators import graph
+from partwise.session import child_session
 
 # The small inputs whose results are known.
 TAB_GRAPH = ("A\tB,C,D", "B\tA,C,E", "C\tA,B,D", "D\tA,C", "E\tB")
 ARROW_GRAPH = ("A -> B,C,D", "B -> A,C", "C -> A,B,E", "D -> A", "E -> C")
 
 # How the work is cut up must not show in the result.
-CUTS = [{}, {"block": 1}, {"block": 2, "spread_above": 1}, {"block": 3, "spread_above": 2}]
+BLOCKS = [256, 1, 2, 3]
 
 
 def as_lists(df):
@@ -23,12 +24,12 @@ def as_lists(df):
 
 
 def gathered(df):
-    """Members per pair; a spread pair has several rows."""
-    pairs = {}
-    for row in df.collect():
-        pairs.setdefault((row.f1, row.f2), []).extend(row.members)
-    assert all(len(set(m)) == len(m) for m in pairs.values())
-    return {pair: sorted(m) for pair, m in pairs.items()}
+    """Members per pair, of which there is one row."""
+    rows = df.collect()
+    pairs = {(row.f1, row.f2): row.members for row in rows}
+    assert len(pairs) == len(rows)
+    assert all(m == sorted(set(m)) for m in pairs.values())
+    return pairs
 
 
 def pairs_of(friends):
@@ -71,9 +72,9 @@ def adjacency(spark):
     return lambda rows: spark.createDataFrame(rows, "user string, friends array<string>")
 
 
-@pytest.mark.parametrize("cut", CUTS)
-def test_friend_list_intersection(lines, cut):
-    found = gathered(graph.friend_list_intersection(graph.parse_tab_lines(lines(*TAB_GRAPH)), **cut))
+@pytest.mark.parametrize("block", BLOCKS)
+def test_friend_list_intersection(lines, block):
+    found = gathered(graph.friend_list_intersection(graph.parse_tab_lines(lines(*TAB_GRAPH)), block=block))
     assert found == {
         ("A", "B"): ["D"],
         ("A", "D"): ["B"],
@@ -84,7 +85,7 @@ def test_friend_list_intersection(lines, cut):
     }
 
 
-@pytest.mark.parametrize("cut", CUTS)
+@pytest.mark.parametrize("cut", [{}, {"block": 2, "part_members": 1}])
 def test_common_friends_of_both_formats(lines, cut):
     tab = gathered(graph.common_friends(graph.parse_tab_lines(lines(*TAB_GRAPH)), **cut))
     assert tab == {
@@ -109,12 +110,18 @@ def test_common_friends_of_both_formats(lines, cut):
     }
 
 
-@pytest.mark.parametrize(("seed", "cut"), list(enumerate(CUTS)))
-def test_against_brute_force(adjacency, seed, cut):
+@pytest.mark.parametrize(("seed", "block"), list(enumerate(BLOCKS)))
+def test_against_brute_force(adjacency, seed, block):
     rows = random_graph(seed)
     df = adjacency(rows)
-    assert gathered(graph.common_friends(df, **cut)) == brute_common(rows)
-    assert gathered(graph.friend_list_intersection(df, **cut)) == brute_intersection(rows)
+    assert gathered(graph.friend_list_intersection(df, block=block)) == brute_intersection(rows)
+    assert gathered(graph.common_friends(df, block=block)) == brute_common(rows)
+
+
+@pytest.mark.parametrize("part_members", [1, 3, 20])
+def test_parts_do_not_show(adjacency, part_members):
+    rows = random_graph(7)
+    assert gathered(graph.common_friends(adjacency(rows), part_members=part_members)) == brute_common(rows)
 
 
 @pytest.mark.parametrize("block", [1, 2, 256])
@@ -128,15 +135,6 @@ def test_long_forms(adjacency, block):
     assert members == {(*pair, u) for pair, users in brute_common(rows).items() for u in users}
 
 
-def test_spread_pairs_have_one_row_per_part(adjacency):
-    rows = [(f"u{i}", ["hot1", "hot2"]) for i in range(50)] + [("v", ["a", "hot1"])]
-    found = graph.common_friends(adjacency(rows), spread_above=10).collect()
-    hot = [r for r in found if (r.f1, r.f2) == ("hot1", "hot2")]
-    assert sorted(r.part for r in hot) == [0, 1, 2, 3, 4]
-    assert sorted(m for r in hot for m in r.members) == sorted(f"u{i}" for i in range(50))
-    assert [(r.part, r.members) for r in found if r.f1 == "a"] == [(0, ["v"])]
-
-
 def test_user_on_many_lines_is_one_member(adjacency):
     rows = [("hot", ["a", "b", f"n{i}"]) for i in range(60)] + [("u", ["b", "a"])]
     assert gathered(graph.common_friends(adjacency(rows))) == brute_common(rows)
@@ -212,6 +210,8 @@ def test_arrow_line(lines, line, parsed):
 
 def test_outcomes(lines):
     df = lines(*TAB_GRAPH, "", "# c", "nodelim", "S\ta,b,c,d")
+    found = {r.outcome: r.n for r in graph.graph_outcomes(df).collect()}
+    assert found["processed"] == 6 and "celebrity" not in found
     found = {r.outcome: r.n for r in graph.graph_outcomes(df, max_friends=3).collect()}
     assert found == {
         "skipped": 2,
@@ -222,12 +222,21 @@ def test_outcomes(lines):
     }
 
 
-def test_source_is_scanned_and_pairs_are_shuffled_once(spark, tmp_path):
+@pytest.mark.parametrize("seed", [11, 12])
+def test_outcomes_count_the_pairs_with_members(adjacency, lines, seed):
+    rows = [(u, [f for f in friends if f]) for u, friends in random_graph(seed)]
+    df = lines(*[f"{user}\t{','.join(friends)}" for user, friends in rows if friends])
+    found = {r.outcome: r.n for r in graph.graph_outcomes(df).collect()}
+    assert found["pairs_with_members"] == len(brute_intersection(rows))
+
+
+def test_source_is_scanned_once_and_no_pair_is_sorted(spark, tmp_path):
     path = str(tmp_path / "graph")
     spark.createDataFrame([(v,) for v in TAB_GRAPH], "value string").write.text(path)
-    found = graph.friend_list_intersection(graph.parse_tab_lines(spark.read.text(path)))
-    found.collect()
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    assert final.count("FileScan text") == 1
-    assert len(re.findall(r"\+- Exchange hashpartitioning\(f1#\d+, f2#\d+, part#\d+, ", final)) == 1
+    plain = child_session(spark, spark__sql__autoBroadcastJoinThreshold=-1)
+    for made in (graph.friend_list_intersection(graph.parse_tab_lines(plain.read.text(path))), graph.graph_outcomes(plain.read.text(path))):
+        made.collect()
+        final = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "FileScan text" not in final and "Window" not in final  # the lists are written once
+        shuffled = re.findall(r"(?<!Reused)Exchange hashpartitioning\(f1#\d+, f2#\d+, \d+\)", final)
+        assert len(shuffled) <= 6

@@ -104,7 +104,8 @@ def test_summary_holds_both_results(lines):
 def test_grep_and_head(lines):
     df = lines(*SPACED)
     assert logs.grep_lines(df, r"\| 404 \|").count() == 4
-    assert [r.value for r in logs.head_lines(df.coalesce(1), 10).collect()] == SPACED[:10]
+    numbered = df.sparkSession.createDataFrame(list(enumerate(SPACED)), "n int, value string")
+    assert [r.value for r in logs.head_lines(numbered, "n", 10).collect()] == SPACED[:10]
 
 
 def test_counts_are_combined_before_the_shuffle(lines):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from partwise import jobs
 from partwise.operators import layout, trips
-from partwise.session import new_scratch_path, session_conf
+from partwise.session import child_session, new_scratch_path, written
 from partwise.sources import readers, writers
 
 ROWS = [
@@ -26,7 +26,8 @@ ROWS = [
 @pytest.fixture
 def csv(spark, tmp_path):
     path = str(tmp_path / "csv")
-    spark.createDataFrame(ROWS, readers.TRIP_SCHEMA).write.option("header", True).csv(path)
+    kind = "trip_id bigint, VendorID int, tpep_pickup_datetime string"
+    spark.createDataFrame(ROWS, kind).write.option("header", True).csv(path)
     return path
 
 
@@ -37,7 +38,7 @@ def plan_of(df):
 def test_prepare_keeps_typed_rows(spark, csv):
     for read in (readers.read_trips(spark, csv), readers.read_trips(spark, csv, infer=True)):
         found = trips.prepare_trips(read).orderBy("trip_id").collect()
-        assert [(r.trip_id, r.VendorID, r.Month) for r in found] == [
+        assert [(int(r.trip_id), r.VendorID, r.Month) for r in found] == [
             (1, 1, 1), (2, 1, 1), (3, 2, 1), (4, 1, 12),
         ]
         assert found[0].Pickup_Datetime.hour == 23 and found[1].Pickup_Datetime.hour == 0
@@ -77,11 +78,12 @@ def test_overwrite_replaces(spark, tmp_path):
 
 def test_large_partition_is_split_into_files(spark, tmp_path):
     path = str(tmp_path / "hot")
-    wide = spark.range(0, 200_000, 1, 16).select(
+    small = child_session(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes=2 * 1024 * 1024)
+    wide = small.range(0, 200_000, 1, 16).select(
         F.when(F.col("id") < 190_000, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") / 1000).cast("int").cast("string"))).alias("k"),
         F.sha2(F.col("id").cast("string"), 256).alias("v"),
     )
-    writers.write_partitioned(wide, path, ["k"], file_bytes=2 * 1024 * 1024)
+    writers.write_partitioned(wide, path, ["k"])
     audit = {r.k: r.files for r in layout.layout_audit(spark, path, ["k"]).collect()}
     assert audit.pop("hot") > 3
     assert set(audit.values()) == {1} and len(audit) == 10
@@ -147,15 +149,18 @@ def test_tsv_sorted_within_files(spark, tmp_path):
     assert all(part == sorted(part, key=lambda line: line.split("\t")[0]) for part in parts)
 
 
-def test_settings_are_put_back(spark):
+def test_child_session_leaves_the_parent_alone(spark):
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
-    with pytest.raises(RuntimeError), session_conf(spark, spark__sql__files__maxPartitionBytes=7):
-        assert spark.conf.get(key) == "7"
-        raise RuntimeError
+    assert child_session(spark, spark__sql__files__maxPartitionBytes=7).conf.get(key) == "7"
     assert spark.conf.get(key) == before
 
 
+def test_written_rows_stay_the_same(spark):
+    df = written(spark.range(100).withColumn("r", F.rand()), "random")
+    assert df.collect() == df.collect()
+
+
 def test_scratch_paths_differ(spark):
     assert new_scratch_path(spark, "x") != new_scratch_path(spark, "x")
 
@@ -192,3 +197,65 @@ def test_trip_jobs(spark, csv, tmp_path):
     found = {r.layout: r for r in jobs.compare_layouts(spark, csv, dst).collect()}
     assert {name: r.n for name, r in found.items()} == {"csv": 2, "flat": 2, "partitioned": 2}
     assert all(r.bytes > 0 and r.seconds > 0 for r in found.values())
+
+
+def test_trips_are_known_by_their_names(spark, tmp_path):
+    path = str(tmp_path / "other.csv")
+    rows = [("9.5", "01/05/2023 11:59:59 PM", "x", "2"), ("1", "junk", "y", "1"), ("3", "02/05/2023 01:00:00 AM", None, "?")]
+    kind = "fare string, tpep_pickup_datetime string, note string, VendorID string"
+    spark.createDataFrame(rows, kind).write.option("header", True).csv(path)
+    read = readers.read_trips(spark, path)
+    assert read.columns == ["fare", "tpep_pickup_datetime", "note", "VendorID"]
+    found = trips.prepare_trips(read).collect()
+    assert [(r.fare, r.note, r.VendorID, r.Month) for r in found] == [("9.5", "x", 2, 1)]
+    dst = str(tmp_path / "layouts")
+    jobs.partition_trips(spark, path, dst)
+    assert set(spark.read.parquet(f"{dst}/partitioned").columns) == {*read.columns, "Pickup_Datetime", "Month"}
+    assert spark.read.option("header", True).csv(f"{dst}/audit").count() == 1
+
+
+def test_partitioned_trips_come_from_the_flat_ones(spark, csv, tmp_path, monkeypatch):
+    scans = []
+    read = readers.read_trips_as_text
+    monkeypatch.setattr(readers, "read_trips_as_text", lambda *a: scans.append(a) or read(*a))
+    jobs.partition_trips(spark, csv, str(tmp_path / "layouts"))
+    assert len(scans) == 1
+
+
+def test_first_lines_follow_the_paths(spark, tmp_path):
+    folder = tmp_path / "text"
+    folder.mkdir()
+    (folder / "a.txt").write_text("a1\na2\n")
+    (folder / "b.txt").write_text("".join(f"b{i}\n" for i in range(5000)))
+    (folder / "c.txt").write_text("c1\n")
+    small = child_session(spark, spark__sql__files__maxPartitionBytes=4096)
+    for session in (spark, small):
+        for n in (1, 2, 4, 3000, 5002, 9999):
+            found = sorted(map(tuple, readers.first_lines(session, str(folder), n).collect()))
+            want = ["a1", "a2", *(f"b{i}" for i in range(5000)), "c1"][:n]
+            assert found == list(enumerate(want, 1))
+
+
+def test_tsv_lines_without_tab_or_number(spark, tmp_path):
+    path = str(tmp_path / "odd")
+    spark.createDataFrame([("a\t1",), ("b",), ("c\tx",), ("d\t2\t3",), ("",)], "value string").write.text(path)
+    found = sorted(map(tuple, readers.read_tsv(spark, path, "k", "n", "bigint").collect()))
+    assert found == [("", None), ("a", 1), ("b", None), ("c", None), ("d", None)]
+
+
+def test_inventory_tasks_do_not_follow_bytes(spark, tmp_path):
+    path = str(tmp_path / "files")
+    small = child_session(spark, spark__sql__files__maxPartitionBytes=1024, spark__sql__files__openCostInBytes=0)
+    small.range(20_000).repartition(60).write.parquet(path)
+    files = readers.file_inventory(small, path)
+    assert files.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert files.count() >= 60
+
+
+def test_pair_lines_need_no_range_shuffle(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), "id")
+    path = tmp_path / "pairs"
+    writers.write_tsv(df, F.col("k"), F.col("id"), str(path), per_file=True)
+    for part in path.glob("part-*"):
+        keys = [line.split("\t")[0] for line in part.read_text().splitlines()]
+        assert keys == sorted(keys)
