@@ -141,9 +141,9 @@ _AUDIT = f"""WITH file AS (
   FROM ({_EVENTS}) lines JOIN events ON line_no = event_id GROUP BY event_type, user_id % 3),
 audit AS (
   SELECT event_type, count(*) AS files, CAST(sum(length) AS BIGINT) AS bytes, avg(length) AS mean_bytes,
-         max(length) AS max_bytes, CAST(sum(greatest(ceil(length / 16384), 1)) AS BIGINT) AS blocks,
-         count(*) FILTER (length < 16384) AS small_files,
-         sum(greatest(ceil(length / 16384), 1)) > greatest(ceil(sum(length) / 16384), 1) AS fragmented
+         max(length) AS max_bytes, CAST(sum(greatest(ceil(length / 20000), 1)) AS BIGINT) AS blocks,
+         count(*) FILTER (length < 20000) AS small_files,
+         sum(greatest(ceil(length / 20000), 1)) > greatest(ceil(sum(length) / 20000), 1) AS fragmented
   FROM file GROUP BY event_type)"""
 
 ORACLE: dict[str, str] = {

@@ -19,7 +19,7 @@ QUERIES: dict[str, Query] = {}
 # Fixed values of the registered queries.
 VENDOR, MONTH = 1, 1
 ERROR_PATTERN = r"\| 4[0-9][0-9] \|"
-AUDIT_BLOCK = 16_384
+AUDIT_BLOCK = 20_000
 
 
 def query(fn: Query) -> Query:
