@@ -28,7 +28,9 @@ from partwise.llm.common import free_name
 
 VOCABULARY_BYTES = 64 << 20
 #: Pieces whose tokens a worker remembers, and compatible pairs; both start anew when full.
-REMEMBERED_PIECES, REMEMBERED_PAIRS = 400_000, 1_000_000
+REMEMBERED_PIECES, REMEMBERED_PAIRS = 250_000, 500_000
+#: Rows that are handed on together.
+ROWS = 512
 
 
 class Vocabulary:
@@ -175,8 +177,10 @@ def _add_column(df: DataFrame, name: str, kind: T.DataType, source: str, fill: C
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [*batch.columns, fill(batch.column(at))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
+            for k in range(0, len(batch), ROWS):
+                part = batch.slice(k, ROWS)
+                columns = [*part.columns, fill(part.column(at))]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, name])
 
     return df.mapInArrow(add, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
 
