@@ -5,14 +5,16 @@ line goes if it matches one that comes earlier, by (doc_id, line number).
 
 1. Words are counted over the whole corpus in ``COUNTERS`` counters, by hash: a table of
    fixed size. Any order of the words makes the filters exact; that by rarity makes them fast.
-2. Lines with equal sets form a class, known by a 96-bit hash and its first place.
-3. A class enters the join under the rarest words of its prefix, |A| - ceil(t |A|) + 1 of
-   them: matching sets share one there. Length, the words left behind the shared one, and
+2. Equal lines form a class, known by its first place.
+3. Most edited copies are settled against one line each: of the classes that share their
+   smallest and largest word hashes, all are compared with the earliest.
+4. What is left enters the join under the rarest words of its prefix, |A| - ceil(t |A|) + 1
+   of them: matching sets share one there. Length, the words left behind the shared one, and
    the parities of the words' hashes bound the overlap from above before anything is verified.
-4. Candidates are verified on the words of the lines themselves.
+5. Every match is verified on the words of the lines themselves.
 
-A line that fills a third of the corpus is a single class. No list of pairs is made of equal
-lines, and no pair leaves the join that the bounds rule out.
+A line that fills a third of the corpus is a single class, and a class that has found an
+earlier match is not paired again.
 """
 
 from __future__ import annotations
@@ -23,26 +25,33 @@ from pyspark.sql import functions as F
 from partwise.llm.common import free_name, settle
 
 COUNTERS = 1 << 18
+#: Numbers in the constants that counters and document filters are packed into.
+PACKED = 1 << 14
 MIN_WORDS, PERCENT = 3, 80
-_KEY = ["k1", "k2"]
+_KEY, _PLACE = ["k1", "k2"], ["doc_id", "line"]
 
 
 def line_words(line: Column) -> Column:
-    """The distinct lower-case words of a line, split at white space."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(line), r"\s+")), "")
+    """The distinct lower-case words of a line, split at spaces, tabs and carriage returns."""
+    for blank in ("\t", "\r"):
+        line = F.replace(line, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.array_distinct(F.split(F.lower(line), " ")), "")
+
+
+def _constant(cells: DataFrame) -> Column:
+    """(at, bits) as a constant array of ``PACKED`` numbers; no more rows than that reach the driver."""
+    found = {row["at"]: row["bits"] for row in cells.groupBy("at").agg(F.bit_or("bits").alias("bits")).collect()}
+    return F.split(F.lit(",".join(str(found.get(at, 0)) for at in range(PACKED))), ",").cast("array<long>")
 
 
 def _rarity(texts: DataFrame) -> Column:
     """The counters as powers of two, 16 to a number: a constant of fixed size in the plan."""
-    words = texts.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
+    words = texts.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("word"))
     counter = F.xxhash64("word").bitwiseAND(COUNTERS - 1).cast("int").alias("counter")
     counts = words.select(counter).groupBy("counter").agg(F.count("*").alias("n"))
-    levels = counts.select("counter", F.least(F.floor(F.log2("n")), F.lit(15)).cast("long").alias("level"))
-    digit = F.call_function("shiftleft", "level", ((F.col("counter") % 16) * 4).cast("int"))
-    packed = levels.groupBy(F.floor(F.col("counter") / 16).cast("int").alias("at")).agg(F.bit_or(digit).alias("levels"))
-    found = {row["at"]: row["levels"] for row in packed.collect()}  # COUNTERS / 16 rows at most
-    text = ",".join(str(found.get(at, 0)) for at in range(COUNTERS // 16))
-    return F.split(F.lit(text), ",").cast("array<long>")
+    level = F.least(F.floor(F.log2("n")), F.lit(15)).cast("long")
+    digit = F.call_function("shiftleft", level, (F.col("counter") % 16 * 4).cast("int"))
+    return _constant(counts.select(F.floor(F.col("counter") / 16).cast("int").alias("at"), digit.alias("bits")))
 
 
 def _level(rarity: Column, counter: Column) -> Column:
@@ -51,91 +60,130 @@ def _level(rarity: Column, counter: Column) -> Column:
     return F.call_function("shiftrightunsigned", sixteen, shift).bitwiseAND(15).cast("int")
 
 
+def _bit(h: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
+
+
 def _needed(n: Column, percent: int) -> Column:
     """ceil(percent * n / 100) for whole numbers."""
     return F.floor((n * percent + 99) / 100).cast("int")
 
 
-def coded_lines(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """(doc_id, line, k1, k2, n, parity, prefix) of every line with enough words.
+def _lines(texts: DataFrame) -> DataFrame:
+    """(doc_id, line, text, k1, k2) of every line."""
+    split = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    return split.withColumns({"k1": F.xxhash64("text"), "k2": F.hash("text")})
+
+
+def _classes(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
+    """The distinct lines of enough words: key, first place, n, parity, prefix and extremes.
 
     A word's code is its rarity level, then 27 bits of its hash.
     """
     rarity = _rarity(texts)
-    split = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    words = split.select("doc_id", "line", line_words(F.col("words")).alias("words")).where(F.size("words") >= min_words)
-    hashes = words.select("doc_id", "line", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    hashes = F.transform(line_words(F.col("text")), lambda w: F.xxhash64(w))
+    hashed = _lines(texts).select(*_KEY, *_PLACE, F.sort_array(hashes).alias("hashes"))
+    hashed = hashed.where(F.size("hashes") >= min_words)
 
     def code(h: Column) -> Column:
         level = _level(rarity, h.bitwiseAND(COUNTERS - 1).cast("int"))
         return F.shiftleft(level, 27).bitwiseOR(F.shiftrightunsigned(h, 37).cast("int"))
 
     n = F.size("hashes")
-    return hashes.select(
-        "doc_id",
-        "line",
-        F.sort_array("hashes").alias("sorted"),
-        n.alias("n"),
-        F.aggregate("hashes", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(_bit(h))).alias("parity"),
-        F.slice(F.sort_array(F.transform("hashes", code)), F.lit(1), n - _needed(n, percent) + 1).alias("prefix"),
-    ).select("doc_id", "line", F.xxhash64("sorted").alias("k1"), F.hash("sorted").alias("k2"), "n", "parity", "prefix")
-
+    prefix = F.slice(F.sort_array(F.transform("hashes", code)), F.lit(1), n - _needed(n, percent) + 1)
+    parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(_bit(h)))
+    extremes = F.array(*[F.xxhash64(F.get("hashes", F.lit(i)), F.get("hashes", n - 1 - i), F.lit(i)) for i in range(3)])
+    row = F.struct(*_PLACE, n.alias("n"), parity.alias("parity"), prefix.alias("prefix"), extremes.alias("extremes"))
+    return hashed.select(*_KEY, row.alias("row")).groupBy(*_KEY).agg(F.min("row").alias("row")).select(*_KEY, "row.*")
 
-def _bit(h: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
 
+def _may_match(percent: int) -> Column:
+    """Whether lengths and parities allow a match of a and b.
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes (a, b as keys) that share a prefix word and that no bound rules out."""
-    entries = classes.select(*_KEY, "n", "parity", F.posexplode("prefix").alias("place", "code"))
-    a, b = (entries.select("code", *[F.col(c).alias(f"{side}_{c}") for c in (*_KEY, "n", "parity", "place")]) for side in "ab")
+    Each word that only one of them has flips a bit, so at least so many words differ.
+    """
     both = F.col("a_n") + F.col("b_n")
-    ordered = (F.col("a_k1") < F.col("b_k1")) | ((F.col("a_k1") == F.col("b_k1")) & (F.col("a_k2") < F.col("b_k2")))
     lengths = (100 * F.col("a_n") >= percent * F.col("b_n")) & (100 * F.col("b_n") >= percent * F.col("a_n"))
-    left = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
-    places = (100 + percent) * left >= percent * both
-    # Each word in one set only flips a bit: at least so many words differ.
     apart = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity")))
-    parities = (100 + percent) * (both - apart) >= 2 * percent * both
-    joined = a.join(b, (a["code"] == b["code"]) & ordered & lengths & places & parities)
-    return joined.select("a_k1", "a_k2", "b_k1", "b_k2").distinct()
+    return lengths & ((100 + percent) * (both - apart) >= 2 * percent * both)
+
+
+_PAIR = ["a_doc_id", "a_line", "b_doc_id", "b_line"]
+
+
+def _named(df: DataFrame, side: str, *columns: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in columns])
+
+
+def _earlier() -> Column:
+    a = F.struct(F.col("a_doc_id").alias("doc_id"), F.col("a_line").alias("line"))
+    return a < F.struct(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line"))
+
+
+def _with_earliest(classes: DataFrame, percent: int) -> DataFrame:
+    """Each class with the earliest of those that share an extreme with it."""
+    entries = classes.select(*_PLACE, "n", "parity", F.explode("extremes").alias("key"))
+    first = F.min(F.struct(*_PLACE, "n", "parity")).alias("first")
+    shared = entries.groupBy("key").agg(first, F.count("*").alias("members")).where("members > 1")
+    earliest = _named(shared.select("key", "first.*"), "a", "key", *_PLACE, "n", "parity")
+    others = _named(entries, "b", "key", *_PLACE, "n", "parity")
+    joined = others.join(earliest, (F.col("a_key") == F.col("b_key")) & _earlier() & _may_match(percent))
+    return joined.select(*_PAIR).distinct()
+
+
+def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
+    """Each class not ``gone`` with the earlier ones that share a word of the prefixes, as far as the bounds allow."""
+    marked = classes.join(gone.withColumn("gone", F.lit(1)), _PLACE, "left")
+    open_ = F.when(F.col("gone").isNull(), 1).otherwise(0).alias("open")
+    entries = marked.select(*_PLACE, "n", "parity", open_, F.posexplode("prefix").alias("at", "code"))
+    a, b = (_named(entries, side, "code", *_PLACE, "n", "parity", "open", "at") for side in "ab")
+    left = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    places = (100 + percent) * left >= percent * (F.col("a_n") + F.col("b_n"))
+    # b must be open; said of both sides, so that both read the same shuffle.
+    opened = 2 * F.col("b_open") + F.col("a_open") >= 2
+    bounds = _earlier() & opened & places & _may_match(percent)
+    return a.join(b, (F.col("a_code") == F.col("b_code")) & bounds).select(*_PAIR).distinct()
+
+
+def _in_filter(ids: DataFrame) -> Column:
+    """A test of doc_id that lets all of ``ids`` through, and of others few while the filter is sparse."""
+    cell = F.xxhash64("doc_id").bitwiseAND(PACKED * 64 - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))
+    at = F.shiftright(cell, 6).cast("int")
+    table = _constant(ids.select(at.alias("at"), bit.alias("bits")))
+    return F.get(table, at).bitwiseAND(bit) != 0
+
+
+def _matching(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The later places of the ``pairs`` whose words match; settled."""
+    sides = F.array(*[F.struct(F.col(f"{s}_doc_id").alias("doc_id"), F.col(f"{s}_line").alias("line")) for s in "ab"])
+    places = settle(pairs.select(F.inline(sides)).distinct(), "line-places")
+    ids = places.select("doc_id").distinct()
+    near = texts.where(_in_filter(ids)).join(ids.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id"), "left_semi")
+    lines = near.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).distinct()
+    lines = settle(lines.join(places, _PLACE), "line-texts")
+    sets = pairs
+    for side in "ab":
+        sets = sets.join(_named(lines, side, *_PLACE, "text"), [f"{side}_doc_id", f"{side}_line"])
+    words = sets.select(*_PAIR, line_words(F.col("a_text")).alias("a"), line_words(F.col("b_text")).alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    match = 100 * common >= percent * (F.size("a") + F.size("b") - common)
+    later = words.where(match).select(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line"))
+    return settle(later.distinct(), "late-lines")
 
 
 def removed_lines(texts: DataFrame, min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, line) of the lines that match an earlier one. ``texts`` has (doc_id, text) and no null ids."""
-    coded = settle(coded_lines(texts, min_words, percent), "lines")
-    whole = F.min(F.struct("doc_id", "line", "n", "parity", "prefix")).alias("first")
-    classes = coded.groupBy(*_KEY).agg(whole).select(*_KEY, "first.n", "first.parity", "first.prefix")
-    pairs = settle(_candidates(classes, percent), "line-pairs")
-
-    places = coded.groupBy(*_KEY).agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    places = settle(places.select(*_KEY, "first.doc_id", "first.line"), "line-places")
-    named = pairs.select(F.explode(F.array(F.struct(F.col("a_k1").alias("k1"), F.col("a_k2").alias("k2")), F.struct(F.col("b_k1").alias("k1"), F.col("b_k2").alias("k2")))).alias("key"))
-    wanted = places.join(named.select("key.*").distinct(), _KEY)
-    split = texts.join(wanted.select(F.col("doc_id").alias("id")).distinct(), F.col("doc_id") == F.col("id"), "left_semi")
-    split = split.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words")).distinct()
-    words = wanted.join(split, ["doc_id", "line"]).select(*_KEY, "doc_id", "line", line_words(F.col("words")).alias("words"))
-    words = settle(words, "line-words")
-
-    def side(name: str) -> DataFrame:
-        return words.select(*[F.col(c).alias(f"{name}_{c}") for c in words.columns])
-
-    sets = pairs.join(side("a"), ["a_k1", "a_k2"]).join(side("b"), ["b_k1", "b_k2"])
-    common = F.size(F.array_intersect("a_words", "b_words"))
-    match = 100 * common >= percent * (F.size("a_words") + F.size("b_words") - common)
-    a_first = F.struct("a_doc_id", "a_line") < F.struct(F.col("b_doc_id").alias("a_doc_id"), F.col("b_line").alias("a_line"))
-    later = sets.where(match).select(
-        F.when(a_first, F.col("b_k1")).otherwise(F.col("a_k1")).alias("k1"),
-        F.when(a_first, F.col("b_k2")).otherwise(F.col("a_k2")).alias("k2"),
-    )
+    classes = settle(_classes(texts, min_words, percent), "line-classes")
+    gone = _matching(texts, settle(_with_earliest(classes, percent), "line-pairs"), percent)
+    more = _matching(texts, settle(_sharing_prefix(classes, gone, percent), "line-pairs"), percent)
     # Of a class that matches an earlier one all lines go, of another all but the first.
-    gone = settle(later.distinct(), "late-classes").withColumn("gone", F.lit(True))
-    firsts = places.join(gone, _KEY, "left").select(
-        *_KEY, F.when(F.col("gone").isNull(), F.struct("doc_id", "line")).alias("stays")
-    )
-    lines = coded.select("doc_id", "line", *_KEY).join(firsts, _KEY)
+    late = gone.union(more).withColumn("gone", F.lit(True))
+    firsts = classes.select(*_KEY, *_PLACE).join(late, _PLACE, "left")
+    firsts = firsts.select(*_KEY, F.when(F.col("gone").isNull(), F.struct(*_PLACE)).alias("stays"))
+    lines = _lines(texts).select(*_PLACE, *_KEY).join(firsts, _KEY)
     goes = F.coalesce((F.col("doc_id") != F.col("stays.doc_id")) | (F.col("line") != F.col("stays.line")), F.lit(True))
-    return lines.where(goes).select("doc_id", "line").distinct()
+    return lines.where(goes).select(*_PLACE).distinct()
 
 
 def line_report(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
