@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.session import new_scratch_path
@@ -27,30 +27,20 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``, with all columns; rows without an id stay."""
-    key = free_name(docs, "wanted_id")
+def keep_ids_once(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row of ``docs`` for each id in ``ids``, with all columns; rows without an id stay.
+
+    Of rows that repeat an id it is the first by a hash of all columns. The join and the
+    ranking share one shuffle.
+    """
+    key, rank = free_name(docs, "wanted_id"), free_name(docs, "rank")
     found = docs.join(ids.select(F.col(id_col).alias(key)), F.col(id_col) == F.col(key), "left_semi")
-    return found.unionByName(docs.where(F.col(id_col).isNull()))
+    order = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
+    ranked = found.withColumn(rank, F.row_number().over(order))
+    return ranked.where(F.col(rank) == 1).drop(rank).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is not in ``ids``, with all columns; rows without an id stay."""
     key = free_name(docs, "unwanted_id")
     return docs.join(ids.select(F.col(id_col).alias(key)), F.col(id_col) == F.col(key), "left_anti")
-
-
-def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The first of the rows that repeat an id, by a hash of all columns; rows without an id stay."""
-    from pyspark.sql import Window
-
-    rank = free_name(docs, "rank")
-    order = F.xxhash64(*[docs[name] for name in docs.columns])
-    named = docs.where(F.col(id_col).isNotNull())
-    ranked = named.withColumn(rank, F.row_number().over(Window.partitionBy(id_col).orderBy(order)))
-    return ranked.where(F.col(rank) == 1).drop(rank).unionByName(docs.where(F.col(id_col).isNull()))
-
-
-def code_points(text: Column) -> Column:
-    """Length in code points, 0 for null."""
-    return F.coalesce(F.length(text), F.lit(0))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partwise.llm.bits import BitTable
-from partwise.llm.common import settle
+from partwise.llm.common import keep_ids_once, settle
 from partwise.llm.components import components
 from partwise.llm.words import chunks, mix, shingle_sets, split_words
 
@@ -282,7 +282,5 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     Of rows that repeat an id the first by a hash of all columns stays; rows with a null id
     all stay, as do documents without words.
     """
-    from partwise.llm.common import keep_ids, one_row_per_id
-
     found = near_duplicates(docs, words=words, percent=percent)
-    return one_row_per_id(keep_ids(docs, found.where("kept and doc_id is not null").select("doc_id")))
+    return keep_ids_once(docs, found.where("kept and doc_id is not null").select("doc_id"))
