@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partwise.llm.common import settle
-from partwise.llm.words import mix, text_bytes
+from partwise.llm.words import chunks, mix, text_bytes
 
 #: Windows that are looked at together; longer texts are cut with an overlap.
 STEP = 1 << 19
+#: Bytes of whole texts whose anchors a task holds and sends together, about.
+BATCH_BYTES = 8 << 20
 #: Bits of the table of shared anchors: 16 MB.
 TABLE_BITS = 27
 #: Anchors that one bucket holds, about.
@@ -156,9 +158,16 @@ def _bucket_bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([np.searchsorted(hashes, edges), [len(hashes)]])
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``BATCH_BYTES`` of text, the second column."""
+    for batch in batches:
+        for at, texts in chunks(batch.column(1), BATCH_BYTES):
+            yield batch.slice(at, len(texts))
+
+
 def _send_anchors(scheme: Scheme, bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             found = _scan(batch.column(1), scheme)
             ids = batch.column(0).to_numpy()[found.text]
             order = np.lexsort([ids, found.hashes])
@@ -219,7 +228,7 @@ def _send_contexts(table, scheme: Scheme, bits: int):
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows with a bucket hold packed contexts, rows without one a covered run."""
-        for batch in batches:
+        for batch in _parts(batches):
             found = _scan(batch.column(1), scheme)
             named = batch.column(0).to_numpy()
             text_hash = batch.column(2).to_numpy()
