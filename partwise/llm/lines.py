@@ -61,7 +61,7 @@ def _level(rarity: Column, counter: Column) -> Column:
 
 
 def _bit(h: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 57).bitwiseAND(63).cast("int"))
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -76,7 +76,7 @@ def _lines(texts: DataFrame) -> DataFrame:
 
 
 def _classes(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """The distinct lines of enough words: key, first place, n, parity, prefix and extremes.
+    """The distinct lines of enough words: key, first place, n, parities, prefix and extremes.
 
     A word's code is its rarity level, then 27 bits of its hash.
     """
@@ -91,9 +91,13 @@ def _classes(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
 
     n = F.size("hashes")
     prefix = F.slice(F.sort_array(F.transform("hashes", code)), F.lit(1), n - _needed(n, percent) + 1)
-    parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(_bit(h)))
+
+    def parity(half: Column) -> Column:
+        return F.aggregate("hashes", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(F.when(half(h), _bit(h)).otherwise(F.lit(0).cast("long"))))
+
+    low, high = parity(lambda h: h >= 0), parity(lambda h: h < 0)
     extremes = F.array(*[F.xxhash64(F.get("hashes", F.lit(i)), F.get("hashes", n - 1 - i), F.lit(i)) for i in range(3)])
-    row = F.struct(*_PLACE, n.alias("n"), parity.alias("parity"), prefix.alias("prefix"), extremes.alias("extremes"))
+    row = F.struct(*_PLACE, n.alias("n"), low.alias("low"), high.alias("high"), prefix.alias("prefix"), extremes.alias("extremes"))
     return hashed.select(*_KEY, row.alias("row")).groupBy(*_KEY).agg(F.min("row").alias("row")).select(*_KEY, "row.*")
 
 
@@ -104,7 +108,7 @@ def _may_match(percent: int) -> Column:
     """
     both = F.col("a_n") + F.col("b_n")
     lengths = (100 * F.col("a_n") >= percent * F.col("b_n")) & (100 * F.col("b_n") >= percent * F.col("a_n"))
-    apart = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity")))
+    apart = sum(F.bit_count(F.col(f"a_{half}").bitwiseXOR(F.col(f"b_{half}"))) for half in ("low", "high"))
     return lengths & ((100 + percent) * (both - apart) >= 2 * percent * both)
 
 
@@ -122,11 +126,11 @@ def _earlier() -> Column:
 
 def _with_earliest(classes: DataFrame, percent: int) -> DataFrame:
     """Each class with the earliest of those that share an extreme with it."""
-    entries = classes.select(*_PLACE, "n", "parity", F.explode("extremes").alias("key"))
-    first = F.min(F.struct(*_PLACE, "n", "parity")).alias("first")
+    entries = classes.select(*_PLACE, "n", "low", "high", F.explode("extremes").alias("key"))
+    first = F.min(F.struct(*_PLACE, "n", "low", "high")).alias("first")
     shared = entries.groupBy("key").agg(first, F.count("*").alias("members")).where("members > 1")
-    earliest = _named(shared.select("key", "first.*"), "a", "key", *_PLACE, "n", "parity")
-    others = _named(entries, "b", "key", *_PLACE, "n", "parity")
+    earliest = _named(shared.select("key", "first.*"), "a", "key", *_PLACE, "n", "low", "high")
+    others = _named(entries, "b", "key", *_PLACE, "n", "low", "high")
     joined = others.join(earliest, (F.col("a_key") == F.col("b_key")) & _earlier() & _may_match(percent))
     return joined.select(*_PAIR).distinct()
 
@@ -135,8 +139,8 @@ def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFr
     """Each class not ``gone`` with the earlier ones that share a word of the prefixes, as far as the bounds allow."""
     marked = classes.join(gone.withColumn("gone", F.lit(1)), _PLACE, "left")
     open_ = F.when(F.col("gone").isNull(), 1).otherwise(0).alias("open")
-    entries = marked.select(*_PLACE, "n", "parity", open_, F.posexplode("prefix").alias("at", "code"))
-    a, b = (_named(entries, side, "code", *_PLACE, "n", "parity", "open", "at") for side in "ab")
+    entries = marked.select(*_PLACE, "n", "low", "high", open_, F.posexplode("prefix").alias("at", "code"))
+    a, b = (_named(entries, side, "code", *_PLACE, "n", "low", "high", "open", "at") for side in "ab")
     left = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
     places = (100 + percent) * left >= percent * (F.col("a_n") + F.col("b_n"))
     # b must be open; said of both sides, so that both read the same shuffle.
@@ -161,14 +165,15 @@ def _matching(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     ids = places.select("doc_id").distinct()
     near = texts.where(_in_filter(ids)).join(ids.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id"), "left_semi")
     lines = near.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).distinct()
-    lines = settle(lines.join(places, _PLACE), "line-texts")
+    words = lines.join(places, _PLACE).select(*_PLACE, line_words(F.col("text")).alias("words"))
+    words = settle(words.select(*_PLACE, "words", F.size("words").alias("n")), "line-words")
     sets = pairs
     for side in "ab":
-        sets = sets.join(_named(lines, side, *_PLACE, "text"), [f"{side}_doc_id", f"{side}_line"])
-    words = sets.select(*_PAIR, line_words(F.col("a_text")).alias("a"), line_words(F.col("b_text")).alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    match = 100 * common >= percent * (F.size("a") + F.size("b") - common)
-    later = words.where(match).select(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line"))
+        sets = sets.join(_named(words, side, *_PLACE, "words", "n"), [f"{side}_doc_id", f"{side}_line"])
+    # common >= percent / 100 * (a + b - common), with what is costly in one place only.
+    common = F.size(F.array_intersect("a_words", "b_words"))
+    match = (100 + percent) * common >= percent * (F.col("a_n") + F.col("b_n"))
+    later = sets.where(match).select(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line"))
     return settle(later.distinct(), "late-lines")
 
 
