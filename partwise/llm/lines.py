@@ -31,11 +31,21 @@ MIN_WORDS, PERCENT = 3, 80
 _KEY, _PLACE = ["k1", "k2"], ["doc_id", "line"]
 
 
-def line_words(line: Column) -> Column:
-    """The distinct lower-case words of a line, split at spaces, tabs and carriage returns."""
+def _split_words(line: Column) -> Column:
     for blank in ("\t", "\r"):
         line = F.replace(line, F.lit(blank), F.lit(" "))
-    return F.array_remove(F.array_distinct(F.split(F.lower(line), " ")), "")
+    return F.split(F.lower(line), " ")
+
+
+def line_words(line: Column) -> Column:
+    """The distinct lower-case words of a line, split at spaces, tabs and carriage returns."""
+    return F.array_remove(F.array_distinct(_split_words(line)), "")
+
+
+def _word_hashes(line: Column) -> Column:
+    """The hashes of those words, sorted; numbers are told apart faster than words."""
+    hashes = F.array_distinct(F.transform(_split_words(line), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
 def _constant(cells: DataFrame) -> Column:
@@ -81,8 +91,7 @@ def _classes(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
     A word's code is its rarity level, then 27 bits of its hash.
     """
     rarity = _rarity(texts)
-    hashes = F.transform(line_words(F.col("text")), lambda w: F.xxhash64(w))
-    hashed = _lines(texts).select(*_KEY, *_PLACE, F.sort_array(hashes).alias("hashes"))
+    hashed = _lines(texts).select(*_KEY, *_PLACE, _word_hashes(F.col("text")).alias("hashes"))
     hashed = hashed.where(F.size("hashes") >= min_words)
 
     def code(h: Column) -> Column:
@@ -107,7 +116,7 @@ def _may_match(percent: int) -> Column:
     Each word that only one of them has flips a bit, so at least so many words differ.
     """
     both = F.col("a_n") + F.col("b_n")
-    lengths = (100 * F.col("a_n") >= percent * F.col("b_n")) & (100 * F.col("b_n") >= percent * F.col("a_n"))
+    lengths = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
     apart = sum(F.bit_count(F.col(f"a_{half}").bitwiseXOR(F.col(f"b_{half}"))) for half in ("low", "high"))
     return lengths & ((100 + percent) * (both - apart) >= 2 * percent * both)
 
@@ -120,8 +129,8 @@ def _named(df: DataFrame, side: str, *columns: str) -> DataFrame:
 
 
 def _earlier() -> Column:
-    a = F.struct(F.col("a_doc_id").alias("doc_id"), F.col("a_line").alias("line"))
-    return a < F.struct(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line"))
+    same = (F.col("a_doc_id") == F.col("b_doc_id")) & (F.col("a_line") < F.col("b_line"))
+    return (F.col("a_doc_id") < F.col("b_doc_id")) | same
 
 
 def _with_earliest(classes: DataFrame, percent: int) -> DataFrame:
@@ -145,7 +154,7 @@ def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFr
     places = (100 + percent) * left >= percent * (F.col("a_n") + F.col("b_n"))
     # b must be open; said of both sides, so that both read the same shuffle.
     opened = 2 * F.col("b_open") + F.col("a_open") >= 2
-    bounds = _earlier() & opened & places & _may_match(percent)
+    bounds = opened & places & _earlier() & _may_match(percent)  # the cheapest first
     return a.join(b, (F.col("a_code") == F.col("b_code")) & bounds).select(*_PAIR).distinct()
 
 
