@@ -35,9 +35,9 @@ from partwise.llm.common import settle
 from partwise.llm.words import chunks, mix, text_bytes
 
 #: Windows that are looked at together; longer texts are cut with an overlap.
-STEP = 1 << 19
+STEP = 1 << 18
 #: Bytes of whole texts whose anchors a task holds and sends together, about.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 #: Bits of the table of shared anchors: 16 MB.
 TABLE_BITS = 27
 #: Anchors that one bucket holds, about.
