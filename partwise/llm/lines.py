@@ -57,21 +57,22 @@ def _constant(cells: DataFrame) -> Column:
 def _rarity(texts: DataFrame) -> Column:
     """The counters as powers of two, 16 to a number: a constant of fixed size in the plan."""
     words = texts.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("word"))
-    counter = F.xxhash64("word").bitwiseAND(COUNTERS - 1).cast("int").alias("counter")
+    counter = F.xxhash64("word").bitwiseAND(COUNTERS * 4 - 4).cast("int").alias("counter")
     counts = words.select(counter).groupBy("counter").agg(F.count("*").alias("n"))
     level = F.least(F.floor(F.log2("n")), F.lit(15)).cast("long")
-    digit = F.call_function("shiftleft", level, (F.col("counter") % 16 * 4).cast("int"))
-    return _constant(counts.select(F.floor(F.col("counter") / 16).cast("int").alias("at"), digit.alias("bits")))
+    digit = F.call_function("shiftleft", level, F.col("counter").bitwiseAND(60))
+    return _constant(counts.select(F.shiftright("counter", 6).alias("at"), digit.alias("bits")))
 
 
-def _level(rarity: Column, counter: Column) -> Column:
-    sixteen = F.get(rarity, F.shiftright(counter, 4))
-    shift = F.shiftleft(counter.bitwiseAND(15), 2)
-    return F.call_function("shiftrightunsigned", sixteen, shift).bitwiseAND(15).cast("int")
+def _level(rarity: Column, h: Column) -> Column:
+    """A word's counter is in its hash: bits 6 on name the number, bits 2 to 5 the place in it."""
+    sixteen = F.get(rarity, F.shiftright(h, 6).bitwiseAND(PACKED - 1).cast("int"))
+    return F.call_function("shiftrightunsigned", sixteen, h.bitwiseAND(60).cast("int")).bitwiseAND(15)
 
 
 def _bit(h: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 57).bitwiseAND(63).cast("int"))
+    """One of 64 bits by the hash's bits 57 to 62; a shift looks at six bits only."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 57).cast("int"))
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -92,22 +93,22 @@ def _classes(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
     """
     rarity = _rarity(texts)
     hashed = _lines(texts).select(*_KEY, *_PLACE, _word_hashes(F.col("text")).alias("hashes"))
-    hashed = hashed.where(F.size("hashes") >= min_words)
 
     def code(h: Column) -> Column:
-        level = _level(rarity, h.bitwiseAND(COUNTERS - 1).cast("int"))
-        return F.shiftleft(level, 27).bitwiseOR(F.shiftrightunsigned(h, 37).cast("int"))
+        return F.shiftleft(_level(rarity, h), 27).bitwiseOR(F.shiftrightunsigned(h, 37)).cast("int")
 
     n = F.size("hashes")
     prefix = F.slice(F.sort_array(F.transform("hashes", code)), F.lit(1), n - _needed(n, percent) + 1)
-
-    def parity(half: Column) -> Column:
-        return F.aggregate("hashes", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(F.when(half(h), _bit(h)).otherwise(F.lit(0).cast("long"))))
-
-    low, high = parity(lambda h: h >= 0), parity(lambda h: h < 0)
+    zero = F.lit(0).cast("long")
+    every = F.aggregate("hashes", zero, lambda bits, h: bits.bitwiseXOR(_bit(h)))
+    high = F.aggregate("hashes", zero, lambda bits, h: F.when(h < 0, bits.bitwiseXOR(_bit(h))).otherwise(bits))
+    hashed = hashed.select(*_KEY, *_PLACE, "hashes", prefix.alias("prefix"), every.alias("every"), high.alias("high"))
+    low = F.col("every").bitwiseXOR(F.col("high"))
     extremes = F.array(*[F.xxhash64(F.get("hashes", F.lit(i)), F.get("hashes", n - 1 - i), F.lit(i)) for i in range(3)])
-    row = F.struct(*_PLACE, n.alias("n"), low.alias("low"), high.alias("high"), prefix.alias("prefix"), extremes.alias("extremes"))
-    return hashed.select(*_KEY, row.alias("row")).groupBy(*_KEY).agg(F.min("row").alias("row")).select(*_KEY, "row.*")
+    row = F.struct(*_PLACE, n.alias("n"), low.alias("low"), F.col("high"), F.col("prefix"), extremes.alias("extremes"))
+    classes = hashed.select(*_KEY, row.alias("row")).groupBy(*_KEY).agg(F.min("row").alias("row"))
+    # Not earlier: a test of the size before the grouping would have the words split twice.
+    return classes.where(F.col("row.n") >= min_words).select(*_KEY, "row.*")
 
 
 def _may_match(percent: int) -> Column:
