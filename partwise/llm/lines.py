@@ -159,23 +159,24 @@ def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFr
     return a.join(b, (F.col("a_code") == F.col("b_code")) & bounds).select(*_PAIR).distinct()
 
 
-def _in_filter(ids: DataFrame) -> Column:
-    """A test of doc_id that lets all of ``ids`` through, and of others few while the filter is sparse."""
-    cell = F.xxhash64("doc_id").bitwiseAND(PACKED * 64 - 1)
+def _in_filter(names: DataFrame, *columns: str) -> Column:
+    """A test of ``columns`` that lets all of ``names`` through, and of others few while the filter is sparse."""
+    cell = F.xxhash64(*columns).bitwiseAND(PACKED * 64 - 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))
     at = F.shiftright(cell, 6).cast("int")
-    table = _constant(ids.select(at.alias("at"), bit.alias("bits")))
+    table = _constant(names.select(at.alias("at"), bit.alias("bits")))
     return F.get(table, at).bitwiseAND(bit) != 0
 
 
 def _matching(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The later places of the ``pairs`` whose words match; settled."""
-    sides = F.array(*[F.struct(F.col(f"{s}_doc_id").alias("doc_id"), F.col(f"{s}_line").alias("line")) for s in "ab"])
-    places = settle(pairs.select(F.inline(sides)).distinct(), "line-places")
-    ids = places.select("doc_id").distinct()
-    near = texts.where(_in_filter(ids)).join(ids.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id"), "left_semi")
-    lines = near.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).distinct()
-    words = lines.join(places, _PLACE).select(*_PLACE, line_words(F.col("text")).alias("words"))
+    sides = [pairs.select(F.col(f"{s}_doc_id").alias("doc_id"), F.col(f"{s}_line").alias("line")) for s in "ab"]
+    places = settle(sides[0].union(sides[1]).distinct(), "line-places")
+    # The join moves these lines and few others, never whole texts.
+    near = texts.where(_in_filter(places, "doc_id"))
+    lines = near.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    lines = lines.where(_in_filter(places, "doc_id", "line"))
+    words = lines.join(places, _PLACE).distinct().select(*_PLACE, line_words(F.col("text")).alias("words"))
     words = settle(words.select(*_PLACE, "words", F.size("words").alias("n")), "line-words")
     sets = pairs
     for side in "ab":
