@@ -31,7 +31,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partwise.llm.common import settle
 from partwise.llm.words import chunks, mix, text_bytes
 
 #: Windows that are looked at together; longer texts are cut with an overlap.
@@ -227,7 +226,7 @@ def _send_contexts(table, scheme: Scheme, bits: int):
     most = scheme.window + scheme.reach - 1
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows with a bucket hold packed contexts, rows without one a covered run."""
+        """Rows of a bucket: packed contexts, or a run that is covered already."""
         for batch in _parts(batches):
             found = _scan(batch.column(1), scheme)
             named = batch.column(0).to_numpy()
@@ -253,43 +252,27 @@ def _send_contexts(table, scheme: Scheme, bits: int):
             start = found.first[kept] - found.starts[found.text[kept]]
 
             texts, a, b = _merge(found.text[kept][later], start[later], (start + length)[later])
-            none = pa.nulls(len(texts), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(len(texts), pa.int32()),
-                    *([none] * 3),
-                    pa.array(named[texts]),
-                    pa.array(text_hash[texts]),
-                    pa.array(a, pa.int64()),
-                    pa.array(b, pa.int64()),
-                ],
-                _CONTEXT_NAMES,
-            )
+            rows = []
+            if len(texts):  # any bucket may hand them on
+                owners = np.stack([named[texts], text_hash[texts]])
+                rows.append((int(named[texts[0]]) & ((1 << bits) - 1), None, owners.tobytes(), a.tobytes(), b.tobytes()))
             rest = np.flatnonzero(~later)
             rest = rest[np.argsort(found.hashes[kept][rest], kind="stable")]
             bounds = _bucket_bounds(found.hashes[kept][rest], bits)
-            rows = []
             for bucket, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
                 if y > x:
                     some = rest[x:y]
                     owners = np.stack([ids[some], text_hash[found.text[kept][some]]])
-                    rows.append((bucket, around[some].tobytes(), owners.tobytes(), start[some].tobytes()))
+                    rows.append((bucket, around[some].tobytes(), owners.tobytes(), start[some].tobytes(), None))
             for k in range(0, len(rows), 64):
                 part = list(zip(*rows[k : k + 64], strict=True))
-                n = len(part[0])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(part[0], pa.int32()),
-                        *(pa.array(v, pa.binary()) for v in part[1:]),
-                        *(pa.nulls(n, pa.int64()) for _ in range(4)),
-                    ],
-                    _CONTEXT_NAMES,
-                )
+                columns = [pa.array(part[0], pa.int32()), *(pa.array(v, pa.binary()) for v in part[1:])]
+                yield pa.RecordBatch.from_arrays(columns, _CONTEXT_NAMES)
 
     return send
 
 
-_CONTEXTS = "bucket int, around binary, owners binary, starts binary, doc_id long, text_hash long, start long, stop long"
+_CONTEXTS = "bucket int, around binary, owners binary, starts binary, stops binary"
 _CONTEXT_NAMES = [field.split()[0] for field in _CONTEXTS.split(", ")]
 
 
@@ -339,8 +322,17 @@ def equal_groups(rows: np.ndarray) -> np.ndarray:
 
 def _sort_windows(scheme: Scheme):
     most = scheme.window + scheme.reach - 1
+    names = ["doc_id", "text_hash", "start", "stop"]
 
     def sort_windows(rows: pd.DataFrame) -> pd.DataFrame:
+        early = rows[rows["around"].isna()]
+        rows = rows[rows["around"].notna()]
+        done = [pd.DataFrame({name: np.zeros(0, np.int64) for name in names})]
+        for owners, start, stop in zip(early["owners"], early["starts"], early["stops"], strict=True):
+            columns = *np.frombuffer(owners, np.int64).reshape(2, -1), np.frombuffer(start, np.int64), np.frombuffer(stop, np.int64)
+            done.append(pd.DataFrame(dict(zip(names, columns, strict=True))))
+        if not len(rows):
+            return pd.concat(done)
         around = np.concatenate([np.frombuffer(v, np.uint8).reshape(-1, most + 2) for v in rows["around"]])
         owners = np.concatenate([np.frombuffer(v, np.int64).reshape(2, -1) for v in rows["owners"]], axis=1)
         starts = np.concatenate([np.frombuffer(v, np.int64) for v in rows["starts"]])
@@ -363,7 +355,8 @@ def _sort_windows(scheme: Scheme):
             covered[tied] = ids[tied] > least[group[tied]]
         at = starts[context[covered]] + skip[covered]
         owner, a, b = _merge(context[covered], at, at + scheme.window)
-        return pd.DataFrame({"doc_id": owners[0][owner], "text_hash": owners[1][owner], "start": a, "stop": b})
+        late = pd.DataFrame({"doc_id": owners[0][owner], "text_hash": owners[1][owner], "start": a, "stop": b})
+        return pd.concat([*done, late])
 
     return sort_windows
 
@@ -383,11 +376,7 @@ def repeated_runs(docs: DataFrame, window: int = 50) -> DataFrame:
     # The parts make up a table of 2^TABLE_BITS bits, whatever the corpus holds.
     table = spark.sparkContext.broadcast(_Table(shared.toArrow(), bits))
     contexts = docs.select("doc_id", "text", "text_hash").mapInArrow(_send_contexts(table, scheme, bits), _CONTEXTS)
-    contexts = settle(contexts, "contexts")
-    early = contexts.where("bucket is null").select("doc_id", "text_hash", "start", "stop")
-    packed = contexts.where("bucket is not null").select("bucket", "around", "owners", "starts")
-    late = packed.groupBy("bucket").applyInPandas(_sort_windows(scheme), _SPANS)
-    return early.unionByName(late)
+    return contexts.groupBy("bucket").applyInPandas(_sort_windows(scheme), _SPANS)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
