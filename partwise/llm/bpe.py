@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 from partwise.llm.common import free_name
 
 VOCABULARY_BYTES = 64 << 20
-#: Pieces whose tokens a worker remembers, and compatible pairs; both start anew when full.
-REMEMBERED_PIECES, REMEMBERED_PAIRS = 250_000, 500_000
+#: Pieces whose tokens a task remembers, and compatible pairs; both start anew when full.
+REMEMBERED_PIECES, REMEMBERED_PAIRS = 150_000, 150_000
 #: Rows that are handed on together.
 ROWS = 512
 
@@ -91,6 +91,9 @@ class Vocabulary:
             known = self._fits[left, right] = self._undo(left, right)
         return known
 
+    def forget(self) -> None:
+        self._fits.clear()
+
     def encode_piece(self, piece: bytes) -> list[int]:
         """The ranks of one piece, as the merges leave them."""
         whole = self.ranks.get(piece)
@@ -158,6 +161,11 @@ class Encoder:
             out += ids
         return out
 
+    def forget(self) -> None:
+        """Free what was remembered; the worker goes on to other work."""
+        self.known.clear()
+        self.vocabulary.forget()
+
 
 _encoders: dict[tuple[int, str], Encoder] = {}
 _tokens: dict[int, dict[int, bytes]] = {}
@@ -171,8 +179,10 @@ def _encoder(content: bytes, pattern: str) -> Encoder:
     return _encoders[key]
 
 
-def _add_column(df: DataFrame, name: str, kind: T.DataType, source: str, fill: Callable) -> DataFrame:
-    """``df`` with one more column, made per Arrow batch from column ``source``."""
+def _add_column(
+    df: DataFrame, name: str, kind: T.DataType, source: str, fill: Callable, after: Callable = lambda: None
+) -> DataFrame:
+    """``df`` with one more column, made per Arrow batch from column ``source``; ``after`` ends a task."""
     at = df.columns.index(source)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +191,7 @@ def _add_column(df: DataFrame, name: str, kind: T.DataType, source: str, fill: C
                 part = batch.slice(k, ROWS)
                 columns = [*part.columns, fill(part.column(at))]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, name])
+        after()
 
     return df.mapInArrow(add, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
 
@@ -204,7 +215,10 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
         flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
-    return _add_column(df, free_name(df, to), T.ArrayType(T.IntegerType()), text_col, fill)
+    def after() -> None:
+        _encoder(content.value, pattern).forget()
+
+    return _add_column(df, free_name(df, to), T.ArrayType(T.IntegerType()), text_col, fill, after)
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "token_ids", to: str = "decoded") -> DataFrame:

@@ -201,9 +201,10 @@ def score(docs: DataFrame, model: Model, to: str = "score") -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.scores(statistics(texts)) for _, texts in chunks(batch.column(at))]
-            scores = np.concatenate(found) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, name])
+            for begin, texts in chunks(batch.column(at)):
+                part = batch.slice(begin, len(texts))
+                scores = pa.array(model.scores(statistics(texts)))
+                yield pa.RecordBatch.from_arrays([*part.columns, scores], [*part.schema.names, name])
 
     return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
