@@ -36,9 +36,9 @@ from partwise.llm.words import chunks, mix, text_bytes
 #: Windows that are looked at together; longer texts are cut with an overlap.
 STEP = 1 << 18
 #: Bytes of whole texts whose anchors a task holds and sends together, about.
-BATCH_BYTES = 2 << 20
-#: Bits of the table of shared anchors: 16 MB.
-TABLE_BITS = 27
+BATCH_BYTES = 4 << 20
+#: Bits of the table of shared anchors: 32 MB.
+TABLE_BITS = 28
 #: Anchors that one bucket holds, about.
 BUCKET_ANCHORS = 1 << 18
 
