@@ -12,14 +12,15 @@ values are banded; documents that agree in a band meet in its bucket.
    the pivot, then those it does not reach with all others. Any two members of a bucket
    share its pivot, so no candidate pair is left out, yet no list of pairs is ever made:
    only links that join separate parts of a block come out.
-4. Members that a block leaves unconnected are compared with the other blocks of the pivot.
+4. Members that a block leaves out of the pivot's part are compared with the other blocks of
+   the pivot, and linked to every part there that they are near to.
 
 With 24 bands of 4 values a pair at similarity 0.8 stays unseen with probability 3e-6.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -127,33 +128,33 @@ class _Block:
         return 100 * common >= percent * (self.sizes + self.sizes[i] - common)
 
 
-def _compare(ids: np.ndarray, block: _Block, asking: list[int], percent: int) -> tuple[list, np.ndarray]:
-    """Links that join parts of the block, and the part of each member.
+def _compare(ids: np.ndarray, block: _Block, asking: Iterable[int], percent: int, part: np.ndarray) -> list:
+    """Links that join separate parts; ``part`` says where each member is, and follows.
 
-    Part 0 is the first member's. ``asking`` members compare themselves with all others,
-    unless they have come to part 0 by then.
+    ``asking`` members compare themselves with all others.
     """
-    part = np.arange(len(ids))
     found = []
     for i in asking:
-        if i and part[i] == part[0]:
-            continue
         near = np.flatnonzero(block.near(i, percent))
         parts, first = np.unique(part[near], return_index=True)
         for p, j in zip(parts, near[first], strict=True):
             if p != part[i]:
                 found.append((int(ids[i]), int(ids[j])))
                 part[part == p] = part[i]
-    return found, part
+    return found
 
 
 def _within_block(percent: int):
     def within_block(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["is_pivot", "id"], ascending=[False, True], ignore_index=True)
         ids = rows["id"].to_numpy()
-        found, part = _compare(ids, _Block(list(rows["shingles"])), list(range(len(ids))), percent)
-        alone = ids[part != part[0]] if rows["blocks"][0] > 1 else []
-        out = [(a, b, None) for a, b in found] + [(int(i), None, int(rows["pivot"][0])) for i in alone]
+        part = np.arange(len(ids))
+        # The pivot asks, then those that have not come to its part when their turn comes.
+        asking = (i for i in range(len(ids)) if not i or part[i] != part[0])
+        out = [(a, b, None) for a, b in _compare(ids, _Block(list(rows["shingles"])), asking, percent, part)]
+        if rows["blocks"][0] > 1:
+            # A part is known by one of its members.
+            out += [(int(ids[i]), int(ids[part[i]]), int(rows["pivot"][0])) for i in np.flatnonzero(part != part[0])]
         return pd.DataFrame(out, columns=["a", "b", "pivot"], dtype="Int64")
 
     return within_block
@@ -163,12 +164,8 @@ def _across_blocks(percent: int):
     def across_blocks(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["asks", "id"], ascending=[False, True], ignore_index=True)
         ids, asks = rows["id"].to_numpy(), int(rows["asks"].sum())
-        block = _Block(list(rows["shingles"]))
-        found = []
-        for i in range(asks):
-            near = np.flatnonzero(block.near(i, percent)[asks:])[:1]
-            # The members of a block that its pivot reaches are one part already; others ask in turn.
-            found += [(int(ids[i]), int(ids[asks + j])) for j in near]
+        _, part = np.unique(rows["part"].to_numpy(), return_inverse=True)
+        found = _compare(ids, _Block(list(rows["shingles"])), range(asks), percent, part)
         return pd.DataFrame(found, columns=["a", "b"], dtype="Int64")
 
     return across_blocks
@@ -203,10 +200,11 @@ def near_duplicate_links(signed: DataFrame, sets_of, percent: int) -> DataFrame:
     placed = members.select("*", F.explode(places).alias("block"))
     tiles = placed.join(sets, "id").groupBy("pivot", "block")
     outcome = settle(tiles.applyInPandas(_within_block(percent), "a long, b long, pivot long"), "within")
-    links = outcome.where("b is not null").select("a", "b")
+    links = outcome.where("pivot is null").select("a", "b")
 
-    # Only pivots with more than one block have rows from here on.
-    alone = outcome.where("b is null").select("pivot", F.col("a").alias("id")).distinct()
+    # Only pivots with more than one block have rows from here on. What a member's links within
+    # its block connect it to is its part; the pivot's is the same one in all blocks.
+    alone = outcome.where("pivot is not null").groupBy("pivot", F.col("a").alias("id")).agg(F.min("b").alias("part"))
     counts = alone.groupBy("pivot").agg(F.count("*").alias("n"))
     wide = weights.join(counts, "pivot")
     slices = F.greatest(F.lit(1), F.ceil(F.col("n") / 512)).cast("int")
@@ -214,12 +212,13 @@ def near_duplicate_links(signed: DataFrame, sets_of, percent: int) -> DataFrame:
     home = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     asking = (
         alone.join(wide, "pivot")
-        .select("pivot", "id", F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != home)).alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), F.col("slices")).cast("int").alias("slice"))
+        .select("pivot", "id", "part", F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != home)).alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), F.col("slices")).cast("int").alias("slice"))
         .withColumn("asks", F.lit(True))
     )
     asked = (
         stars.join(wide, "pivot")
-        .select("pivot", "id", home.alias("block"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+        .join(alone, ["pivot", "id"], "left")
+        .select("pivot", "id", F.coalesce("part", "pivot").alias("part"), home.alias("block"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
         .withColumn("asks", F.lit(False))
     )
     tiles = asking.unionByName(asked).join(sets, "id").groupBy("pivot", "block", "slice")

@@ -69,6 +69,53 @@ def test_same_as_all_pairs(spark, monkeypatch, seed, n, percent, block):
         assert r.kept == (r.doc_id is None or r.doc_id == r.component_id)
 
 
+def linked(spark, sets, bands, percent=80):
+    """{id: smallest id} over the links of the members of shared ``bands``."""
+    signed = spark.createDataFrame([(i, [band]) for i, band in bands.items()], "id long, bands array<long>")
+    rows = [(i, np.array(sorted(s), np.uint64).tobytes()) for i, s in sets.items()]
+    listed = spark.createDataFrame(rows, "id long, shingles binary")
+    links = minhash.near_duplicate_links(signed, lambda ids: listed.join(ids, "id", "left_semi"), percent)
+    found = dict(map(tuple, components(links, "a", "b").collect()))
+    return {i: found.get(i, i) for i in sets}
+
+
+def smallest(sets, bands, percent=80):
+    """The same from all pairs."""
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            near = 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+            if bands[a] == bands[b] and near and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    return root
+
+
+def test_a_chain_over_two_blocks_of_a_pivot(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 50)  # five sets of 20: two blocks
+    blocks = spark.range(1, 100).selectExpr("id", "pmod(xxhash64(id), 2) AS block").collect()
+    x, i, *_ = [r.id for r in blocks if r.block == 0]
+    y1, y2, *_ = [r.id for r in blocks if r.block == 1]
+    # Only neighbours of the chain x, y2, i, y1 are near; the pivot is near to none.
+    sets = {m: set(range(2 * at, 2 * at + 20)) for at, m in enumerate([x, y2, i, y1])} | {0: set(range(1000, 1020))}
+    bands = dict.fromkeys(sets, 7)
+    low = min(x, y1)
+    assert linked(spark, sets, bands) == smallest(sets, bands) == {x: low, i: low, y1: low, y2: low, 0: 0}
+
+
+@pytest.mark.parametrize("block", [60, 150])
+def test_random_chains_over_blocks_of_a_pivot(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", block)
+    r = random.Random(block)
+    ids = iter(r.sample(range(10**6), 600))
+    sets, bands = {}, {}
+    for band in range(40):
+        for m in [next(ids) for _ in range(r.randint(5, 15))]:
+            start = r.randrange(30)
+            sets[m], bands[m] = set(range(start, start + 20)), band
+    assert linked(spark, sets, bands) == smallest(sets, bands)
+
+
 def test_dropping_keeps_one_of_each_group(spark):
     text = " ".join(f"w{i}" for i in range(80))
     rows = [(5, text, "a"), (3, text + " more", "b"), (3, text + " more", "c"), (8, "other words here", "d"), (None, text, "e"), (9, None, "f"), (10, "", "g")]
