@@ -73,6 +73,46 @@ def test_same_as_all_alignments(spark, seed):
         assert slow_score(word_list(dict(items)[key[1]]), place) == pytest.approx(row.score)
 
 
+def same_as_brute_force(spark, items, rows, partitions=3):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, benchmark).collect()}
+    scores = {(d, i): slow_score(word_list(item), word_list(text)) for d, text in rows for i, item in items}
+    assert found == pytest.approx({pair: score for pair, score in scores.items() if score >= decontaminate.LEAST})
+    return found
+
+
+def test_edited_copies_beside_an_exact_one(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    items, rows = [], []
+    for i in range(12):
+        item = r.sample(words, r.randint(12, 20))
+        items.append((i, " ".join(item)))
+        copies = [item, [w if k % 5 != 4 else r.choice(words) for k, w in enumerate(item)]]
+        copies += [[w if r.random() < 0.75 else r.choice(words) for w in item] for _ in range(8)]
+        for copy in copies:
+            rows.append((len(rows), " ".join([*r.choices(words, k=r.randint(0, 60)), *copy, *r.choices(words, k=30)])))
+    assert len(same_as_brute_force(spark, items, rows)) >= 90
+
+
+def test_copies_without_three_words_in_a_row(spark):
+    item = [f"w{i}" for i in range(17)]
+    edits = [
+        [w if k % 3 != 2 else "x" for k, w in enumerate(item)],
+        [w for k, w in enumerate(item) if k % 3 != 2],
+        [v for k, w in enumerate(item) for v in ([w, "x"] if k % 2 else [w])],
+        [v for w in item for v in (w, "x")],
+        [*item[:9], *["x"] * 8, *item[9:]],
+        [w if k % 2 else "x" for k, w in enumerate(item)],
+    ]
+    # The copies also lie across the ends of passages.
+    rows = [(1000 * k + at, " ".join([*["y"] * at, *edit, *["z"] * 300])) for k, edit in enumerate(edits) for at in (0, 240, 255, 500)]
+    rows += [(10_000 + k, " ".join(item)) for k in range(5)]
+    found = same_as_brute_force(spark, [(1, " ".join(item))], rows)
+    assert len(found) == 5 * 4 + 5
+
+
 def test_odd_rows(spark):
     item = " ".join(f"word{i}" for i in range(20))
     rows = [(1, f"x {item} y"), (1, f"x {item} y"), (None, item), (2, None), (3, ""), (4, "word1 word2 word3"), (5, f"{item} " * 300), (6, "a b")]
