@@ -190,12 +190,13 @@ def _score(least: float):
         names = ["doc_id", "item_id", "score", "first_word", "last_word"]
         for batch in batches:
             doc, item, starts, passages, words = (batch.column(i) for i in range(5))
-            groups: dict[int | None, list[int]] = {}
+            # An id may stand for several texts, so the words are part of the key.
+            groups: dict[tuple, list[int]] = {}
             for i, name in enumerate(item.to_pylist()):
-                groups.setdefault(name, []).append(i)
+                groups.setdefault((name, words[i].values.to_numpy().tobytes()), []).append(i)
             out = []
-            for name, rows in groups.items():
-                own = words[rows[0]].values.to_numpy()
+            for (name, key), rows in groups.items():
+                own = np.frombuffer(key, np.int64)
                 for k in range(0, len(rows), 64):
                     some = rows[k : k + 64]
                     texts = [passages[i].values.to_numpy() for i in some]

@@ -126,6 +126,15 @@ def test_odd_rows(spark):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).collect() == []
 
 
+def test_an_item_id_with_two_texts(spark):
+    texts = [" ".join(f"{letter}{i}" for i in range(16)) for letter in "ab"]
+    rows = [(d, f"x {texts[d % 2]} y") for d in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(7, text) for text in texts], "item_id long, text string")
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.score) for r in found) == [(d, 7, 1.0) for d in range(6)]
+
+
 def test_align_matches_the_slow_table():
     r = np.random.default_rng(0)
     for _ in range(30):
