@@ -27,7 +27,7 @@ from partwise.llm.common import free_name, settle
 COUNTERS = 1 << 18
 #: Numbers in the constants that counters and document filters are packed into.
 PACKED = 1 << 14
-MIN_WORDS, PERCENT = 3, 80
+MIN_WORDS, PERCENT = 1, 80
 _KEY, _PLACE = ["k1", "k2"], ["doc_id", "line"]
 
 
@@ -104,7 +104,9 @@ def _classes(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
     high = F.aggregate("hashes", zero, lambda bits, h: F.when(h < 0, bits.bitwiseXOR(_bit(h))).otherwise(bits))
     hashed = hashed.select(*_KEY, *_PLACE, "hashes", prefix.alias("prefix"), every.alias("every"), high.alias("high"))
     low = F.col("every").bitwiseXOR(F.col("high"))
-    extremes = F.array(*[F.xxhash64(F.get("hashes", F.lit(i)), F.get("hashes", n - 1 - i), F.lit(i)) for i in range(3)])
+    # Lines of one or two words have fewer extremes, or they would all share the one of no word.
+    ends = [F.xxhash64(F.get("hashes", F.lit(i)), F.get("hashes", n - 1 - i), F.lit(i)) for i in range(3)]
+    extremes = F.slice(F.array(*ends), F.lit(1), F.least(n, F.lit(3)))
     row = F.struct(*_PLACE, n.alias("n"), low.alias("low"), F.col("high"), F.col("prefix"), extremes.alias("extremes"))
     classes = hashed.select(*_KEY, row.alias("row")).groupBy(*_KEY).agg(F.min("row").alias("row"))
     # Not earlier: a test of the size before the grouping would have the words split twice.

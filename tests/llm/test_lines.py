@@ -59,6 +59,20 @@ def test_same_as_all_pairs(spark, seed, min_words, percent):
         assert row.n_removed == len(row.removed)
 
 
+def test_short_lines_are_compared_by_default(spark):
+    rows = [(1, "Ietzte.\nhttps://a.example/b?c=d\none two"), (2, "Two  one\nietzte.\n\n \nother"), (3, "https://a.example/b?c=d\n\n \none three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.removed for r in lines.line_report(docs).collect()}
+    assert found == {1: [], 2: [0, 1], 3: [0]}
+    assert {r.doc_id: r.text for r in lines.drop_repeated_lines(docs).collect()} == {1: rows[0][1], 2: "\n \nother", 3: "\n \none three"}
+
+
+def test_short_lines_share_no_empty_extreme(spark):
+    docs = spark.createDataFrame([(i, f"a{i}\nb{i} c{i}") for i in range(20)], "doc_id long, text string")
+    classes = lines._classes(docs, 1, 80)
+    assert lines._with_earliest(classes, 0).count() == 0
+
+
 def test_kept_text(spark):
     rows = [
         (1, "one two three four\nonly here", 1, "a"),
