@@ -112,3 +112,45 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN by_document b ON b.doc_id = d.doc_id
 """
+
+# The head of a conversation is CRC-32 over the digits of its id modulo 9, a bit at a time.
+ORACLE["op13_prefix_trie"] = """
+WITH own AS (
+  SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS no
+  FROM conversations WHERE conv_id IS NOT NULL
+), counts AS (
+  SELECT conv, max(no) AS n, xor(list_reduce([4294967295] || flatten(list_transform(string_split(conv::VARCHAR, ''),
+    lambda digit: [ascii(digit)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 9 AS head
+  FROM own GROUP BY conv
+), known AS (
+  SELECT c.conv, c.n, c.head, b.conv AS base, least(c.head, coalesce(b.n, 0)) AS taken
+  FROM counts c LEFT JOIN counts b ON b.conv = c.conv - c.conv % 5
+), turns AS (
+  SELECT k.conv, o.no - k.head + k.taken AS d, o.role, o.text FROM own o JOIN known k ON k.conv = o.conv WHERE o.no > k.head
+  UNION ALL
+  SELECT k.conv, o.no, o.role, o.text FROM own o JOIN known k ON k.base = o.conv WHERE o.no <= k.taken
+), paths AS (
+  SELECT conv, d, octet_length(encode(text)) AS bytes,
+    list(md5(length(role) || ':' || role || text)) OVER (PARTITION BY conv ORDER BY d ROWS UNBOUNDED PRECEDING) AS key
+  FROM turns
+  UNION ALL SELECT conv, 0, 0, []::VARCHAR[] FROM known
+), ended AS (
+  SELECT conv, max(d) AS last FROM paths GROUP BY conv
+), nodes AS (
+  SELECT key, min(p.conv) AS conv, max(d) AS depth, count(*) AS n_convs, max(bytes) AS bytes,
+    sha256(coalesce(string_agg(p.conv::VARCHAR, ',' ORDER BY p.conv) FILTER (WHERE d = last), '')) AS ends_sha256
+  FROM paths p JOIN ended e ON e.conv = p.conv GROUP BY key
+), children AS (
+  SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.key = n.key
+), sums AS (
+  SELECT p.key, sum((u.n_children = 0)::INT) AS n_leaves, sum((u.n_convs - 1) * u.bytes) AS saved_tokens
+  FROM counted u JOIN paths p ON p.conv = u.conv AND p.d <= u.depth GROUP BY p.key
+)
+SELECT n.conv AS conv_id, n.depth::BIGINT AS depth, parent.conv AS parent_conv_id, n.n_convs, n.n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN sums s ON s.key = n.key LEFT JOIN nodes parent ON n.depth > 0 AND parent.key = n.key[1:n.depth - 1]
+"""

@@ -8,10 +8,24 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import bpe, decontaminate, lattice, lines, minhash, quality, secrets, suffixes, urls, warc
+from partwise.llm import (
+    bpe,
+    decontaminate,
+    lattice,
+    lines,
+    minhash,
+    prefixes,
+    quality,
+    runs,
+    secrets,
+    suffixes,
+    trie_bpe,
+    urls,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +39,7 @@ URL_RULES = [
     ("block", "net/fr/"),
 ]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 _shipped: set[str] = set()
 
@@ -103,7 +118,7 @@ def op7_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"), rules)
     base = F.filter("found", lambda span: span["kind"] < len(secrets.BASE))
 
-    def number(kind: int) -> F.Column:
+    def number(kind: int) -> Column:
         return F.size(F.filter("found", lambda span: span["kind"] == kind)).cast("long")
 
     return found.select(
@@ -146,3 +161,70 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids by the tokenizer's file, and of the text they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = trie_bpe.encode(docs, TOKENIZER).drop("text")
+    decoded = trie_bpe.decode(encoded, TOKENIZER)
+    return decoded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of op12: every tenth document by a hash of its id goes on periodically from some word."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.coalesce("text", F.lit(""))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+
+    def planted(words: Column) -> Column:
+        n, g = F.size(words), F.floor(hashed / 10)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        copies = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+        return F.concat_ws(" ", F.slice(words, 1, a), F.slice(F.flatten(copies), 1, n - a))
+
+    # The transform over one element binds the words once.
+    rewritten = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, planted(w)).otherwise(""))[0]
+    return docs.select("doc_id", F.when(hashed % 10 == 0, rewritten).otherwise(text).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of words in every document, and what is left without their repeats."""
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.collapse_runs(docs, least=24, times=3)
+
+    def first(a: Column, b: Column) -> Column:
+        """The run with the greater exponent; of equal ones the one that comes first."""
+        return F.when(b["length"] * a["period"] > a["length"] * b["period"], b).otherwise(a)
+
+    rows = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    rest = F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1)))
+    top = F.when(F.size("runs") > 0, F.aggregate(rest, F.get("runs", F.lit(0)), first))
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(rows, lambda row: F.concat(row, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations, each behind the head of the one its id leads to."""
+    turns = prefixes.digest_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv")
+    head = F.crc32(conv.cast("string").cast("binary")) % 9
+    spliced, convs = prefixes.splice_heads(turns, base=conv - conv % 5, head=head, most=8)
+    return prefixes.prefix_trie(spliced, convs)
