@@ -8,6 +8,8 @@ ends up in one task:
 * a list is cut into blocks, and every two blocks form a tile that is shuffled on
   its own, so the pairs of one long list are made by many tasks;
 * the members of a pair on very many lists are gathered in parts first.
+
+No job makes the pairs of a list more than once.
 """
 
 from __future__ import annotations
@@ -92,6 +94,16 @@ def clean_lists(adjacency: DataFrame) -> DataFrame:
     return adjacency.withColumn("friends", without(F.array_distinct("friends"), F.lit("")))
 
 
+def _bitmap(names: Column, seed: int) -> Column:
+    """A bit of 64 for each name, by its hash."""
+
+    def add(bits: Column, name: Column) -> Column:
+        at = F.xxhash64(name, F.lit(seed)).bitwiseAND(63).cast("int")
+        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+
+    return F.aggregate(names, F.lit(0).cast("long"), add)
+
+
 def _with_names(merged: DataFrame) -> DataFrame:
     """Distinct ``names`` of the sorted ``friends``, those met ``twice``, and the ``size``."""
     return merged.withColumns(
@@ -116,8 +128,14 @@ def _user_lists(adjacency: DataFrame, max_friends: int | None) -> DataFrame:
 
 
 def _bare_lists(merged: DataFrame) -> DataFrame:
-    """Each distinct list that has a pair, with a ``list`` number, whoever it belongs to."""
+    """Each distinct list that has a pair, with a ``list`` number, whoever it belongs to.
+
+    ``bits`` and ``more_bits`` are hash bitmaps of its ``distinct`` names.
+    """
     lists = _with_names(merged.select("friends").distinct()).select("names", "twice", "size")
+    lists = lists.withColumns(
+        {"distinct": F.size("names"), "bits": _bitmap(F.col("names"), 1), "more_bits": _bitmap(F.col("names"), 2)}
+    )
     return written(lists.withColumn("list", F.monotonically_increasing_id()), "friend-lists")
 
 
@@ -186,6 +204,23 @@ def common_friend_rows(
     return pairs.select("f1", "f2", F.col("user").alias("member")).distinct()
 
 
+def _with_hot_names(lists: DataFrame, part_members: int) -> DataFrame:
+    """``lists`` with ``hot``, of its names the ones on more than ``part_members`` lists, with their number.
+
+    Names are counted, not pairs: that is linear in the lists. A pair is on at most as many
+    lists as the rarer of its names.
+    """
+    held = lists.select("list", F.explode("names").alias("name"))
+    hot = held.groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") > part_members)
+    hot = written(hot, "hot-names")
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
+    if hot.isEmpty():
+        return lists.withColumn("hot", none)
+    entries = held.join(hot, "name").groupBy("list").agg(F.collect_list(F.struct("name", "n")).alias("entries"))
+    mapped = entries.select("list", F.map_from_entries("entries").alias("hot"))
+    return lists.join(mapped, "list", "left").withColumn("hot", F.coalesce("hot", none))
+
+
 def common_friends(
     adjacency: DataFrame,
     max_friends: int | None = None,
@@ -194,66 +229,129 @@ def common_friends(
 ) -> DataFrame:
     """(f1, f2, members): the sorted users whose list holds both names, a row per pair.
 
-    Pairs are counted first. The rows of one on more than ``part_members`` lists are
-    gathered by a hash of the user in several tasks, before the parts become its row. A
-    pair whose members do not fit into a row is a case for :func:`common_friend_rows`.
+    The pair rows are made once, and routed as they are made: a pair whose names are both on
+    more than ``part_members`` lists is gathered by a hash of the user in several tasks,
+    before the parts become its row; all others in one group. A pair whose members do not
+    fit into a row is a case for :func:`common_friend_rows` and the sink of pair lines.
     """
-    pairs = friend_pairs(adjacency, max_friends, block)
-    counts = pairs.groupBy("f1", "f2").agg(F.count("*").alias("n")).filter(F.col("n") > part_members)
-    parts = F.ceil(F.col("n") / part_members).cast("int").alias("parts")
-    large = written(counts.select("f1", "f2", parts), "large-pairs")
+    lists = _with_hot_names(_user_lists(adjacency, max_friends), part_members)
+    pairs = _pairs(lists, ["user", "hot"], block)
+    lists_at_most = F.least(F.col("hot")[F.col("f1")], F.col("hot")[F.col("f2")])
+    parts = F.ceil(lists_at_most / part_members).cast("int")
+    # Least ignores a null; a pair with one hot name is not hot.
+    is_hot = F.map_contains_key("hot", F.col("f1")) & F.map_contains_key("hot", F.col("f2"))
+    part = F.when(is_hot, F.pmod(F.xxhash64("user"), parts))
     # A user on many lists is met once per task before the shuffle, and once after it.
-    small = pairs.join(large, ["f1", "f2"], "left_anti").groupBy("f1", "f2")
-    gathered = small.agg(F.sort_array(F.collect_set("user")).alias("members"))
-    part = F.pmod(F.xxhash64("user"), F.col("parts")).alias("part")
-    spread = pairs.join(large, ["f1", "f2"]).select("f1", "f2", part, "user").repartition("f1", "f2", "part")
-    in_parts = spread.groupBy("f1", "f2", "part").agg(F.collect_set("user").alias("members"))
-    merged = in_parts.groupBy("f1", "f2").agg(F.sort_array(F.flatten(F.collect_list("members"))).alias("members"))
-    return gathered.unionByName(merged)
+    in_parts = pairs.groupBy("f1", "f2", part.alias("part")).agg(F.collect_set("user").alias("members"))
+    if not lists.select(F.size("hot").alias("n")).filter("n > 1").isEmpty():
+        in_parts = written(in_parts, "pair-parts")
+        spread = in_parts.filter(F.col("part").isNotNull()).groupBy("f1", "f2")
+        merged = spread.agg(F.flatten(F.collect_list("members")).alias("members"))
+        in_parts = in_parts.filter(F.col("part").isNull()).select("f1", "f2", "members").unionByName(merged)
+    return in_parts.select("f1", "f2", F.sort_array("members").alias("members"))
 
 
 def _rest(names: str) -> Column:
     return without(F.col(names), F.col("f1"), F.col("f2"))
 
 
-def _lists_of_pairs(lists: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """The pair rows, and per pair the number ``n`` of its lists with one of them.
+def _wanted() -> Column:
+    """How many names of a list are the pair's own; a name with itself is one."""
+    return F.when(F.col("f1") == F.col("f2"), 1).otherwise(2)
+
+
+def _met(lists: DataFrame, block: int) -> DataFrame:
+    """Each pair whose lists all hold more than it, with the number ``n`` of its lists and one of them.
 
-    Counting combines before the shuffle and needs no sort. ``size`` is that of the
-    shortest list, which for n = 1 is the list's own.
+    One pass over the pair rows. Beside the counts, the lists' bitmaps are combined by a
+    bitwise and, before the shuffle and after it: a name on all lists has its bits left.
+    For pairs on one list nothing but the list is kept.
     """
-    pairs = _pairs(lists, ["list", "size"], block)
+    pairs = _pairs(lists, ["list", "distinct", "bits", "more_bits"], block)
     met = pairs.groupBy("f1", "f2").agg(
-        F.count("*").alias("n"), F.min("list").alias("list"), F.min("size").alias("size")
+        F.count("*").alias("n"),
+        F.min("list").alias("list"),
+        F.min("distinct").alias("distinct"),
+        F.bit_and("bits").alias("bits"),
+        F.bit_and("more_bits").alias("more_bits"),
     )
-    return pairs, met
+    return met.filter(F.col("distinct") > _wanted()).drop("distinct")
 
 
-def _names_on_all(lists: DataFrame, pairs: DataFrame, met: DataFrame) -> DataFrame:
-    """(f1, f2, name) for pairs on more than one list: the names on every one of them.
+def _candidates(met: DataFrame, lists: DataFrame) -> DataFrame:
+    """Pairs on more than one list, with the names of one list that the bitmaps leave."""
+    more = met.filter(F.col("n") > 1).join(lists.select("list", "names"), "list")
 
-    One list gives the candidates; only what the others share with it is counted.
-    """
-    more = met.filter(F.col("n") > 1).join(lists.select("list", F.col("names").alias("first")), "list")
-    more = more.select("f1", "f2", "n", _rest("first").alias("candidates")).filter(F.size("candidates") > 0)
-    rows = pairs.select("f1", "f2", "list").join(more, ["f1", "f2"]).join(lists.select("list", "names"), "list")
-    names = rows.select("f1", "f2", "n", F.explode(F.array_intersect("candidates", "names")).alias("name"))
-    counted = names.groupBy("f1", "f2", "n", "name").agg(F.count("*").alias("met"))
-    return counted.filter(F.col("met") == F.col("n")).select("f1", "f2", "name")
+    def has_bits(bits: str, name: Column, seed: int) -> Column:
+        at = F.xxhash64(name, F.lit(seed)).bitwiseAND(63).cast("int")
+        return F.call_function("getbit", F.col(bits), at) == 1
+
+    def is_left(name: Column) -> Column:
+        is_other = (name != F.col("f1")) & (name != F.col("f2"))
+        return is_other & has_bits("bits", name, 1) & has_bits("more_bits", name, 2)
+
+    left = more.select("f1", "f2", F.filter("names", is_left).alias("candidates"))
+    return written(left.filter(F.size("candidates") > 0), "candidates")
 
 
-def _has_rest() -> Column:
-    """Whether a list of ``size`` holds more than the pair; a name with itself is in it twice."""
-    return F.col("size") > 2
+#: Bits of a word that say which of so many candidates are on all lists.
+_WORD = 60
+
+
+def _divided(candidates: DataFrame, lists: DataFrame) -> DataFrame:
+    """(f1, f2, members): the ``candidates`` that are on every list of their pair.
+
+    The lists of a pair come from those of the rarer of its names, each list standing by all
+    its names. Each gives a bitmap over the candidates, by their place, and one aggregation
+    with a bitwise and divides them.
+    """
+    held = lists.select(F.explode("names").alias("name"), "names", "twice")
+    names = candidates.select(F.explode(F.array("f1", "f2")).alias("name")).distinct()
+    held = held.join(names, "name", "left_semi")
+    counts = held.groupBy("name").agg(F.count("*").alias("on_lists"))
+    asked = candidates
+    for name in ("f1", "f2"):
+        asked = asked.join(counts.select(F.col("name").alias(name), F.col("on_lists").alias(f"n_{name}")), name)
+    rarer = F.when(F.col("n_f1") <= F.col("n_f2"), F.col("f1")).otherwise(F.col("f2"))
+    other = F.when(F.col("n_f1") <= F.col("n_f2"), F.col("f2")).otherwise(F.col("f1"))
+    asked = asked.select("f1", "f2", "candidates", rarer.alias("name"), other.alias("other"))
+    has_other = F.when(F.col("name") == F.col("other"), F.array_contains("twice", F.col("other")))
+    rows = asked.join(held, "name").filter(has_other.otherwise(F.array_contains("names", F.col("other"))))
+    size = F.size("candidates")
+    starts = F.sequence(F.lit(0), size - 1, F.lit(_WORD))
+
+    def word(start: Column) -> Column:
+        """The bits of the candidates from ``start`` on that are on this list."""
+        part = F.slice("candidates", start + 1, F.lit(_WORD))
+        bits = F.transform(
+            part,
+            lambda name, at: F.when(
+                F.array_contains("names", name), F.call_function("shiftleft", F.lit(1).cast("long"), at)
+            ).otherwise(0),
+        )
+        return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+    words = F.transform(starts, lambda start: F.struct(start.alias("start"), word(start).alias("bits")))
+    rows = rows.select("f1", "f2", F.inline(words))
+    left = rows.groupBy("f1", "f2", "start").agg(F.bit_and("bits").alias("bits")).filter("bits <> 0")
+    found = left.join(candidates, ["f1", "f2"])
+    part = F.slice("candidates", F.col("start") + 1, F.lit(_WORD))
+    is_on = F.filter(part, lambda name, at: F.call_function("getbit", F.col("bits"), at) == 1)
+    return found.select("f1", "f2", is_on.alias("members"))
 
 
 def _intersections(lists: DataFrame, block: int) -> DataFrame:
-    pairs, met = _lists_of_pairs(lists, block)
-    alone = met.filter((F.col("n") == 1) & _has_rest()).select("f1", "f2", "list")
-    alone = alone.join(lists.select("list", "names"), "list").select("f1", "f2", _rest("names").alias("members"))
-    alone = alone.filter(F.size("members") > 0)
-    shared = _names_on_all(lists, pairs, met).groupBy("f1", "f2").agg(F.sort_array(F.collect_list("name")).alias("members"))
-    return alone.unionByName(shared)
+    met = _met(lists, block)
+    several = F.col("n") > 1
+    kept = [F.when(several, F.col(name)).alias(name) for name in ("bits", "more_bits")]
+    met = written(met.select("f1", "f2", "n", "list", *kept), "met-pairs")
+    alone = met.filter(~several).join(lists.select("list", "names"), "list")
+    alone = alone.select("f1", "f2", _rest("names").alias("members"))
+    candidates = _candidates(met, lists)
+    if candidates.isEmpty():
+        return alone
+    parts = _divided(candidates, lists).groupBy("f1", "f2").agg(F.collect_list("members").alias("parts"))
+    return alone.unionByName(parts.select("f1", "f2", F.sort_array(F.flatten("parts")).alias("members")))
 
 
 def friend_list_intersection(
@@ -264,8 +362,8 @@ def friend_list_intersection(
     Pairs with no such name have no row. Not the same as :func:`common_friends`.
 
     Only the set of distinct lists matters, so each is written once under a number, and
-    the pair rows carry that. A pair on one list takes the rest of it; only pairs on
-    more lists go back to their rows.
+    the pair rows carry that. They are made once: a pair on one list takes the rest of it;
+    for one on more lists hash bitmaps leave few candidates, which are then divided.
     """
     return _intersections(_bare_lists(adjacency.select(_sorted_friends(max_friends).alias("friends"))), block)
 
@@ -280,20 +378,26 @@ def _classified_lists(lines: DataFrame, max_friends: int | None) -> tuple[DataFr
     return outcomes, _bare_lists(merged.filter(F.col("friends").isNotNull()))
 
 
+_MET = ["f1", "f2", "n", "list", "bits", "more_bits"]
+
+
 def graph_outcomes(lines: DataFrame, max_friends: int | None = None, block: int = BLOCK) -> DataFrame:
     """Lines per outcome, and the pairs that have a friend-list intersection.
 
-    Whether a pair has one is all that is asked: no members are gathered.
+    Whether a pair has one is all that is asked: a pair on one list is counted by the
+    list's size, and of the others only those with a candidate left are looked at.
     """
     outcomes, lists = _classified_lists(lines, max_friends)
-    pairs, met = _lists_of_pairs(lists, block)
-    distinct = lists.select("list", F.size("names").alias("names"))
-    alone = met.filter((F.col("n") == 1) & _has_rest()).join(distinct, "list")
-    wanted = F.when(F.col("f1") == F.col("f2"), 1).otherwise(2)
-    alone = alone.filter(F.col("names") > wanted).select("f1", "f2")
-    shared = _names_on_all(lists, pairs, met).select("f1", "f2").distinct()
-    found = alone.unionByName(shared).agg(F.count("*").alias("n")).filter(F.col("n") > 0)
-    return outcomes.unionByName(found.select(F.lit("pairs_with_members").alias("outcome"), "n"))
+    several = F.col("n") > 1
+    met = _met(lists, block).select(several.alias("several"), *(F.when(several, F.col(c)).alias(c) for c in _MET))
+    met = written(met, "met-pairs")
+    found = met.filter(~F.col("several")).agg(F.count("*").alias("n"))
+    candidates = _candidates(met.filter("several"), lists)
+    if not candidates.isEmpty():
+        divided = _divided(candidates, lists).select("f1", "f2").distinct()
+        found = found.unionByName(divided.agg(F.count("*").alias("n"))).agg(F.sum("n").alias("n"))
+    found = found.filter(F.col("n") > 0).select(F.lit("pairs_with_members").alias("outcome"), "n")
+    return outcomes.unionByName(found)
 
 
 def intersection_and_outcomes(lines: DataFrame, max_friends: int | None = None) -> tuple[DataFrame, DataFrame]:

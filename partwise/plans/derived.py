@@ -26,6 +26,7 @@ from partwise.sources.writers import write_flat, write_partitioned
 TRIP_KINDS = {"trip_id": "bigint", "VendorID": "int"}
 JUNK_EVERY = 97
 LINES_PER_FILE = 250
+MAX_FRIENDS = 5
 EVENT_KEYS = ("event_type",)
 
 _written: dict[tuple[str, str, str], str] = {}

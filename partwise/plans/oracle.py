@@ -5,6 +5,8 @@ They derive the same lines from the tables and apply the rules in SQL's own way.
 
 from __future__ import annotations
 
+from partwise.plans.derived import MAX_FRIENDS
+
 _EVENTS = """
 SELECT event_id AS line_no,
        concat_ws(' | ', strftime(ts, '%Y-%m-%d'), '10.0.0.' || user_id, '/' || event_type,
@@ -98,6 +100,8 @@ found AS (
 """
 
 
+# Lists without the ones that the guard leaves out; repeats count.
+_GUARDED = f"SELECT u, f FROM ({_PARTS}) WHERE u IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) <= {MAX_FRIENDS})"
 _COMMON_ROWS = f"WITH {_graph('l_suppkey')} SELECT f1, f2, u AS member FROM pair"
 _INTERSECTION = f"WITH {_intersection(_PARTS)} SELECT f1, f2, members FROM found"
 
@@ -110,6 +114,15 @@ UNION ALL SELECT 'processed', count(DISTINCT l_orderkey) FROM lineitem
 UNION ALL SELECT 'pairs_with_members', count(*) FROM found"""
 
 
+_OUTCOMES_GUARDED = f"""WITH {_intersection(_GUARDED)},
+size AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)
+SELECT 'skipped' AS outcome, (SELECT count(*) FROM supplier) + (SELECT count(*) FROM region) AS n
+UNION ALL SELECT 'malformed', count(*) FROM nation
+UNION ALL SELECT 'celebrity', count(*) FROM size WHERE n > {MAX_FRIENDS}
+UNION ALL SELECT 'processed', count(*) FROM size WHERE n <= {MAX_FRIENDS}
+UNION ALL SELECT 'pairs_with_members', count(*) FROM found"""
+
+
 def _members(condition: str) -> str:
     return f"""WITH {_graph('l_suppkey')}
 SELECT f1, f2, '[' || string_agg(u, ', ' ORDER BY u) || ']' AS members
@@ -181,6 +194,11 @@ UNION ALL SELECT 'after', CAST(ceil(bytes / 134217728) AS BIGINT), bytes FROM to
     "friend_list_intersection_lines": f"""SELECT '(' || f1 || ',' || f2 || ')' || chr(9) || members AS value
 FROM ({_INTERSECTION})""",
     "friend_list_intersection_shared": f"WITH {_intersection(_KINDS)} SELECT f1, f2, members FROM found",
+    "friend_list_intersection_guarded": f"WITH {_intersection(_GUARDED)} SELECT f1, f2, members FROM found",
+    "common_friends_guarded": _members(
+        f"u IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem GROUP BY l_orderkey HAVING count(*) <= {MAX_FRIENDS})"
+    ),
+    "graph_outcomes_guarded": _OUTCOMES_GUARDED,
     "graph_outcomes": _outcomes(_PARTS),
     "graph_outcomes_shared": _outcomes(_KINDS),
     "trips_typed": _TYPED,

@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {}
 VENDOR, MONTH = 1, 1
 ERROR_PATTERN = r"\| 4[0-9][0-9] \|"
 AUDIT_BLOCK = 20_000
+MAX_FRIENDS = derived.MAX_FRIENDS
 
 
 def query(fn: Query) -> Query:
@@ -216,6 +217,23 @@ def friend_list_intersection_shared(spark: SparkSession, sf_dir: str) -> DataFra
     return _printed(graph.friend_list_intersection(lists))
 
 
+@query
+def friend_list_intersection_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without the lists of more than ``MAX_FRIENDS`` names, as a caller may ask for."""
+    return _printed(graph.friend_list_intersection(_by_part(spark, sf_dir), max_friends=MAX_FRIENDS))
+
+
+@query
+def common_friends_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _printed(graph.common_friends(_by_supplier(spark, sf_dir), max_friends=MAX_FRIENDS))
+
+
+@query
+def graph_outcomes_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcomes with the lines left out by the guard."""
+    return graph.graph_outcomes(_part_lines(spark, sf_dir), max_friends=MAX_FRIENDS)
+
+
 @query
 def graph_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.graph_outcomes(_part_lines(spark, sf_dir))

@@ -240,3 +240,30 @@ def test_source_is_scanned_once_and_no_pair_is_sorted(spark, tmp_path):
         assert "FileScan text" not in final and "Window" not in final  # the lists are written once
         shuffled = re.findall(r"(?<!Reused)Exchange hashpartitioning\(f1#\d+, f2#\d+, \d+\)", final)
         assert len(shuffled) <= 6
+
+
+def test_pairs_are_made_once(adjacency):
+    """One explosion of pairs in each job, and in the parts of a hot pair as well."""
+    rows = adjacency(random_graph(5))
+    lists = graph._bare_lists(rows.select(graph._sorted_friends(None).alias("friends")))
+    for made in (graph._met(lists, 256), graph.common_friends(rows)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate posexplode(left") == 1
+
+
+def test_more_candidates_than_bits_of_a_word(adjacency):
+    """Pairs on two lists of 150 names that share 130: the bitmaps are full, the division exact."""
+    names = [f"{i:03d}" for i in range(170)]
+    rows = [("a", names[:150]), ("b", names[20:]), ("c", [*names[20:150], "x", "x"]), ("d", ["x", "x", "020", "y"])]
+    found = gathered(graph.friend_list_intersection(adjacency(rows), block=64))
+    wanted = brute_intersection(rows)
+    assert found == wanted and len(found["030", "031"]) == 128 and found["x", "x"] == ["020"]
+
+
+def test_hot_pairs_are_routed_apart(adjacency):
+    """Only a pair of two names on many lists is gathered in parts."""
+    rows = [(f"u{i:03d}", ["hot1", "hot2", f"n{i % 5}"]) for i in range(90)] + [("v", ["hot1", "n1", "n2"])]
+    assert gathered(graph.common_friends(adjacency(rows), part_members=30)) == brute_common(rows)
+    lists = graph._with_hot_names(graph._user_lists(adjacency(rows), None), 30)
+    hot = lists.selectExpr("user", "map_keys(hot) as names").collect()
+    assert all(set(r.names) == ({"hot1", "hot2"} if r.user != "v" else {"hot1"}) for r in hot)
