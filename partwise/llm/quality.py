@@ -64,6 +64,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
     marked = np.isin(_BYTE_CLASS[raw[words.ends - 1]], (6, 8)) if len(raw) else np.zeros(0)
     again = np.zeros(len(words.hashes))
     again[1:] = words.hashes[1:] == words.hashes[:-1]
+    again[words.first[:-1][n_words > 0]] = 0  # a text's first word has none before it
     longest, distinct, top = np.zeros((3, n))
     for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
         if b > a:
@@ -174,16 +175,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Only ``doc_id`` and ``quality`` of ``labels`` and ``doc_id`` and ``text`` of ``docs`` are
     read. An id with several labels has their majority (a tie: 1); rows with a null id or
-    label are left out, as are labels without a document. Of a repeated document one row
-    counts. No usable label: every score is 0.5.
+    label are left out, as are labels without a document. Of a repeated document the text
+    with the smallest hash counts. No usable label: every score is 0.5.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     voted = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
     chosen = voted.orderBy(*order).limit(sample).select(F.col("doc_id").alias("labelled"), "label")
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("labelled")), F.col("doc_id") == F.col("labelled"), "left_semi")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen.select("labelled")), F.col("doc_id") == F.col("labelled"), "left_semi")
+    texts = texts.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     kind = dict(docs.dtypes)["doc_id"]
-    measured = texts.mapInArrow(_measure, f"doc_id {kind}, row array<double>").dropDuplicates(["doc_id"])
+    measured = texts.mapInArrow(_measure, f"doc_id {kind}, row array<double>")
     rows = measured.join(chosen, F.col("doc_id") == F.col("labelled")).select("doc_id", "row", "label").collect()
     rows.sort(key=lambda r: r.doc_id)
     table = np.array([r.row for r in rows]).reshape(len(rows), len(STATISTICS))

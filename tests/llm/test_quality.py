@@ -91,3 +91,37 @@ def test_flat_trees_walk_like_nested_ones():
         margin = model.base + sum(walk(t, row) for t in range(quality.TREES))
         assert np.isclose(score, 1 / (1 + np.exp(-margin)))
     assert ((model.scores(rows) > 0.5) == labels).mean() > 0.95
+
+
+def test_neighbours_do_not_show():
+    """A text has the statistics that it has alone, whatever lies before it in the batch."""
+    texts = ["one two", "two three four", "aaa", "aaa", "", "aaa aaa", None, "aaa", "four", "four four"]
+    together = quality.statistics(pa.array(texts, pa.string()))
+    alone = np.concatenate([quality.statistics(pa.array([text], pa.string())) for text in texts])
+    assert np.array_equal(together, alone)
+
+
+def test_repeats_against_a_plain_count():
+    texts = ["a a b b b", "b", "b c c", "x y"]
+    at = quality.STATISTICS.index("repeats")
+    plain = [sum(v == w for v, w in zip(t.split(), t.split()[1:], strict=False)) / len(t.split()) for t in texts]
+    assert quality.statistics(pa.array(texts))[:, at].tolist() == pytest.approx(plain)
+
+
+def test_scores_do_not_follow_partitions(tables):
+    docs, labels = tables
+    model = quality.train(docs, labels)
+    scores = [
+        sorted((r.doc_id, r.score) for r in quality.score(cut.select("doc_id", "text"), model).collect())
+        for cut in (docs.coalesce(1), docs.orderBy("text").repartition(7))
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_a_repeated_document_has_one_choice(spark, tables):
+    """Two texts under an id: the same model whatever their order."""
+    docs, labels = tables
+    twice = docs.unionByName(docs.withColumn("text", F.concat(F.lit("other "), "text")))
+    a = quality.train(twice.coalesce(1), labels)
+    b = quality.train(twice.orderBy(F.desc("text")).repartition(5), labels)
+    assert all(np.array_equal(x, y) for x, y in zip(a, b, strict=True))
