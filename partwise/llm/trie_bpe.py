@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from partwise.llm.common import free_name
-from partwise.llm.words import chunks
+from partwise.llm.words import Numbers, chunks, gather
 
 FILE_BYTES = 64 << 20
 #: Text whose distinct words share a trie; a longer text has one of its own.
@@ -207,7 +207,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and ``len(texts)`` + 1 offsets into it."""
-        numbers = _Numbers()
+        numbers = Numbers()
         first = np.zeros(len(texts) + 1, np.int64)
         found = []
         for i, text in enumerate(texts):
@@ -226,21 +226,6 @@ class Encoder:
         return out, ends[first]
 
 
-class _Numbers(dict):
-    """Numbers for keys in the order in which they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        number = self[key] = len(self)
-        return number
-
-
-def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The slices of ``values`` one after another, and the offsets at which they start and end."""
-    ends = np.zeros(len(sizes) + 1, np.int64)
-    np.cumsum(sizes, out=ends[1:])
-    return values[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])], ends
-
-
 class Decoder:
     """The bytes of every id, added tokens included."""
 

@@ -8,6 +8,7 @@ they are.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -24,8 +25,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_MASK = (1 << 64) - 1
+#: Longer words are hashed one by one.
+_LONG = 1024
 
 
 class Words(NamedTuple):
@@ -37,23 +38,6 @@ class Words(NamedTuple):
     hashes: np.ndarray
 
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2^64, grown on demand."""
-
-    forward = np.ones(1, np.uint64)
-    backward = np.ones(1, np.uint64)
-
-    @classmethod
-    def up_to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.forward) < n:
-            size = max(n, 2 * len(cls.forward))
-            for name, base in (("forward", _BASE), ("backward", _BASE_INVERSE)):
-                factors = np.full(size, base & _MASK, np.uint64)
-                factors[0] = 1
-                setattr(cls, name, np.cumprod(factors, dtype=np.uint64))
-        return cls.forward, cls.backward
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     h = h ^ (h >> np.uint64(30))
@@ -78,6 +62,30 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word's length and bytes, eight bytes mixed in at a time.
+
+    No two words of one length up to eight bytes share a hash; longer ones do by chance only.
+    """
+    eights = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    for shift in (1, 2, 4):  # eights[i] becomes the number that the bytes from i on spell
+        eights = eights[:-shift] | eights[shift:] << np.uint64(8 * shift)
+    lengths = ends - starts
+    hashes = mix(lengths.astype(np.uint64) * np.uint64(_BASE))
+    left = np.flatnonzero(lengths <= _LONG)
+    at = 0
+    while len(left):
+        rest = np.minimum(lengths[left] - at, 8)
+        block = eights[starts[left] + at] & np.uint64(0xFFFFFFFFFFFFFFFF) >> (64 - 8 * rest).astype(np.uint64)
+        hashes[left] = mix((hashes[left] ^ block) * np.uint64(_BASE))
+        at += 8
+        left = left[lengths[left] > at]
+    for i in np.flatnonzero(lengths > _LONG):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
+
+
 def split_words(texts: pa.Array, at_marks: bool = False) -> Words:
     """The words of every text, with their hashes; ``at_marks`` splits at ASCII marks as well."""
     raw, text_starts = text_bytes(texts)
@@ -95,10 +103,7 @@ def split_words(texts: pa.Array, at_marks: bool = False) -> Words:
         after[inner - 1] = False
     starts = np.flatnonzero(solid & ~before)
     ends = np.flatnonzero(solid & ~after) + 1
-    forward, backward = _Powers.up_to(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * forward[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * backward[starts])
+    hashes = _word_hashes(data, starts, ends)
     return Words(data, text_starts, starts, ends, np.searchsorted(starts, text_starts), hashes)
 
 
@@ -136,3 +141,18 @@ def shingle_sets(words: Words, n: int) -> list[np.ndarray]:
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets
+
+
+class Numbers(dict):
+    """Numbers for keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
+
+
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices of ``values`` one after another, and the offsets at which they start and end."""
+    ends = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    return values[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])], ends
