@@ -15,6 +15,7 @@ once (at most ``VOCABULARY_BYTES``) and broadcasts it; nothing else is broadcast
 from __future__ import annotations
 
 import base64
+import itertools
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -25,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from partwise.llm.common import free_name
+from partwise.llm.words import Numbers, chunks, gather
 
 VOCABULARY_BYTES = 64 << 20
 #: Pieces whose tokens a task remembers, and compatible pairs; both start anew when full.
 REMEMBERED_PIECES, REMEMBERED_PAIRS = 150_000, 150_000
-#: Rows that are handed on together.
-ROWS = 512
+#: Rows that are handed on together, and the text whose distinct pieces are encoded together.
+ROWS, BATCH_BYTES = 512, 4 << 20
 
 
 class Vocabulary:
@@ -147,19 +149,37 @@ class Encoder:
         self.vocabulary = Vocabulary(read_ranks(content))
         self.known: dict[str, list[int]] = {}
 
+    def encode_known(self, piece: str) -> list[int]:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.vocabulary.encode_piece(piece.encode())
+            if len(piece) <= 64:
+                if len(self.known) >= REMEMBERED_PIECES:
+                    self.known.clear()
+                self.known[piece] = ids
+        return ids
+
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known = self.known
-        for piece in self.pieces(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.vocabulary.encode_piece(piece.encode())
-                if len(piece) <= 64:
-                    if len(known) >= REMEMBERED_PIECES:
-                        known.clear()
-                    known[piece] = ids
-            out += ids
-        return out
+        return self.encode_all([text])[0].tolist()
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and ``len(texts)`` + 1 offsets into it.
+
+        Every distinct piece is encoded once; texts are numbers of pieces until the end.
+        """
+        numbers = Numbers()
+        first = np.zeros(len(texts) + 1, np.int64)
+        which = []
+        for i, text in enumerate(texts):
+            pieces = self.pieces(text)
+            first[i + 1] = first[i] + len(pieces)
+            which.append(np.fromiter(map(numbers.__getitem__, pieces), np.int32, len(pieces)))
+        encoded = [self.encode_known(piece) for piece in numbers]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        flat = np.fromiter(itertools.chain.from_iterable(encoded), np.int32, int(sizes.sum()))
+        order = np.concatenate(which) if which else np.zeros(0, np.int32)
+        ids, ends = gather(flat, (np.cumsum(sizes) - sizes)[order], sizes[order])
+        return ids, ends[first]
 
     def forget(self) -> None:
         """Free what was remembered; the worker goes on to other work."""
@@ -167,8 +187,32 @@ class Encoder:
         self.vocabulary.forget()
 
 
+class Decoder:
+    """The bytes of every rank, side by side."""
+
+    def __init__(self, content: bytes):
+        ranks = read_ranks(content)
+        spelled = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            spelled[rank] = token
+        self.data = np.frombuffer(b"".join(spelled), np.uint8)
+        self.sizes = np.array([len(token) for token in spelled], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, lists: pa.Array) -> pa.Array:
+        """The bytes of every list of ids."""
+        lists = lists.fill_null([]) if lists.null_count else lists
+        bounds = lists.offsets.to_numpy()
+        ids = lists.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes) or not self.sizes[ids].all()):
+            raise KeyError("an id that the vocabulary does not have")
+        data, ends = gather(self.data, self.starts[ids], self.sizes[ids])
+        bounds = ends[bounds - bounds[0]]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
 _encoders: dict[tuple[int, str], Encoder] = {}
-_tokens: dict[int, dict[int, bytes]] = {}
+_decoders: dict[int, Decoder] = {}
 
 
 def _encoder(content: bytes, pattern: str) -> Encoder:
@@ -207,13 +251,11 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
 
     def fill(texts: pa.Array) -> pa.Array:
         encoder = _encoder(content.value, pattern)
-        offsets, ids = np.zeros(len(texts) + 1, np.int32), []
-        for i, text in enumerate(texts):
-            found = encoder.encode(text.as_py() or "")
-            offsets[i + 1] = offsets[i] + len(found)
-            ids.append(np.array(found, np.int32))
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        # Pieces are told apart within some megabytes of text at a time.
+        parts = [encoder.encode_all([text or "" for text in part.to_pylist()]) for _, part in chunks(texts, BATCH_BYTES)]
+        ids = np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in parts)])
+        sizes = np.concatenate([np.zeros(1, np.int64), *(np.diff(bounds) for _, bounds in parts)])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(ids))
 
     def after() -> None:
         _encoder(content.value, pattern).forget()
@@ -230,10 +272,8 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "token_ids", to: str =
 
     def fill(lists: pa.Array) -> pa.Array:
         key = hash(content.value)
-        if key not in _tokens:
-            _tokens[key] = {rank: token for token, rank in read_ranks(content.value).items()}
-        token = _tokens[key].__getitem__
-        values = ((ids.values.to_numpy().tolist() if ids.is_valid else []) for ids in lists)
-        return pa.array([b"".join(map(token, ids)) for ids in values], pa.binary())
+        if key not in _decoders:
+            _decoders[key] = Decoder(content.value)
+        return _decoders[key].decode(lists).cast(pa.binary())
 
     return _add_column(df, free_name(df, to), T.BinaryType(), ids_col, fill)
