@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import statistics
 import time
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
@@ -9,8 +10,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.sources.readers import file_inventory
-from partwise.sources.writers import BLOCK_BYTES
+from partwise.sources.folders import BLOCK_BYTES
+from partwise.sources.readers import file_inventory, parquet_chunks
 
 # Fixed value: the folder name that stands for a null key.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -69,6 +70,33 @@ def bytes_behind(
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
+def bytes_read(
+    spark: SparkSession,
+    root: str,
+    columns: Sequence[str],
+    keys: Sequence[str] = (),
+    condition: Column | None = None,
+    equal: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """One row: what a query over Parquet has to read of ``columns``, by the files' footers.
+
+    ``files`` and ``rows`` are those left by the keys (``condition`` speaks of them, as text)
+    and by the row groups' statistics for the values in ``equal``; ``bytes`` are the stored
+    column chunks of ``columns`` in them, ``file_bytes`` the whole row groups.
+    """
+    files = keyed_inventory(spark, root, keys)
+    files = files if condition is None else files.filter(condition)
+    chunks = parquet_chunks(files.filter(F.col("length") > 0), equal or {}).filter("may_match")
+    group = chunks.groupBy("path", "row_group").agg(
+        F.first("rows").alias("rows"),
+        F.sum("bytes").alias("file_bytes"),
+        F.sum(F.when(F.split_part("column", F.lit("."), F.lit(1)).isin(*columns), F.col("bytes")).otherwise(0)).alias("bytes"),
+    )
+    per_file = group.groupBy("path").agg(*(F.sum(name).alias(name) for name in ("rows", "bytes", "file_bytes")))
+    total = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("rows", "bytes", "file_bytes")]
+    return per_file.agg(F.count("*").alias("files"), *total)
+
+
 class Layout(NamedTuple):
     """One stored form of a table and the count to run on it."""
 
@@ -76,16 +104,23 @@ class Layout(NamedTuple):
     size: DataFrame  # one row, column bytes
 
 
-def compare_layouts(spark: SparkSession, layouts: Mapping[str, Layout]) -> DataFrame:
+def compare_layouts(spark: SparkSession, layouts: Mapping[str, Layout], runs: int = 1) -> DataFrame:
     """Run the count of each layout and report rows found, seconds and bytes.
 
-    One action per layout is the measurement; only its one-row result reaches the
+    With several ``runs`` the layouts take turns, so that what else the machine does meets
+    all of them; ``seconds`` is the median, ``spread`` the longest less the shortest. One
+    action per layout and run is the measurement; only its one-row result reaches the
     driver. Opening the tables and listing the files is outside the clock.
     """
-    rows = []
-    for name, layout in layouts.items():
-        size = layout.size.first()["bytes"]
-        start = time.perf_counter()
-        found = layout.count.first()["n"]
-        rows.append((name, found, time.perf_counter() - start, size))
-    return spark.createDataFrame(rows, "layout string, n bigint, seconds double, bytes bigint")
+    sizes = {name: layout.size.first()["bytes"] for name, layout in layouts.items()}
+    seconds: dict[str, list[float]] = {name: [] for name in layouts}
+    found = {}
+    for _ in range(runs):
+        for name, layout in layouts.items():
+            start = time.perf_counter()
+            found[name] = layout.count.first()["n"]
+            seconds[name].append(time.perf_counter() - start)
+    rows = [
+        (name, found[name], statistics.median(times), max(times) - min(times), sizes[name]) for name, times in seconds.items()
+    ]
+    return spark.createDataFrame(rows, "layout string, n bigint, seconds double, spread double, bytes bigint")

@@ -181,6 +181,12 @@ SELECT status, count(*) AS n FROM parsed WHERE outcome = 'error' GROUP BY status
 total AS (SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes, count(*) AS n FROM log)
 SELECT 'before' AS stage, CAST(ceil(n / 250) AS BIGINT) AS files, bytes FROM total
 UNION ALL SELECT 'after', CAST(ceil(bytes / 134217728) AS BIGINT), bytes FROM total""",
+    "compact_folder_lines": f"WITH {_LOG} SELECT value FROM log UNION ALL SELECT value FROM log",
+    "compact_folder_size": f"""WITH {_LOG}
+SELECT 'folder' AS stage, 2::BIGINT AS files, CAST(2 * sum(strlen(value) + 1) AS BIGINT) AS bytes, true AS same_bytes,
+  1::BIGINT AS untouched FROM log""",
+    "updated_partitions": f"""WITH {_TRIPS}
+SELECT "VendorID", "Month", count(*) AS n FROM prepared WHERE "VendorID" <> 1 OR "Month" <= 6 GROUP BY 1, 2""",
     "friend_lists": _lists("l_partkey"),
     "friend_lists_arrow": _lists("l_suppkey"),
     "friend_pairs": f"WITH {_graph('l_suppkey')} SELECT u AS user, f1, f2 FROM pair",
@@ -221,6 +227,11 @@ SELECT layout, n FROM found, (VALUES ('csv'), ('flat'), ('partitioned')) v(layou
 found AS (SELECT count(*) AS n FROM prepared WHERE "VendorID" = 1 AND "Month" = 1)
 SELECT layout, n, below_csv, below_flat
 FROM found, (VALUES ('csv', false, false), ('flat', true, false), ('partitioned', true, true)) v(layout, below_csv, below_flat)""",
+    "layout_bytes_read": f"""WITH {_TRIPS},
+found AS (SELECT count(*) AS n, count(*) FILTER ("VendorID" = 1 AND "Month" = 1) AS chosen FROM prepared)
+SELECT layout, CASE kind WHEN 'all' THEN n WHEN 'none' THEN 0 ELSE chosen END AS rows, reads_columns, below_files FROM found,
+  (VALUES ('flat', 'all', true, true), ('flat_no_vendor', 'none', false, false), ('partitioned', 'chosen', false, true),
+    ('partitioned_ids', 'chosen', true, true)) v(layout, kind, reads_columns, below_files)""",
     "layout_audit": f"{_AUDIT} SELECT * FROM audit",
     "layout_health": f"{_AUDIT} SELECT event_type, files, blocks, small_files FROM audit WHERE fragmented",
     "layout_files": f"""WITH {_TRIPS}

@@ -11,7 +11,7 @@ from partwise.functions.lists import bracketed
 from partwise.operators import graph, layout, logs, trips
 from partwise.plans import derived
 from partwise.session import new_scratch_path
-from partwise.sources import readers, writers
+from partwise.sources import folders, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,6 +116,45 @@ def compacted_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _compacted_in_place(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The log as small files beside one full one, compacted where they are, and the inventory before."""
+    path = new_scratch_path(spark, "log-in-place")
+    writers.compact_lines(spark, derived.small_log_files(spark, sf_dir), path)
+    small = readers.read_lines(spark, derived.small_log_files(spark, sf_dir))
+    small.write.mode("append").text(path)
+    target = layout.directory_size(spark, path).first()["bytes"] // 2
+    before = layout.directory_size(spark, path).first()
+    folders.compact_folder(spark, path, target_bytes=target)
+    return path, before
+
+
+@query
+def compact_folder_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a folder that was compacted where it is: the log twice, a full file and small ones."""
+    path, _ = _compacted_in_place(spark, sf_dir)
+    return readers.read_lines(spark, path)
+
+
+@query
+def compact_folder_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and files of that folder, and whether the bytes and the full file are as before."""
+    path, before = _compacted_in_place(spark, sf_dir)
+    after = layout.directory_size(spark, path)
+    full = readers.file_inventory(spark, path).filter(~F.contains("path", F.lit("/compacted-"))).agg(F.count("*").alias("untouched"))
+    whole = after.select(F.lit("folder").alias("stage"), "files", "bytes", (F.col("bytes") == before["bytes"]).alias("same_bytes"))
+    return whole.join(full.withColumn("stage", F.lit("folder")), "stage")
+
+
+@query
+def updated_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per partition after those of one vendor were replaced by its first half of the year."""
+    path = new_scratch_path(spark, "updated-trips")
+    flat = spark.read.parquet(derived.trips_flat(spark, sf_dir))
+    writers.write_partitioned(flat, path, ["VendorID"])
+    writers.update_partitioned(flat.filter((F.col("VendorID") == VENDOR) & (F.col("Month") <= 6)), path, ["VendorID"])
+    return spark.read.parquet(path).groupBy("VendorID", "Month").agg(F.count("*").alias("n"))
+
+
 # Social graphs ---------------------------------------------------------------
 
 
@@ -367,6 +406,29 @@ def layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def layout_bytes_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the count reads of each Parquet layout, by its footers: rows left, and less than the files hold."""
+    chosen = (F.col("VendorID") == str(VENDOR)) & (F.col("Month") == str(MONTH))
+    flat, keyed = derived.trips_flat(spark, sf_dir), derived.trips_partitioned(spark, sf_dir)
+    parts = {
+        "flat": layout.bytes_read(spark, flat, ["VendorID", "Month"]),
+        "flat_no_vendor": layout.bytes_read(spark, flat, ["VendorID"], equal={"VendorID": -1}),
+        "partitioned": layout.bytes_read(spark, keyed, [], trips.PARTITION_KEYS, chosen),
+        "partitioned_ids": layout.bytes_read(spark, keyed, ["trip_id"], trips.PARTITION_KEYS, chosen),
+    }
+    named = [
+        df.select(
+            F.lit(name).alias("layout"),
+            "rows",
+            (F.col("bytes") > 0).alias("reads_columns"),
+            (F.col("bytes") < F.col("file_bytes")).alias("below_files"),
+        )
+        for name, df in parts.items()
+    ]
+    return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
+
+
 @query
 def layout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit of a text layout, whose bytes follow from its lines."""

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from partwise.session import child_session
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 # The named columns of a trips file that are no text.
 TRIP_TYPES = {"VendorID": "int"}
 
@@ -90,3 +96,54 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
     files = listing.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return files.select("path", "length", "modificationTime")
+
+
+def parquet_chunks(files: DataFrame, equal: Mapping[str, object]) -> DataFrame:
+    """The column chunks of Parquet files, from their footers alone: one row per row group and column.
+
+    ``files`` has a ``path`` column; its footers are read in tasks, by the files' own number.
+    Columns: path, row_group, rows, column (with its parents), bytes as stored, and whether
+    the row group ``may_match`` all values in ``equal``, a top-level column each: it cannot if a
+    value is outside the least and greatest, or if there are only nulls. Without statistics it may.
+    """
+    wanted = dict(equal)
+
+    # Nested, so that executors need nothing of this package.
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as arrow
+        from pyarrow import fs, parquet
+
+        def opened(uri: str) -> object:
+            if uri.startswith("file:"):
+                return fs.LocalFileSystem().open_input_file("/" + uri[5:].lstrip("/"))
+            if "://" not in uri:
+                return fs.LocalFileSystem().open_input_file(uri)
+            system, path = fs.FileSystem.from_uri(uri)
+            return system.open_input_file(path)
+
+        def excludes(chunk: object, value: object, rows: int) -> bool:
+            stats = chunk.statistics
+            if stats is None:
+                return False
+            if stats.has_null_count and stats.null_count == rows:
+                return True
+            return stats.has_min_max and not stats.min <= value <= stats.max
+
+        for batch in batches:
+            for uri in batch.column("path").to_pylist():
+                with opened(uri) as file:
+                    footer = parquet.ParquetFile(file).metadata
+                found: dict[str, list] = {name: [] for name in ("path", "row_group", "rows", "column", "bytes", "may_match")}
+                for i in range(footer.num_row_groups):
+                    group = footer.row_group(i)
+                    chunks = [group.column(j) for j in range(group.num_columns)]
+                    out = any(excludes(c, wanted[c.path_in_schema], group.num_rows) for c in chunks if c.path_in_schema in wanted)
+                    for chunk in chunks:
+                        row = (uri, i, group.num_rows, chunk.path_in_schema, chunk.total_compressed_size, not out)
+                        for values, value in zip(found.values(), row, strict=True):
+                            values.append(value)
+                if found["path"]:
+                    yield arrow.RecordBatch.from_pydict(found)
+
+    schema = "path string, row_group bigint, rows bigint, column string, bytes bigint, may_match boolean"
+    return files.select("path").mapInArrow(read, schema)

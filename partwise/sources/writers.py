@@ -1,4 +1,7 @@
-"""Writers. Each one is an action and replaces what was at the path."""
+"""Writers. Each one is an action and replaces what was at the path.
+
+The old result stays readable until the new one is complete; see ``folders.replace_folder``.
+"""
 
 from __future__ import annotations
 
@@ -7,18 +10,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.session import child_session
-
-# Fixed value: the block size that a file should fill.
-BLOCK_BYTES = 128 * 1024 * 1024
-
-# However small the files, a task opens no more of them than this when it merges them.
-FILES_PER_TASK = 65_536
-
+from partwise.sources.folders import BLOCK_BYTES, packing_session, replace_folder, replace_partitions
 
 def write_flat(df: DataFrame, path: str) -> None:
     """Parquet files in one folder; each task writes what it has, without a shuffle."""
-    df.write.mode("overwrite").parquet(path)
+    replace_folder(df.sparkSession, path, lambda fresh: df.write.parquet(fresh))
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str]) -> None:
@@ -30,8 +26,17 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     large ones at the advisory size, which the session is made with
     (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
     """
+    replace_folder(df.sparkSession, path, lambda fresh: _write_rebalanced(df, fresh, keys))
+
+
+def update_partitioned(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """The same, but only for the ``key=value`` folders that ``df`` has rows for; others stay."""
+    replace_partitions(df, path, keys, lambda part, fresh: _write_rebalanced(part, fresh, keys))
+
+
+def _write_rebalanced(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     rebalanced = df.hint("rebalance", *[F.col(key) for key in keys])
-    rebalanced.write.mode("overwrite").partitionBy(*keys).parquet(path)
+    rebalanced.write.partitionBy(*keys).parquet(path)
 
 
 def write_tsv(
@@ -49,7 +54,8 @@ def write_tsv(
         lines = spread.sortWithinPartitions("key")
     else:
         lines = lines.orderBy("key")
-    lines.select(F.concat_ws("\t", "key", "text").alias("value")).write.mode("overwrite").text(path)
+    joined = lines.select(F.concat_ws("\t", "key", "text").alias("value"))
+    replace_folder(df.sparkSession, path, lambda fresh: joined.write.text(fresh))
 
 
 def compact_lines(spark: SparkSession, src: str, dst: str, target_bytes: int = BLOCK_BYTES) -> None:
@@ -60,10 +66,5 @@ def compact_lines(spark: SparkSession, src: str, dst: str, target_bytes: int = B
     file only when all of it fits the target. The lines stay the same; the order of
     the source files does not.
     """
-    packing = child_session(
-        spark,
-        spark__sql__files__maxPartitionBytes=target_bytes,
-        spark__sql__files__openCostInBytes=target_bytes // FILES_PER_TASK,
-        spark__sql__files__minPartitionNum=1,
-    )
-    packing.read.text(src).write.mode("overwrite").text(dst)
+    packed = packing_session(spark, target_bytes).read.text(src)
+    replace_folder(spark, dst, lambda fresh: packed.write.text(fresh))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from partwise import jobs
 from partwise.operators import layout, trips
 from partwise.session import child_session, new_scratch_path, written
-from partwise.sources import readers, writers
+from partwise.sources import folders, readers, writers
 
 ROWS = [
     (1, 1, "01/05/2023 11:59:59 PM"),
@@ -259,3 +260,109 @@ def test_pair_lines_need_no_range_shuffle(spark, tmp_path):
     for part in path.glob("part-*"):
         keys = [line.split("\t")[0] for line in part.read_text().splitlines()]
         assert keys == sorted(keys)
+
+
+def contents(path):
+    return {p.name: (p.stat().st_mtime_ns, p.read_bytes()) for p in path.iterdir() if not p.name.startswith(("_", "."))}
+
+
+def test_a_failed_overwrite_leaves_the_first_result(spark, tmp_path):
+    path = str(tmp_path / "result")
+    good = spark.range(50).withColumn("k", F.col("id") % 3)
+    bad = good.withColumn("id", F.when(F.col("id") == 49, F.raise_error(F.lit("broken"))).otherwise(F.col("id")))
+    for write in (
+        lambda df: writers.write_flat(df, path),
+        lambda df: writers.write_partitioned(df, path, ["k"]),
+        lambda df: writers.write_tsv(df, F.col("id"), F.col("k"), path),
+    ):
+        write(good)
+        kept = sorted(p.name for p in (tmp_path / "result").iterdir())
+        with pytest.raises(Exception, match="broken"):
+            write(bad)
+        assert sorted(p.name for p in (tmp_path / "result").iterdir()) == kept
+    assert readers.read_tsv(spark, path, "id", "k").count() == 50
+    assert [p.name for p in tmp_path.iterdir()] == ["result"]  # nothing is left over
+
+
+def test_failed_renames_are_put_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "keyed")
+    rows = spark.range(60).withColumn("k", F.col("id") % 4)
+    writers.write_partitioned(rows, path, ["k"])
+    move, moves = folders.Renames.move, []
+
+    def failing(self, src, dst):
+        moves.append(src)
+        if len(moves) == 4:
+            raise OSError("no more")
+        move(self, src, dst)
+
+    monkeypatch.setattr(folders.Renames, "move", failing)
+    with pytest.raises(OSError, match="no more"):
+        writers.update_partitioned(rows.filter("id < 8"), path, ["k"])
+    monkeypatch.setattr(folders.Renames, "move", move)
+    assert spark.read.parquet(path).count() == 60
+    writers.update_partitioned(rows.filter("id < 8 and k < 2"), path, ["k"])
+    counts = {r.k: r["count"] for r in spark.read.parquet(path).groupBy("k").count().collect()}
+    assert counts == {0: 2, 1: 2, 2: 15, 3: 15}
+
+
+def test_compaction_in_place_leaves_full_files_alone(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    (folder / "full").write_text("".join(f"full line {i}\n" for i in range(1000)))
+    for i in range(30):
+        (folder / f"small-{i:02d}").write_text(f"small line {i}\n" * 3)
+    before = contents(folder)
+    lines = sorted(r.value for r in spark.read.text(str(folder)).collect())
+    target = len(before["full"][1])
+    move, moves = folders.Renames.move, []
+
+    def failing(self, src, dst):
+        moves.append(src)
+        if len(moves) == 31:
+            raise OSError("no more")
+        move(self, src, dst)
+
+    monkeypatch.setattr(folders.Renames, "move", failing)
+    with pytest.raises(OSError, match="no more"):
+        folders.compact_folder(spark, str(folder), target_bytes=target)
+    assert contents(folder) == before
+    monkeypatch.setattr(folders.Renames, "move", move)
+    folders.compact_folder(spark, str(folder), target_bytes=target)
+    after = contents(folder)
+    assert after["full"] == before["full"] and len(after) == 2
+    assert sorted(r.value for r in spark.read.text(str(folder)).collect()) == lines
+    folders.compact_folder(spark, str(folder), target_bytes=target)
+    assert contents(folder) == after  # one small file is left as it is
+
+
+def test_bytes_read_follow_columns_and_row_groups(spark, tmp_path):
+    """Against the footers read here, file by file."""
+    path = tmp_path / "table"
+    wide = spark.range(0, 4000, 1, 4).withColumns({"k": F.col("id") % 2, "text": F.sha2(F.col("id").cast("string"), 256)})
+    wide.write.partitionBy("k").parquet(str(path))
+    sizes = {"id": 0, "text": 0}
+    within = {"id": 0, "rows": 0, "files": 0}
+    for file in path.rglob("*.parquet"):
+        footer = pq.ParquetFile(file).metadata
+        for i in range(footer.num_row_groups):
+            for j in range(footer.num_columns):
+                chunk = footer.row_group(i).column(j)
+                sizes[chunk.path_in_schema] += chunk.total_compressed_size
+                if chunk.path_in_schema == "id" and chunk.statistics.min <= 1001 <= chunk.statistics.max and "k=1" in str(file):
+                    within["id"] += chunk.total_compressed_size
+                    within["rows"] += footer.row_group(i).num_rows
+                    within["files"] += 1
+    whole = layout.bytes_read(spark, str(path), ["id"]).first()
+    assert (whole.rows, whole.bytes, whole.file_bytes, whole.files) == (4000, sizes["id"], sum(sizes.values()), 8)
+    some = layout.bytes_read(spark, str(path), ["id"], ["k"], F.col("k") == "1", {"id": 1001}).first()
+    assert (some.rows, some.bytes, some.files) == (within["rows"], within["id"], within["files"]) and some.files == 1
+    assert tuple(layout.bytes_read(spark, str(path), ["id"], equal={"id": -5}).first()) == (0, 0, 0, 0)
+
+
+def test_comparison_takes_turns(spark, tmp_path):
+    spark.range(9).write.parquet(str(tmp_path / "t"))
+    count = spark.read.parquet(str(tmp_path / "t")).agg(F.count("*").alias("n"))
+    entry = layout.Layout(count, layout.bytes_behind(spark, str(tmp_path / "t")))
+    rows = layout.compare_layouts(spark, {"a": entry, "b": entry}, runs=3).collect()
+    assert [(r.layout, r.n) for r in rows] == [("a", 9), ("b", 9)] and all(0 <= r.spread and r.seconds > 0 for r in rows)
