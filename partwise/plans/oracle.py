@@ -194,6 +194,7 @@ SELECT "VendorID", "Month", count(*) AS n FROM prepared WHERE "VendorID" <> 1 OR
     "common_friends": _members("true"),
     "common_friends_spread": _members("true"),
     "common_friends_lines": f"SELECT f1 || ',' || f2 || chr(9) || members AS value FROM ({_members('true')})",
+    "common_friends_streamed": f"SELECT f1 || ',' || f2 || chr(9) || members AS value FROM ({_members('true')})",
     "common_friends_clean": _members("f1 < f2"),
     "friend_list_intersection": _INTERSECTION,
     "friend_list_intersection_spread": _INTERSECTION,

@@ -11,7 +11,7 @@ from partwise.functions.lists import bracketed
 from partwise.operators import graph, layout, logs, trips
 from partwise.plans import derived
 from partwise.session import new_scratch_path
-from partwise.sources import folders, readers, writers
+from partwise.sources import folders, pair_lines, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -221,6 +221,15 @@ def common_friends_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written_lines(spark, pairs, F.concat_ws(",", "f1", "f2"))
 
 
+@query
+def common_friends_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines from the pair rows, written member by member: no pair is gathered."""
+    path = new_scratch_path(spark, "member-lines")
+    pairs = graph.friend_pairs(_by_supplier(spark, sf_dir))
+    pair_lines.write_member_lines(pairs, F.concat_ws(",", "f1", "f2"), F.col("user"), path)
+    return readers.read_lines(spark, path)
+
+
 @query
 def friend_list_intersection_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written ``(a,b)<TAB>[x, y]`` lines."""

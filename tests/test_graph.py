@@ -7,9 +7,11 @@ import re
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from partwise.operators import graph
 from partwise.session import child_session
+from partwise.sources import pair_lines
 
 # The small inputs whose results are known.
 TAB_GRAPH = ("A\tB,C,D", "B\tA,C,E", "C\tA,B,D", "D\tA,C", "E\tB")
@@ -267,3 +269,30 @@ def test_hot_pairs_are_routed_apart(adjacency):
     lists = graph._with_hot_names(graph._user_lists(adjacency(rows), None), 30)
     hot = lists.selectExpr("user", "map_keys(hot) as names").collect()
     assert all(set(r.names) == ({"hot1", "hot2"} if r.user != "v" else {"hot1"}) for r in hot)
+
+
+def test_lines_written_member_by_member(spark, adjacency, tmp_path):
+    """The long form as lines: a pair of 30 000 members, repeats, odd names, and a repeated write."""
+    rows = [(f"u{i:05d}", ["hot1", "hot2"]) for i in range(30_000)] + random_graph(4) + [("é, [x]", ["n1", "n2"])]
+    pairs = graph.friend_pairs(adjacency(rows))
+    path = tmp_path / "lines"
+    for _ in range(2):
+        pair_lines.write_member_lines(pairs.unionByName(pairs), F.concat_ws(",", "f1", "f2"), F.col("user"), str(path))
+    wanted = {f"{a},{b}\t[{', '.join(users)}]" for (a, b), users in brute_common(rows).items()}
+    found = [line for file in path.glob("part-*") for line in file.read_text().split("\n")[:-1]]
+    assert set(found) == wanted and len(found) == len(wanted)
+    assert {r.value for r in spark.read.text(str(path)).collect()} == wanted
+    members = graph.common_friend_rows(adjacency(rows)).count()
+    assert members == sum(len(users) for users in brute_common(rows).values())
+
+
+def test_a_failed_write_of_lines_leaves_the_first(spark, tmp_path):
+    path = tmp_path / "lines"
+    good = spark.range(20).select(F.col("id").alias("k"), F.lit("m").alias("m"))
+    pair_lines.write_member_lines(good, F.col("k"), F.col("m"), str(path))
+    bad = good.withColumn("m", F.when(F.col("k") == 19, F.raise_error(F.lit("broken"))).otherwise(F.col("m")))
+    with pytest.raises(Exception, match="broken"):
+        pair_lines.write_member_lines(bad, F.col("k"), F.col("m"), str(path))
+    assert spark.read.text(str(path)).count() == 20
+    pair_lines.write_member_lines(good.limit(0), F.col("k"), F.col("m"), str(path))
+    assert spark.read.text(str(path)).count() == 0
