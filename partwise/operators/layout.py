@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partwise.sources.folders import BLOCK_BYTES
-from partwise.sources.readers import file_inventory, parquet_chunks
+from partwise.sources.readers import file_inventory, listed_files, parquet_chunks
 
 # Fixed value: the folder name that stands for a null key.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -25,9 +25,10 @@ def _key_from_path(key: str) -> Column:
     return F.when(~text.isin("", NULL_FOLDER), text)
 
 
-def keyed_inventory(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
-    """The file inventory with the partition keys of each file, as text."""
-    return file_inventory(spark, root).withColumns({key: _key_from_path(key) for key in keys})
+def keyed_inventory(spark: SparkSession, root: str, keys: Sequence[str], in_tasks: bool = False) -> DataFrame:
+    """The file inventory with the partition keys of each file, as text; on request listed by tasks."""
+    files = (listed_files if in_tasks else file_inventory)(spark, root)
+    return files.withColumns({key: _key_from_path(key) for key in keys})
 
 
 def directory_size(spark: SparkSession, root: str) -> DataFrame:
@@ -38,15 +39,16 @@ def directory_size(spark: SparkSession, root: str) -> DataFrame:
 
 
 def layout_audit(
-    spark: SparkSession, root: str, keys: Sequence[str], block_bytes: int = BLOCK_BYTES
+    spark: SparkSession, root: str, keys: Sequence[str], block_bytes: int = BLOCK_BYTES, in_tasks: bool = False
 ) -> DataFrame:
     """Files, bytes, blocks and small files per partition of a layout.
 
     A file below the block size still takes a block entry, so a partition is
-    ``fragmented`` when its bytes would fit into fewer blocks than it uses.
+    ``fragmented`` when its bytes would fit into fewer blocks than it uses. With ``in_tasks``
+    the folders are listed by tasks, for layouts of very many files.
     """
     blocks = F.greatest(F.ceil(F.col("length") / block_bytes), F.lit(1))
-    per_partition = keyed_inventory(spark, root, keys).groupBy(*keys).agg(
+    per_partition = keyed_inventory(spark, root, keys, in_tasks).groupBy(*keys).agg(
         F.count("*").alias("files"),
         F.sum("length").alias("bytes"),
         F.avg("length").alias("mean_bytes"),

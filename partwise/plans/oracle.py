@@ -234,6 +234,11 @@ SELECT layout, CASE kind WHEN 'all' THEN n WHEN 'none' THEN 0 ELSE chosen END AS
   (VALUES ('flat', 'all', true, true), ('flat_no_vendor', 'none', false, false), ('partitioned', 'chosen', false, true),
     ('partitioned_ids', 'chosen', true, true)) v(layout, kind, reads_columns, below_files)""",
     "layout_audit": f"{_AUDIT} SELECT * FROM audit",
+    "layout_audit_listed": f"{_AUDIT} SELECT * FROM audit",
+    "trips_inferred_types": f"""WITH {_TRIPS}
+SELECT 'trip_id' AS "column", 'int' AS kind, count(*) AS n FROM trips
+UNION ALL SELECT 'VendorID', 'int', count("VendorID") FROM trips
+UNION ALL SELECT 'tpep_pickup_datetime', 'string', count(*) FROM trips""",
     "layout_health": f"{_AUDIT} SELECT event_type, files, blocks, small_files FROM audit WHERE fragmented",
     "layout_files": f"""WITH {_TRIPS}
 SELECT CAST("VendorID" AS VARCHAR) AS "VendorID", CAST("Month" AS VARCHAR) AS "Month", count(*) AS rows

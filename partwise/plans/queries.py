@@ -388,7 +388,7 @@ def layout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-def layout_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layout_timing(spark: SparkSession, sf_dir: str, runs: int = 1) -> DataFrame:
     """The timed comparison, for the bench: rows found, seconds and bytes per layout."""
     chosen = (F.col("VendorID") == str(VENDOR)) & (F.col("Month") == str(MONTH))
     csv, flat = derived.trips_csv(spark, sf_dir), derived.trips_flat(spark, sf_dir)
@@ -399,7 +399,7 @@ def layout_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "flat": layout.Layout(trips_count_flat(spark, sf_dir), layout.bytes_behind(spark, flat)),
         "partitioned": layout.Layout(trips_count_partitioned(spark, sf_dir), keyed),
     }
-    return layout.compare_layouts(spark, layouts)
+    return layout.compare_layouts(spark, layouts, runs)
 
 
 @query
@@ -445,6 +445,22 @@ def layout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.layout_audit(spark, root, derived.EVENT_KEYS, block_bytes=AUDIT_BLOCK)
 
 
+@query
+def layout_audit_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same audit, with the folders listed by tasks."""
+    root = derived.event_layout(spark, sf_dir)
+    return layout.layout_audit(spark, root, derived.EVENT_KEYS, block_bytes=AUDIT_BLOCK, in_tasks=True)
+
+
+@query
+def trips_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The type that inference gives each column, with the number of its values."""
+    read = readers.read_trips(spark, derived.trips_csv(spark, sf_dir), infer=True)
+    counts = read.agg(*(F.count(name).alias(name) for name in read.columns))
+    columns = [F.struct(F.lit(name).alias("column"), F.lit(kind).alias("kind"), F.col(name).alias("n")) for name, kind in read.dtypes]
+    return counts.select(F.inline(F.array(*columns)))
+
+
 @query
 def layout_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The partitions that use more blocks than their bytes need."""

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from partwise.session import child_session
+from partwise.session import child_session, written
 
 if TYPE_CHECKING:
     import pyarrow as pa
@@ -23,15 +23,54 @@ def read_trips(spark: SparkSession, path: str, types: dict[str, str] | None = No
 
     The columns of ``types`` (by default ``TRIP_TYPES``) that the file has get their
     type, a value that does not fit becomes null; the others are text. Inference takes
-    the types from the data and reads the files once more.
+    the types from all of the data: the CSV is read once, written on as columns of text, and
+    the types come from an aggregation over those.
     """
     if infer:
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+        text = written(read_trips_as_text(spark, path), "trips-as-text")
+        kinds = infer_types(text)
+        return text.select(*(F.col(f"`{name}`").try_cast(kind).alias(name) for name, kind in kinds.items()))
     read = read_trips_as_text(spark, path)
     types = TRIP_TYPES if types is None else types
     return read.withColumns({name: F.col(name).try_cast(kind) for name, kind in types.items() if name in read.columns})
 
 
+# The types that inference knows, narrow ones first. A text column is what is left.
+_WHOLE = r"^[+-]?[0-9]+$"
+_KINDS = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def infer_types(text: DataFrame) -> dict[str, str]:
+    """The narrowest type for each column of text that takes all its values; text if it has none.
+
+    One aggregation of fixed size: per column and type, whether a value has not fitted so
+    far. That merges over tasks in any order, unlike a choice made value by value. Blanks
+    around a value make it text.
+    """
+
+    def fits(column: Column, kind: str) -> Column:
+        cast = column.try_cast(kind).isNotNull() & (F.trim(column) == column)
+        if kind in ("int", "bigint"):
+            return cast & column.rlike(_WHOLE)
+        if kind == "date":
+            return cast & (F.length(column) == 10)
+        if kind == "timestamp":
+            return cast & (F.length(column) > 10)
+        return cast if kind == "double" else F.lower(column).isin("true", "false")
+
+    columns = [F.col(f"`{name}`") for name in text.columns]
+    found = text.agg(
+        *(
+            F.struct(*(F.bool_and(F.isnull(column) | fits(column, kind)).alias(kind) for kind in _KINDS), F.count(column).alias("n"))
+            .alias(str(i))
+            for i, column in enumerate(columns)
+        )
+    ).first()
+    return {
+        name: next((kind for kind in _KINDS if found[i]["n"] and found[i][kind]), "string") for i, name in enumerate(text.columns)
+    }
+
+
 def read_trips_as_text(spark: SparkSession, path: str) -> DataFrame:
     """The same CSV with every column a string."""
     return spark.read.option("header", True).csv(path)
@@ -98,6 +137,62 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of :func:`file_inventory`, listed by tasks: the driver never holds the files' names.
+
+    One task lists the root, and the folders in it are dealt to all tasks, each of which is
+    listed with all below it. Names that Spark's readers pass over are left out. File
+    systems are those that Arrow opens; for others there is :func:`file_inventory`.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = system.makeQualified(place).toString()
+
+    # Nested, so that executors need nothing of this package.
+    def lister(recursive: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import pyarrow as arrow
+            from pyarrow import fs
+
+            names = ("path", "is_folder", "length", "modificationTime")
+
+            def list_folder(uri: str) -> list[tuple]:
+                if uri.startswith("file:"):
+                    files, path = fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+                else:
+                    files, path = fs.FileSystem.from_uri(uri)
+                rows = []
+                for info in files.get_file_info(fs.FileSelector(path)):
+                    name = info.base_name
+                    if name.startswith(".") or (name.startswith("_") and "=" not in name):
+                        continue
+                    folder = info.type == fs.FileType.Directory
+                    rows.append((f"{uri}/{name}", folder, None if folder else info.size, info.mtime))
+                return rows
+
+            for batch in batches:
+                waiting = []
+                for row in zip(*(batch.column(name).to_pylist() for name in names), strict=True):
+                    if row[1]:
+                        waiting.append(row[0])
+                    else:
+                        yield arrow.RecordBatch.from_pylist([dict(zip(names, row, strict=True))], schema=batch.schema)
+                while waiting:
+                    rows = list_folder(waiting.pop())
+                    if recursive:
+                        waiting += [row[0] for row in rows if row[1]]
+                        rows = [row for row in rows if not row[1]]
+                    yield arrow.RecordBatch.from_pylist([dict(zip(names, row, strict=True)) for row in rows], schema=batch.schema)
+
+        return read
+
+    schema = "path string, is_folder boolean, length bigint, modificationTime timestamp"
+    start = spark.createDataFrame([(whole.rstrip("/"), True, None, None)], schema).coalesce(1)
+    top = start.mapInArrow(lister(False), schema)
+    dealt = top.repartition(spark.sparkContext.defaultParallelism, "path")
+    return dealt.mapInArrow(lister(True), schema).select("path", "length", "modificationTime")
+
+
 def parquet_chunks(files: DataFrame, equal: Mapping[str, object]) -> DataFrame:
     """The column chunks of Parquet files, from their footers alone: one row per row group and column.
 

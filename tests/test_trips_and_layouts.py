@@ -366,3 +366,36 @@ def test_comparison_takes_turns(spark, tmp_path):
     entry = layout.Layout(count, layout.bytes_behind(spark, str(tmp_path / "t")))
     rows = layout.compare_layouts(spark, {"a": entry, "b": entry}, runs=3).collect()
     assert [(r.layout, r.n) for r in rows] == [("a", 9), ("b", 9)] and all(0 <= r.spread and r.seconds > 0 for r in rows)
+
+
+def test_inference_reads_the_csv_once(spark, tmp_path):
+    """The narrowest type that takes every value of all files, and one scan of the CSV."""
+    path = str(tmp_path / "typed")
+    rows = [
+        ("1", "1", "1.5", "2024-01-31", "2024-01-31 10:00:00", "true", None, " 1", "x"),
+        (None, "3000000000", "-2", "2024-02-01", "2024-02-01 00:00:00", "FALSE", None, "2", "1"),
+    ]
+    names = ["i", "l", "d", "day", "at", "flag", "none", "spaced", "te.xt"]
+    frame = spark.createDataFrame(rows * 50, ", ".join(f"`{name}` string" for name in names))
+    frame.repartition(4).write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
+    read = readers.read_trips(spark, path, infer=True)
+    kinds = ["int", "bigint", "double", "date", "timestamp", "boolean", "string", "string", "string"]
+    assert read.dtypes == list(zip(names, kinds, strict=True))
+    assert read.count() == 100 and read.where("i = 1 and d = 1.5 and flag").count() == 50
+    assert "csv" not in read._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_files_listed_by_tasks(spark, tmp_path):
+    """The same rows as the listing by the driver: nested folders, hidden names, odd characters, files at the top."""
+    root = tmp_path / "lay out"
+    for name in ("a=1/b=x y", "a=1/b=%2F", "a=2", "_hidden", ".dot", "_k=1", "empty"):
+        (root / name).mkdir(parents=True)
+        if name != "empty":
+            (root / name / "part-0").write_text("x" * len(name))
+            (root / name / "_SUCCESS").write_text("")
+    (root / "top").write_text("abc")
+    found = sorted(map(tuple, readers.listed_files(spark, str(root)).select("path", "length").collect()))
+    assert found == sorted(map(tuple, readers.file_inventory(spark, str(root)).select("path", "length").collect()))
+    assert len(found) == 5
+    plan = readers.listed_files(spark, str(root))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "InMemoryFileIndex" not in plan
