@@ -144,6 +144,8 @@ def candidates(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     return whole.groupBy("doc_id").agg(F.collect_set("kind").alias("rules"))
 
 
+#: Matches that are placed together; an array that grows by one is copied each time.
+_BLOCK = 256
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -167,7 +169,31 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
         found = F.when(item["tested"] >= rule.least, F.array_append(state["found"], span)).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    return F.aggregate(steps, start, step, lambda state: state["found"])
+    def in_blocks(steps: Column) -> Column:
+        """Spans by blocks of matches, each from 0, and where each block starts: work in proportion to the matches."""
+        firsts = F.sequence(F.lit(1), F.size(steps), F.lit(_BLOCK))
+        return F.transform(firsts, lambda first: F.aggregate(F.slice(steps, first, _BLOCK), start, step))
+
+    def placed(blocks: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+
+        def pass_block(state: Column, block: Column) -> Column:
+            starts = F.array_append(state["starts"], state["at"])
+            return F.struct((state["at"] + block["at"]).alias("at"), starts.alias("starts"))
+
+        starts = F.aggregate(blocks, none, pass_block, lambda state: state["starts"])
+
+        def shifted(block: Column, at: Column) -> Column:
+            return F.transform(
+                block["found"],
+                lambda s: F.struct((s["start"] + at).alias("start"), s["kind"].alias("kind"), (s["end"] + at).alias("end")),
+            )
+
+        return F.flatten(F.zip_with(blocks, starts, shifted))
+
+    # A transform over one element binds what is used more than once.
+    bound = F.transform(F.array(steps), lambda each: F.when(F.size(each) > 0, in_blocks(each)))
+    return F.coalesce(F.transform(bound, placed)[0], F.array().cast(_SPANS))
 
 
 def find_secrets(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:

@@ -79,3 +79,17 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = secrets.find_secrets(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_very_many_matches_in_one_text(spark):
+    """100 000 matches in a text take time in proportion, and every one has its place."""
+    import time
+
+    key = "AKIA" + "Z" * 16
+    text = "".join(f"é{key} " if i % 3 else f"AKIA{i % 10} " for i in range(100_000))
+    docs = spark.createDataFrame([(1, text), (2, text[:2_000])], "doc_id long, text string")
+    start = time.perf_counter()
+    rows = {r.doc_id: [(s.start, s["end"]) for s in r.found if s.kind == 1] for r in secrets.find_secrets(docs).collect()}
+    assert time.perf_counter() - start < 120
+    for doc_id, whole in ((1, text), (2, text[:2_000])):
+        assert rows[doc_id] == [m.span() for m in re.finditer("AKIA[A-Z0-9]+", whole) if len(m[0]) >= 20]
