@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from partwise.functions.lists import bracketed
 from partwise.operators import graph, layout, logs, trips
 from partwise.session import written
-from partwise.sources import readers, writers
+from partwise.sources import pair_lines, readers, writers
 
 
 def error_count(spark: SparkSession, src: str, dst: str) -> DataFrame:
@@ -53,10 +53,11 @@ def friend_list_intersection(spark: SparkSession, src: str, dst: str) -> DataFra
 
 
 def common_friends(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Write ``a,b<TAB>[x, y]`` lines, a complete one for each pair."""
-    pairs = graph.common_friends(graph.parse_arrow_lines(readers.read_lines(spark, src)))
-    writers.write_tsv(pairs, F.concat_ws(",", "f1", "f2"), bracketed(F.col("members")), dst, per_file=True)
-    return readers.read_tsv(spark, dst, "pair", "members")
+    """Write ``a,b<TAB>[x, y]`` lines, a complete one for each pair, and give their number."""
+    pairs = graph.friend_pairs(graph.parse_arrow_lines(readers.read_lines(spark, src)))
+    pair_lines.write_member_lines(pairs, F.concat_ws(",", "f1", "f2"), F.col("user"), dst)
+    found = readers.read_lines(spark, dst).agg(F.count("*").alias("n"))
+    return _named(found.select(F.lit("pairs_with_members").alias("outcome"), "n"), graph.COUNTER_NAMES)
 
 
 def compact(spark: SparkSession, src: str, dst: str) -> DataFrame:

@@ -188,7 +188,8 @@ def test_friend_jobs(spark, tmp_path):
     }
     assert sorted(r.value for r in spark.read.text(dst).collect()) == ["(B,D)\t[C]", "(C,D)\t[B]"]
     spark.createDataFrame([("A -> B,C",), ("E -> C,B",)], "value string").write.text(arrow)
-    assert [tuple(r) for r in jobs.common_friends(spark, arrow, dst).collect()] == [("B,C", "[A, E]")]
+    assert [tuple(r) for r in jobs.common_friends(spark, arrow, dst).collect()] == [("Paires avec amis communs", 1)]
+    assert [r.value for r in spark.read.text(dst).collect()] == ["B,C\t[A, E]"]  # the lines stay in the output
 
 
 def test_trip_jobs(spark, csv, tmp_path):
