@@ -32,7 +32,7 @@ VOCABULARY_BYTES = 64 << 20
 #: Pieces whose tokens a task remembers, and compatible pairs; both start anew when full.
 REMEMBERED_PIECES, REMEMBERED_PAIRS = 150_000, 150_000
 #: Rows that are handed on together, and the text whose distinct pieces are encoded together.
-ROWS, BATCH_BYTES = 512, 4 << 20
+ROWS, BATCH_BYTES = 512, 12 << 20
 
 
 class Vocabulary:
@@ -223,21 +223,27 @@ def _encoder(content: bytes, pattern: str) -> Encoder:
     return _encoders[key]
 
 
+def _rows(values: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    for row in range(0, len(values), ROWS):
+        yield row, values.slice(row, ROWS)
+
+
 def _add_column(
-    df: DataFrame, name: str, kind: T.DataType, source: str, fill: Callable, after: Callable = lambda: None
+    df: DataFrame, field: T.StructField, source: str, slices: Callable, fill: Callable, after: Callable = lambda: None
 ) -> DataFrame:
-    """``df`` with one more column, made per Arrow batch from column ``source``; ``after`` ends a task."""
+    """``df`` with one more column, made of ``slices`` of column ``source``; ``after`` ends a task."""
     at = df.columns.index(source)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, len(batch), ROWS):
-                part = batch.slice(k, ROWS)
-                columns = [*part.columns, fill(part.column(at))]
-                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, name])
+            for begin, values in slices(batch.column(at)):
+                filled = fill(values)
+                for row, new in _rows(filled):
+                    part = batch.slice(begin + row, len(new))
+                    yield pa.RecordBatch.from_arrays([*part.columns, new], [*part.schema.names, field.name])
         after()
 
-    return df.mapInArrow(add, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+    return df.mapInArrow(add, T.StructType([*df.schema.fields, field]))
 
 
 def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", to: str = "token_ids") -> DataFrame:
@@ -251,16 +257,14 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
 
     def fill(texts: pa.Array) -> pa.Array:
         encoder = _encoder(content.value, pattern)
-        # Pieces are told apart within some megabytes of text at a time.
-        parts = [encoder.encode_all([text or "" for text in part.to_pylist()]) for _, part in chunks(texts, BATCH_BYTES)]
-        ids = np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in parts)])
-        sizes = np.concatenate([np.zeros(1, np.int64), *(np.diff(bounds) for _, bounds in parts)])
-        return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(ids))
+        ids, bounds = encoder.encode_all([text or "" for text in texts.to_pylist()])
+        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
 
     def after() -> None:
         _encoder(content.value, pattern).forget()
 
-    return _add_column(df, free_name(df, to), T.ArrayType(T.IntegerType()), text_col, fill, after)
+    field = T.StructField(free_name(df, to), T.ArrayType(T.IntegerType()))
+    return _add_column(df, field, text_col, lambda texts: chunks(texts, BATCH_BYTES), fill, after)
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "token_ids", to: str = "decoded") -> DataFrame:
@@ -276,4 +280,4 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "token_ids", to: str =
             _decoders[key] = Decoder(content.value)
         return _decoders[key].decode(lists).cast(pa.binary())
 
-    return _add_column(df, free_name(df, to), T.BinaryType(), ids_col, fill)
+    return _add_column(df, T.StructField(free_name(df, to), T.BinaryType()), ids_col, _rows, fill)
