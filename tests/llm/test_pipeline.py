@@ -103,4 +103,4 @@ def test_query(spark, duck, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
