@@ -11,12 +11,16 @@ first one only, which both vectors' keys tell. Cells with many entries are cut i
 bounded size. Equal vectors form a class and enter once, with their number.
 
 A pair at cosine 0.9 meets in a table with probability of about 0.6, closer ones more often;
-the tests hold the recall against brute force.
+the tests hold the recall against brute force. The share of a vector that eight of its
+dimensions keep shrinks with its width, so the scale grows with the root of the width: pairs
+are as far apart, and cells as full, at every width.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +32,9 @@ from partwise.llm.common import settle
 from partwise.llm.components import components
 from partwise.llm.words import mix
 
-TABLES, PROBES, SCALE = 6, 6, 5.0
+TABLES, PROBES = 6, 6
+#: What a unit vector of 64 dimensions is stretched by.
+SCALE = 5.0
 #: Entries at home, and entries in all, that one tile of a cell holds.
 HOME_BLOCK, ENTRY_BLOCK = 2048, 4096
 
@@ -72,15 +78,34 @@ def _cell_names(points: np.ndarray, table: int, width: int) -> np.ndarray:
     return name
 
 
+@functools.lru_cache(maxsize=4)
+def _projections(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The directions of all tables, width x (8 * tables), stretched, and their offsets."""
+    whole = max(width, 8)
+    stretch = SCALE * math.sqrt(whole / 64)
+    directions, offsets = [], []
+    for t in range(TABLES):
+        seeded = np.random.default_rng([t, width])
+        directions.append(np.linalg.qr(seeded.normal(size=(whole, whole))[:, :8])[0][:width] * stretch)
+        offsets.append(seeded.random(8) * 2)
+    return np.concatenate(directions, axis=1), np.concatenate(offsets)
+
+
 def cells(vectors: np.ndarray) -> np.ndarray:
-    """Cell names, vectors x tables x (1 + probes); the home cell is first."""
+    """Cell names, vectors x tables x (1 + probes); the home cell is first.
+
+    A vector has the same cells in any batch: a matrix product may round by the batch's
+    shape, sums taken one dimension after the other do not.
+    """
     n, width = vectors.shape
     units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    directions, offsets = _projections(width)
+    projected = np.tile(offsets, (n, 1))
+    for unit, direction in zip(units.T, directions, strict=True):
+        projected += unit[:, None] * direction
     out = np.empty((n, TABLES, 1 + PROBES), np.uint64)
     for t in range(TABLES):
-        seeded = np.random.default_rng([t, width])
-        directions = np.linalg.qr(seeded.normal(size=(max(width, 8), max(width, 8))))[0][:width, :8]
-        z = units @ directions * SCALE + seeded.random(8) * 2
+        z = projected[:, 8 * t : 8 * t + 8]
         home = nearest_lattice_point(z)
         away = ((z - home)[:, None, :] - _ROOTS) ** 2
         near = np.argpartition(away.sum(axis=2), PROBES, axis=1)[:, :PROBES]

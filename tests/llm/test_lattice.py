@@ -75,6 +75,42 @@ def test_recall_at_the_threshold():
     assert met.mean() >= 0.95
 
 
+@pytest.mark.parametrize("width", [1, 2, 4, 8, 12, 16, 24, 32, 64, 384, 768])
+def test_recall_and_cells_at_every_width(width):
+    r = np.random.default_rng(width)
+    a = r.normal(size=(1000, width))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = a * 3
+    if width > 1:
+        z = r.normal(size=a.shape)
+        z -= (z * a).sum(axis=1, keepdims=True) * a
+        b = 0.9 * a + np.sqrt(0.19) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    x, y = lattice.cells(a), lattice.cells(b)
+    met = (x == y[:, :, :1]).any(axis=(1, 2)) | (y == x[:, :, :1]).any(axis=(1, 2))
+    assert met.mean() >= 0.95
+    if width >= 16:
+        assert max(np.unique(x[:, t, 0], return_counts=True)[1].max() for t in range(lattice.TABLES)) < 20
+
+
+def test_a_vector_has_the_same_cells_in_any_batch():
+    vectors = np.random.default_rng(5).normal(size=(700, 96))
+    whole = lattice.cells(vectors)
+    for size in (1, 2, 3, 7, 64, 699):
+        some = np.concatenate([lattice.cells(vectors[k : k + size]) for k in range(0, 700, size)])
+        assert (some == whole).all()
+
+
+@pytest.mark.parametrize("width", [4, 16, 256])
+def test_recall_of_links_at_other_widths(spark, width):
+    vectors = [v.astype(np.float32).astype(float) for v in made(width, width)]
+    want = brute(vectors, 0.9)
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    found = {r.vec_id: r for r in lattice.near_vectors(docs.repartition(3)).collect()}
+    total = sum(map(len, want.values()))
+    assert all(found[i].n_links <= len(want[i]) for i in want)
+    assert sum(r.n_links for r in found.values()) >= 0.9 * total and total > 100
+
+
 def test_odd_vectors(spark):
     one = [1.0, 0.0, 0.0]
     rows = [
