@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import struct
 import uuid
 from collections.abc import Iterator
@@ -32,7 +33,10 @@ from partwise.llm.common import settle
 from partwise.session import new_scratch_path
 
 FRAME_BYTES = 256 << 10
-BUNDLE_BYTES = 32 << 20
+#: A bundle ends after so many compressed bytes, or so many plain ones.
+BUNDLE_BYTES, BUNDLE_PLAIN_BYTES = 32 << 20, 512 << 20
+#: Frames that are read together; reading holds one of them, and payloads of about ``FRAME_BYTES``.
+READ_FRAMES = 64
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
@@ -41,10 +45,6 @@ VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _INDEX = "page_id long, record_id string, bundle string, frame int, frame_offset long, offset long, length long"
-_RECORDS = (
-    "page_id long, record_id string, record_type string, target_uri string, refers_to_id string, "
-    "payload_digest string, payload_bytes long, payload binary"
-)
 
 
 def record_id(page_id: int | None) -> str:
@@ -120,7 +120,7 @@ class BundleWriter:
         self.stream = stream
         self.compressor = zstandard.ZstdCompressor(level=3, write_checksum=True)
         self.frames: list[tuple[int, int]] = []
-        self.position = 0
+        self.position = self.plain = 0
         self.open: list[bytes] = []
         self.open_bytes = 0
 
@@ -139,6 +139,7 @@ class BundleWriter:
             self.stream.write(frame)
             self.frames.append((len(frame), self.open_bytes))
             self.position += len(frame)
+            self.plain += self.open_bytes
             self.open, self.open_bytes = [], 0
 
     def finish(self) -> None:
@@ -193,7 +194,7 @@ def _write(folder: str, date: str):
                 payload = html.as_buffer().to_pybytes() if html.is_valid else b""
                 place = writer.add(make_record(page, url.as_py(), payload, first.as_py(), date))
                 rows.append((page, record_id(page), name, *place))
-                if writer.position >= BUNDLE_BYTES:
+                if writer.position >= BUNDLE_BYTES or writer.plain >= BUNDLE_PLAIN_BYTES:
                     writer.finish()
                     stream.close()
                     writer = None
@@ -223,6 +224,23 @@ _INDEX_SCHEMA = pa.schema(
     ]
 )
 
+_RECORD_SCHEMA = pa.schema(
+    [
+        ("page_id", pa.int64()),
+        ("record_id", pa.string()),
+        ("record_type", pa.string()),
+        ("target_uri", pa.string()),
+        ("refers_to_id", pa.string()),
+        ("payload_digest", pa.string()),
+        ("payload_bytes", pa.int64()),
+        ("payload", pa.binary()),
+    ]
+)
+_RECORDS = (
+    "page_id long, record_id string, record_type string, target_uri string, refers_to_id string, "
+    "payload_digest string, payload_bytes long, payload binary"
+)
+
 
 def write_archives(
     pages: DataFrame,
@@ -256,30 +274,47 @@ def write_archives(
     return folder, settle(ready.mapInArrow(_write(folder, date), _INDEX), "warc-index")
 
 
-def read_archives(index: DataFrame, folder: str) -> DataFrame:
+def _read(folder: str, payloads: bool):
+    """Parse the records of an index that is sorted by bundle and frame; one frame is held at a time."""
+    schema = _RECORD_SCHEMA if payloads else _RECORD_SCHEMA.remove(_RECORD_SCHEMA.get_field_index("payload"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = fs.FileSystem.from_uri(folder)
+        rows = itertools.chain.from_iterable(zip(*(c.to_pylist() for c in batch.columns), strict=True) for batch in batches)
+        out, held = [], 0
+        for bundle, wanted in itertools.groupby(rows, key=lambda row: row[0]):
+            with store.open_input_file(f"{top}/{bundle}") as stream:
+                frames = read_seek_table(stream, stream.size())
+                for number, places in itertools.groupby(wanted, key=lambda row: row[1]):
+                    data = read_frame(stream, frames[number])
+                    for _, _, frame_offset, offset, length in places:
+                        if frames[number][0] != frame_offset:
+                            raise ValueError("the index does not fit the seek table")
+                        record = parse_record(data[offset : offset + length])
+                        if not payloads:
+                            record["payload"] = None
+                        out.append({"page_id": page_of(record["record_id"]), **record})
+                        held += len(record["payload"] or b"")
+                        if held >= FRAME_BYTES or len(out) >= 4096:
+                            yield pa.RecordBatch.from_pylist(out, schema)
+                            out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    return read
+
+
+def read_archives(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """The records that ``index`` names, parsed from the bundles below ``folder``.
 
-    A bundle, of bounded size, is opened once; every frame that is asked for is unpacked
-    once. A revisit has a null payload, but the length and digest of the full one.
+    The index is dealt by bundle and ``READ_FRAMES`` frames, and a task unpacks every frame
+    that is asked for once; it holds one frame at a time, however well a bundle is compressed.
+    A revisit has a null payload, but the length and digest of the full one. Without
+    ``payloads`` there is no such column; lengths and digests are checked all the same.
     """
-
-    def read(rows: pd.DataFrame) -> pd.DataFrame:
-        store, top = fs.FileSystem.from_uri(folder)
-        path = f"{top}/{rows['bundle'].iloc[0]}"
-        out = []
-        with store.open_input_file(path) as stream:
-            frames = read_seek_table(stream, stream.size())
-            for number, wanted in rows.groupby("frame"):
-                if frames[number][0] != wanted["frame_offset"].iloc[0]:
-                    raise ValueError("the index does not fit the seek table")
-                data = read_frame(stream, frames[number])
-                for offset, length in zip(wanted["offset"], wanted["length"], strict=True):
-                    record = parse_record(data[offset : offset + length])
-                    out.append({"page_id": page_of(record["record_id"]), **record})
-        table = pd.DataFrame(out, columns=_names(_RECORDS))
-        return table.astype({"page_id": "Int64"})
-
-    return index.select("bundle", "frame", "frame_offset", "offset", "length").groupBy("bundle").applyInPandas(read, _RECORDS)
+    wanted = index.select("bundle", "frame", "frame_offset", "offset", "length")
+    dealt = wanted.repartition("bundle", F.floor(F.col("frame") / READ_FRAMES)).sortWithinPartitions("bundle", "frame", "offset")
+    return dealt.mapInArrow(_read(folder, payloads), _RECORDS if payloads else _RECORDS.removesuffix(", payload binary"))
 
 
 def archive_and_read(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -287,6 +322,6 @@ def archive_and_read(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     folder, index = write_archives(pages, min_bytes=min_bytes)
     number = F.regexp_extract("refers_to_id", r"(-?\d+)$", 1)
     refers_to = F.when(F.col("refers_to_id").isNotNull(), number.cast("long"))
-    return read_archives(index, folder).select(
+    return read_archives(index, folder, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", refers_to.alias("refers_to")
     )

@@ -72,6 +72,23 @@ def test_bundles_are_whole_streams_with_an_index(pages, monkeypatch):
     assert (8, bytearray(b"long " * 200_000)) in [(p, t) for p, t in ((p, bytearray(t)) for p, t in texts)]
 
 
+def test_repetitive_pages_are_read_frame_by_frame(spark, monkeypatch):
+    """40 MB of text that compresses to almost nothing: bundles end by plain bytes, reads by frames."""
+    monkeypatch.setattr(warc, "BUNDLE_PLAIN_BYTES", 16 << 20)
+    monkeypatch.setattr(warc, "READ_FRAMES", 3)
+    docs = spark.range(200).selectExpr("id as page_id", "'http://a/' as url", "concat(id, repeat(' same words', 20000)) as html")
+    folder, index = warc.write_archives(docs.coalesce(1))
+    sizes = {r.bundle: r.plain for r in index.groupBy("bundle").agg({"length": "sum"}).withColumnRenamed("sum(length)", "plain").collect()}
+    assert len(sizes) == 3 and max(sizes.values()) < 17 << 20
+    places = [tuple(r) for r in index.select("bundle", "frame", "frame_offset", "offset", "length").orderBy("bundle", "frame", "offset").collect()]
+    batch = warc.pa.RecordBatch.from_arrays([warc.pa.array(c) for c in zip(*places, strict=True)], names=list("abcde"))
+    parts = list(warc._read(folder, True)([batch]))
+    assert sum(len(p) for p in parts) == 200 and max(p.nbytes for p in parts) < 2 * warc.FRAME_BYTES
+    back = warc.read_archives(index, folder)
+    assert {r.page_id: bytes(r.payload) for r in back.collect()} == {r.page_id: r.html.encode() for r in docs.collect()}
+    assert "payload" not in warc.read_archives(index, folder, payloads=False).columns
+
+
 def test_one_record_by_its_id(pages):
     folder, index = warc.write_archives(pages)
     one = warc.read_archives(index.where(index.record_id == warc.record_id(7)), folder).collect()
