@@ -30,8 +30,8 @@ from partwise.llm.bits import BitTable
 from partwise.llm.common import drop_ids, settle
 from partwise.llm.words import chunks, gram_hashes, mix, split_words
 
-#: Items of fewer words are not looked for.
-LEAST_WORDS = 3
+#: Of shorter items a part is no evidence (half of two words is one word), so they count whole only.
+PART_WORDS = 3
 #: Words in a feature.
 GRAMS = (1, 2)
 #: The part of the needed features that has to be found among the seeds.
@@ -151,7 +151,8 @@ def _passages(table, overlap: int):
 
 def _needed(n: F.Column, least: float) -> F.Column:
     """How many features of an item of ``n`` words any alignment of that score matches."""
-    return F.greatest(F.lit(1), F.ceil(MATCH * least * n - 1e-9).cast("int") - 1)
+    share = F.when(n < PART_WORDS, 1.0).otherwise(least)
+    return F.greatest(F.lit(1), F.ceil(MATCH * share * n - 1e-9).cast("int") - 1)
 
 
 def align(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +204,7 @@ def _score(least: float):
                     best, end = align(own, _padded(texts))
                     for i, text, top, last in zip(some, texts, best, end, strict=True):
                         share = float(top) / (MATCH * len(own))
-                        if share >= least:
+                        if share >= (least if len(own) >= PART_WORDS else 1.0):
                             # The same alignment read backwards ends where it starts.
                             _, back = align(own[::-1], text[None, :last][:, ::-1])
                             start = starts[i].as_py()
@@ -215,15 +216,16 @@ def _score(least: float):
     return score
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, least_words: int = 1) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of documents that hold a test item.
 
     ``score`` is the alignment's share of a whole copy's score, at least ``least``; the words
     count from 0 within the document. A pair is returned once, with its best place (ties:
     the first). The same corpus and benchmark give the same pairs in any partitioning.
 
-    Null and empty texts match nothing, nor do items of fewer than ``LEAST_WORDS`` words or with a
-    null id. Rows that repeat a document or an item give one pair with the best score; rows
+    Items of one or two words count as held only where they stand whole; callers whose benchmark
+    has such items by accident leave them out by ``least_words``. Null and empty texts match
+    nothing, nor do items of fewer than ``least_words`` words, without words or with a null id. Rows that repeat a document or an item give one pair with the best score; rows
     without a document id are one document with a null id. Only doc_id and text, and item_id
     and text, are read. An empty table on either side gives no pairs.
     """
@@ -233,7 +235,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
     item_kind, doc_kind = dict(asked.dtypes)["item_id"], dict(texts.dtypes)["doc_id"]
     kinds = f"item_id {item_kind}, words array<long>, runs array<long>"
     numbered = asked.mapInArrow(_items, kinds).withColumn("item", F.monotonically_increasing_id())
-    items = settle(numbered.where(F.size("words") >= LEAST_WORDS), "items")
+    items = settle(numbered.where(F.size("words") >= max(1, least_words)), "items")
     longest = items.agg(F.max(F.size("words"))).head()[0]
     found = f"doc_id {doc_kind}, item_id {item_kind}, score double, first_word long, last_word long"
     if longest is None:
@@ -267,6 +269,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
     return scored.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, least_words: int = 1) -> DataFrame:
     """``docs`` that hold no test item, all columns; rows with a null id stay."""
-    return drop_ids(docs, contaminated(docs, benchmark, least).select("doc_id").distinct())
+    return drop_ids(docs, contaminated(docs, benchmark, least, least_words).select("doc_id").distinct())

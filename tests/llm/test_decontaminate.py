@@ -118,14 +118,26 @@ def test_odd_rows(spark):
     rows = [(1, f"x {item} y"), (1, f"x {item} y"), (None, item), (2, None), (3, ""), (4, "word1 word2 word3"), (5, f"{item} " * 300), (6, "a b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     benchmark = spark.createDataFrame([(7, item), (7, item), (8, "a b"), (9, None), (None, item), (10, "")], "item_id long, text string")
-    found = decontaminate.contaminated(docs, benchmark).collect()
+    found = decontaminate.contaminated(docs, benchmark, least_words=3).collect()
     assert sorted(((r.doc_id, r.item_id, r.score) for r in found), key=repr) == [(1, 7, 1.0), (5, 7, 1.0), (None, 7, 1.0)]
-    kept = decontaminate.drop_contaminated(docs, benchmark)
+    kept = decontaminate.drop_contaminated(docs, benchmark, least_words=3)
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([None, 2, 3, 4, 6], key=repr)
     assert decontaminate.contaminated(docs.limit(0), benchmark).collect() == []
     assert decontaminate.contaminated(docs, benchmark.limit(0)).collect() == []
 
 
+def test_short_items_count_whole(spark):
+    rows = [(1, "a b"), (2, "x A, b y"), (3, "a x b"), (4, "b a"), (5, "a"), (6, "solo"), (7, "x " * 300 + "a b"), (8, "p q r"), (9, "p q x"), (10, "p x y"), (11, None)]
+    items = [(1, "a b"), (2, "solo"), (3, "p q r"), (4, "?!"), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, benchmark).collect()}
+    scores = {(d, i): slow_score(word_list(item), word_list(text)) for d, text in rows if word_list(text) for i, item in items}
+    lengths = {i: len(word_list(item)) for i, item in items}
+    want = {(d, i): s for (d, i), s in scores.items() if lengths[i] and s >= (decontaminate.LEAST if lengths[i] > 2 else 1)}
+    assert found == pytest.approx(want) and len(want) == 6
+
+
 def test_an_item_id_with_two_texts(spark):
     texts = [" ".join(f"{letter}{i}" for i in range(16)) for letter in "ab"]
     rows = [(d, f"x {texts[d % 2]} y") for d in range(6)]
