@@ -11,7 +11,11 @@ line goes if it matches one that comes earlier, by (doc_id, line number).
 4. What is left enters the join under the rarest words of its prefix, |A| - ceil(t |A|) + 1
    of them: matching sets share one there. Length, the words left behind the shared one, and
    the parities of the words' hashes bound the overlap from above before anything is verified.
-5. Every match is verified on the words of the lines themselves.
+   A semi join finds the lines that have any candidate, without a pair.
+5. One earlier match is enough for a line to go. So those few lines meet the earliest line of
+   each of their words first, in ``ROUNDS`` rounds, and only lines that no round settles are
+   paired with all their candidates.
+6. Every match is verified on the words of the lines themselves.
 
 A line that fills a third of the corpus is a single class, and a class that has found an
 earlier match is not paired again.
@@ -19,6 +23,8 @@ earlier match is not paired again.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +34,8 @@ COUNTERS = 1 << 18
 #: Numbers in the constants that counters and document filters are packed into.
 PACKED = 1 << 14
 MIN_WORDS, PERCENT = 1, 80
+#: Rounds against one line per word, before all candidates are paired; no number changes the result.
+ROUNDS = 3
 _KEY, _PLACE = ["k1", "k2"], ["doc_id", "line"]
 
 
@@ -147,18 +155,63 @@ def _with_earliest(classes: DataFrame, percent: int) -> DataFrame:
     return joined.select(*_PAIR).distinct()
 
 
-def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
-    """Each class not ``gone`` with the earlier ones that share a word of the prefixes, as far as the bounds allow."""
-    marked = classes.join(gone.withColumn("gone", F.lit(1)), _PLACE, "left")
-    open_ = F.when(F.col("gone").isNull(), 1).otherwise(0).alias("open")
-    entries = marked.select(*_PLACE, "n", "low", "high", open_, F.posexplode("prefix").alias("at", "code"))
-    a, b = (_named(entries, side, "code", *_PLACE, "n", "low", "high", "open", "at") for side in "ab")
+def _entries(classes: DataFrame) -> DataFrame:
+    """A row for each prefix word of each class: (doc_id, line, n, low, high, open, at, code)."""
+    return classes.select(*_PLACE, "n", "low", "high", "open", F.posexplode("prefix").alias("at", "code"))
+
+
+def _side(entries: DataFrame, side: str) -> DataFrame:
+    return _named(entries, side, "code", *_PLACE, "n", "low", "high", "open", "at")
+
+
+def _candidates(percent: int) -> Column:
+    """Whether an open b may match the earlier a by a word of the prefixes that both have."""
     left = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
     places = (100 + percent) * left >= percent * (F.col("a_n") + F.col("b_n"))
     # b must be open; said of both sides, so that both read the same shuffle.
     opened = 2 * F.col("b_open") + F.col("a_open") >= 2
     bounds = opened & places & _earlier() & _may_match(percent)  # the cheapest first
-    return a.join(b, (F.col("a_code") == F.col("b_code")) & bounds).select(*_PAIR).distinct()
+    return (F.col("a_code") == F.col("b_code")) & bounds
+
+
+def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
+    """The entries of all classes that matter to those not ``gone`` which have a candidate; these are open.
+
+    An entry matters if one of the open classes has its code. Settled.
+    """
+    marked = classes.join(gone.withColumn("gone", F.lit(1)), _PLACE, "left")
+    marked = marked.withColumn("open", F.when(F.col("gone").isNull(), 1).otherwise(0)).drop("gone")
+    entries = _entries(marked)
+    asking = _side(entries, "b").join(_side(entries, "a"), _candidates(percent), "left_semi")
+    asking = settle(asking.select(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line")).distinct(), "line-asking")
+    # Few classes have a candidate, so few entries pass the filter and are moved.
+    asks = classes.where(_in_filter(asking, *_PLACE)).join(asking, _PLACE, "left_semi")
+    codes = settle(asks.select(F.explode("prefix").alias("code")).distinct(), "line-codes")
+    near = _entries(classes.withColumn("open", F.lit(0))).where(_in_filter(codes, "code")).join(codes, "code", "left_semi")
+    opened = near.drop("open").join(asking.withColumn("open", F.lit(1)), _PLACE, "left")
+    return settle(opened.withColumn("open", F.coalesce("open", F.lit(0))), "line-entries")
+
+
+def _late_by_prefix(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """The places of open ``entries`` whose words match those of an earlier one; settled."""
+    partners = _side(entries, "a").join(_side(entries, "b"), _candidates(percent), "left_semi")
+    partners = partners.select(F.col("a_doc_id").alias("doc_id"), F.col("a_line").alias("line"))
+    words = _words(texts, settle(partners.union(entries.where("open = 1").select(*_PLACE)).distinct(), "line-places"))
+    first = F.min(F.struct(*_PLACE, "n", "low", "high", "open", "at")).alias("first")
+    late = []
+    for number in range(ROUNDS + 1):
+        asked = entries
+        if 0 < number < ROUNDS:
+            asked = entries.where("open = 1")  # the earliest of all have been asked
+        if number < ROUNDS:
+            asked = asked.groupBy("code").agg(first).select("code", "first.*")
+        pairs = _side(asked, "a").join(_side(entries.where("open = 1"), "b"), _candidates(percent)).select(*_PAIR).distinct()
+        late.append(_verified(pairs, words, percent))
+        found = late[-1].withColumn("late", F.lit(1))
+        if number < ROUNDS:
+            left = entries.join(found, _PLACE, "left").withColumn("open", F.when(F.col("late").isNull(), F.col("open")).otherwise(0))
+            entries = settle(left.drop("late"), "line-entries")
+    return functools.reduce(DataFrame.union, late)
 
 
 def _in_filter(names: DataFrame, *columns: str) -> Column:
@@ -170,16 +223,18 @@ def _in_filter(names: DataFrame, *columns: str) -> Column:
     return F.get(table, at).bitwiseAND(bit) != 0
 
 
-def _matching(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The later places of the ``pairs`` whose words match; settled."""
-    sides = [pairs.select(F.col(f"{s}_doc_id").alias("doc_id"), F.col(f"{s}_line").alias("line")) for s in "ab"]
-    places = settle(sides[0].union(sides[1]).distinct(), "line-places")
+def _words(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_id, line, words, n) of the ``places``, which are settled; settled."""
     # The join moves these lines and few others, never whole texts.
     near = texts.where(_in_filter(places, "doc_id"))
     lines = near.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     lines = lines.where(_in_filter(places, "doc_id", "line"))
     words = lines.join(places, _PLACE).distinct().select(*_PLACE, line_words(F.col("text")).alias("words"))
-    words = settle(words.select(*_PLACE, "words", F.size("words").alias("n")), "line-words")
+    return settle(words.select(*_PLACE, "words", F.size("words").alias("n")), "line-words")
+
+
+def _verified(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """The later places of the ``pairs`` whose ``words`` match; settled."""
     sets = pairs
     for side in "ab":
         sets = sets.join(_named(words, side, *_PLACE, "words", "n"), [f"{side}_doc_id", f"{side}_line"])
@@ -190,11 +245,17 @@ def _matching(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return settle(later.distinct(), "late-lines")
 
 
+def _matching(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The later places of the ``pairs`` whose words match; settled."""
+    sides = [pairs.select(F.col(f"{s}_doc_id").alias("doc_id"), F.col(f"{s}_line").alias("line")) for s in "ab"]
+    return _verified(pairs, _words(texts, settle(sides[0].union(sides[1]).distinct(), "line-places")), percent)
+
+
 def removed_lines(texts: DataFrame, min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, line) of the lines that match an earlier one. ``texts`` has (doc_id, text) and no null ids."""
     classes = settle(_classes(texts, min_words, percent), "line-classes")
     gone = _matching(texts, settle(_with_earliest(classes, percent), "line-pairs"), percent)
-    more = _matching(texts, settle(_sharing_prefix(classes, gone, percent), "line-pairs"), percent)
+    more = _late_by_prefix(texts, _sharing_prefix(classes, gone, percent), percent)
     # Of a class that matches an earlier one all lines go, of another all but the first.
     late = gone.union(more).withColumn("gone", F.lit(True))
     firsts = classes.select(*_KEY, *_PLACE).join(late, _PLACE, "left")

@@ -59,6 +59,21 @@ def test_same_as_all_pairs(spark, seed, min_words, percent):
         assert row.n_removed == len(row.removed)
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_rounds_do_not_change_the_result(spark, monkeypatch, rounds):
+    """One large group of edited copies, in which most lines have many candidates, and not all of them match."""
+    monkeypatch.setattr(lines, "ROUNDS", rounds)
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(50)]
+    rows = []
+    for d in range(120):
+        own = [w if r.random() > r.choice([0.04, 0.12]) else f"e{r.randrange(400)}" for w in base]
+        rows.append((d, " ".join(own) + "\n" + " ".join(f"u{d}x{i}" for i in range(12))))
+    found = lines.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = brute(rows, 1, 80)
+    assert {x.doc_id: x.removed for x in found if x.removed} == want and 60 < len(want) < 119
+
+
 def test_short_lines_are_compared_by_default(spark):
     rows = [(1, "Ietzte.\nhttps://a.example/b?c=d\none two"), (2, "Two  one\nietzte.\n\n \nother"), (3, "https://a.example/b?c=d\n\n \none three")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
