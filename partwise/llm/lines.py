@@ -121,14 +121,15 @@ def _classes(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
     return classes.where(F.col("row.n") >= min_words).select(*_KEY, "row.*")
 
 
-def _may_match(percent: int) -> Column:
+def _may_match(percent: int, dot: str = "_") -> Column:
     """Whether lengths and parities allow a match of a and b.
 
     Each word that only one of them has flips a bit, so at least so many words differ.
     """
-    both = F.col("a_n") + F.col("b_n")
-    lengths = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
-    apart = sum(F.bit_count(F.col(f"a_{half}").bitwiseXOR(F.col(f"b_{half}"))) for half in ("low", "high"))
+    a, b = F.col(f"a{dot}n"), F.col(f"b{dot}n")
+    both = a + b
+    lengths = 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    apart = sum(F.bit_count(F.col(f"a{dot}{half}").bitwiseXOR(F.col(f"b{dot}{half}"))) for half in ("low", "high"))
     return lengths & ((100 + percent) * (both - apart) >= 2 * percent * both)
 
 
@@ -139,9 +140,9 @@ def _named(df: DataFrame, side: str, *columns: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in columns])
 
 
-def _earlier() -> Column:
-    same = (F.col("a_doc_id") == F.col("b_doc_id")) & (F.col("a_line") < F.col("b_line"))
-    return (F.col("a_doc_id") < F.col("b_doc_id")) | same
+def _earlier(dot: str = "_") -> Column:
+    a, b = ([F.col(f"{side}{dot}{c}") for c in _PLACE] for side in "ab")
+    return (a[0] < b[0]) | ((a[0] == b[0]) & (a[1] < b[1]))
 
 
 def _with_earliest(classes: DataFrame, percent: int) -> DataFrame:
@@ -164,14 +165,14 @@ def _side(entries: DataFrame, side: str) -> DataFrame:
     return _named(entries, side, "code", *_PLACE, "n", "low", "high", "open", "at")
 
 
-def _candidates(percent: int) -> Column:
+def _candidates(percent: int, dot: str = "_") -> Column:
     """Whether an open b may match the earlier a by a word of the prefixes that both have."""
-    left = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
-    places = (100 + percent) * left >= percent * (F.col("a_n") + F.col("b_n"))
+    a, b = ({c: F.col(f"{side}{dot}{c}") for c in ("code", "n", "at", "open")} for side in "ab")
+    places = (100 + percent) * F.least(a["n"] - a["at"], b["n"] - b["at"]) >= percent * (a["n"] + b["n"])
     # b must be open; said of both sides, so that both read the same shuffle.
-    opened = 2 * F.col("b_open") + F.col("a_open") >= 2
-    bounds = opened & places & _earlier() & _may_match(percent)  # the cheapest first
-    return (F.col("a_code") == F.col("b_code")) & bounds
+    opened = 2 * b["open"] + a["open"] >= 2
+    bounds = opened & places & _earlier(dot) & _may_match(percent, dot)  # the cheapest first
+    return (a["code"] == b["code"]) & bounds
 
 
 def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
@@ -182,8 +183,9 @@ def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFr
     marked = classes.join(gone.withColumn("gone", F.lit(1)), _PLACE, "left")
     marked = marked.withColumn("open", F.when(F.col("gone").isNull(), 1).otherwise(0)).drop("gone")
     entries = _entries(marked)
-    asking = _side(entries, "b").join(_side(entries, "a"), _candidates(percent), "left_semi")
-    asking = settle(asking.select(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line")).distinct(), "line-asking")
+    # Aliases, not new names: the optimizer moves names on one side only, and the sides would be shuffled apart.
+    asking = entries.alias("b").join(entries.alias("a"), _candidates(percent, "."), "left_semi")
+    asking = settle(asking.select(*_PLACE).distinct(), "line-asking")
     # Few classes have a candidate, so few entries pass the filter and are moved.
     asks = classes.where(_in_filter(asking, *_PLACE)).join(asking, _PLACE, "left_semi")
     codes = settle(asks.select(F.explode("prefix").alias("code")).distinct(), "line-codes")
@@ -194,8 +196,7 @@ def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFr
 
 def _late_by_prefix(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     """The places of open ``entries`` whose words match those of an earlier one; settled."""
-    partners = _side(entries, "a").join(_side(entries, "b"), _candidates(percent), "left_semi")
-    partners = partners.select(F.col("a_doc_id").alias("doc_id"), F.col("a_line").alias("line"))
+    partners = entries.alias("a").join(entries.alias("b"), _candidates(percent, "."), "left_semi").select(*_PLACE)
     words = _words(texts, settle(partners.union(entries.where("open = 1").select(*_PLACE)).distinct(), "line-places"))
     first = F.min(F.struct(*_PLACE, "n", "low", "high", "open", "at")).alias("first")
     late = []
