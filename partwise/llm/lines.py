@@ -33,6 +33,8 @@ from partwise.llm.common import free_name, settle
 COUNTERS = 1 << 18
 #: Numbers in the constants that counters and document filters are packed into.
 PACKED = 1 << 14
+#: The same for the filter of prefix words, of which a line has several.
+PACKED_CODES = 1 << 17
 MIN_WORDS, PERCENT = 1, 80
 #: Rounds against one line per word, before all candidates are paired; no number changes the result.
 ROUNDS = 3
@@ -56,8 +58,8 @@ def _word_hashes(line: Column) -> Column:
     return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
-def _constant(cells: DataFrame) -> Column:
-    """(at, bits) as a constant array of ``PACKED`` numbers; no more rows than that reach the driver."""
+def _constant(cells: DataFrame, packed: int = PACKED) -> Column:
+    """(at, bits) as a constant array of ``packed`` numbers; no more rows than that reach the driver."""
     found = {row["at"]: row["bits"] for row in cells.groupBy("at").agg(F.bit_or("bits").alias("bits")).collect()}
     return F.split(F.lit(",".join(str(found.get(at, 0)) for at in range(PACKED))), ",").cast("array<long>")
 
@@ -189,7 +191,7 @@ def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFr
     # Few classes have a candidate, so few entries pass the filter and are moved.
     asks = classes.where(_in_filter(asking, *_PLACE)).join(asking, _PLACE, "left_semi")
     codes = settle(asks.select(F.explode("prefix").alias("code")).distinct(), "line-codes")
-    near = _entries(classes.withColumn("open", F.lit(0))).where(_in_filter(codes, "code")).join(codes, "code", "left_semi")
+    near = _entries(classes.withColumn("open", F.lit(0))).where(_in_filter(codes, "code", packed=PACKED_CODES)).join(codes, "code", "left_semi")
     opened = near.drop("open").join(asking.withColumn("open", F.lit(1)), _PLACE, "left")
     return settle(opened.withColumn("open", F.coalesce("open", F.lit(0))), "line-entries")
 
@@ -215,12 +217,12 @@ def _late_by_prefix(texts: DataFrame, entries: DataFrame, percent: int) -> DataF
     return functools.reduce(DataFrame.union, late)
 
 
-def _in_filter(names: DataFrame, *columns: str) -> Column:
+def _in_filter(names: DataFrame, *columns: str, packed: int = PACKED) -> Column:
     """A test of ``columns`` that lets all of ``names`` through, and of others few while the filter is sparse."""
-    cell = F.xxhash64(*columns).bitwiseAND(PACKED * 64 - 1)
+    cell = F.xxhash64(*columns).bitwiseAND(packed * 64 - 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))
     at = F.shiftright(cell, 6).cast("int")
-    table = _constant(names.select(at.alias("at"), bit.alias("bits")))
+    table = _constant(names.select(at.alias("at"), bit.alias("bits")), packed)
     return F.get(table, at).bitwiseAND(bit) != 0
 
 
