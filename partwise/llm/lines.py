@@ -61,7 +61,7 @@ def _word_hashes(line: Column) -> Column:
 def _constant(cells: DataFrame, packed: int = PACKED) -> Column:
     """(at, bits) as a constant array of ``packed`` numbers; no more rows than that reach the driver."""
     found = {row["at"]: row["bits"] for row in cells.groupBy("at").agg(F.bit_or("bits").alias("bits")).collect()}
-    return F.split(F.lit(",".join(str(found.get(at, 0)) for at in range(PACKED))), ",").cast("array<long>")
+    return F.split(F.lit(",".join(str(found.get(at, 0)) for at in range(packed))), ",").cast("array<long>")
 
 
 def _rarity(texts: DataFrame) -> Column:

@@ -115,3 +115,9 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b c\nd e f")], "doc_id long, text string")
     plan = lines.line_report(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("packed", [lines.PACKED, lines.PACKED_CODES])
+def test_filters_let_all_names_through(spark, packed):
+    names = spark.range(3000).selectExpr("cast(id * 7919 as int) as code")
+    assert names.where(lines._in_filter(names, "code", packed=packed)).count() == 3000
