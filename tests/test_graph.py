@@ -296,3 +296,24 @@ def test_a_failed_write_of_lines_leaves_the_first(spark, tmp_path):
     assert spark.read.text(str(path)).count() == 20
     pair_lines.write_member_lines(good.limit(0), F.col("k"), F.col("m"), str(path))
     assert spark.read.text(str(path)).count() == 0
+
+
+@pytest.mark.parametrize("hot_names", [0, 12, 40, 1000])
+@pytest.mark.parametrize("block", [2, 256])
+def test_hot_names_do_not_show(adjacency, lines, hot_names, block):
+    """No name, some names and all names are hot; the intersection and its number are the same."""
+    rows = [(u, [f for f in friends if f]) for u, friends in random_graph(21)]
+    wanted = brute_intersection(rows)
+    assert gathered(graph.friend_list_intersection(adjacency(rows), block=block, hot_names=hot_names)) == wanted
+    df = lines(*[f"{user}\t{','.join(friends)}" for user, friends in rows if friends])
+    found = {r.outcome: r.n for r in graph.graph_outcomes(df, block=block, hot_names=hot_names).collect()}
+    assert found["pairs_with_members"] == len(wanted)
+
+
+def test_no_pair_is_shuffled_unless_both_names_are_hot(adjacency):
+    """Lists go to their names: before, every pair row was shuffled, and pairs on more lists with each of these."""
+    rows = [(f"u{i}", [f"p{i % 7}", f"q{i % 5}", f"r{i}", "brand"]) for i in range(60)]
+    made = graph.friend_list_intersection(adjacency(rows))
+    assert gathered(made) == brute_intersection(rows)
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", plan) == ["owner"]
