@@ -400,3 +400,13 @@ def test_files_listed_by_tasks(spark, tmp_path):
     assert len(found) == 5
     plan = readers.listed_files(spark, str(root))._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan and "InMemoryFileIndex" not in plan
+
+
+def test_lines_sorted_per_file_are_not_shuffled(spark, tmp_path):
+    """Before, all lines went through a shuffle by their key."""
+    path = tmp_path / "lines"
+    rows = spark.range(40, numPartitions=3).select((F.lit(99) - F.col("id")).alias("k"), F.spark_partition_id().alias("at"))
+    writers.write_tsv(rows, F.col("k"), F.col("at"), str(path), per_file=True)
+    files = [[line.split("\t") for line in file.read_text().splitlines()] for file in path.glob("part-*")]
+    assert sorted(len(file) for file in files) == [13, 13, 14]
+    assert all(len({at for _, at in file}) == 1 and file == sorted(file) for file in files)
