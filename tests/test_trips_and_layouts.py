@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -410,3 +413,20 @@ def test_lines_sorted_per_file_are_not_shuffled(spark, tmp_path):
     files = [[line.split("\t") for line in file.read_text().splitlines()] for file in path.glob("part-*")]
     assert sorted(len(file) for file in files) == [13, 13, 14]
     assert all(len({at for _, at in file}) == 1 and file == sorted(file) for file in files)
+
+
+def test_small_log_files_need_few_tasks(spark, monkeypatch, tmp_path):
+    """Before, a task wrote each small file, so tasks grew with the files and shuffle blocks with their square."""
+    from partwise.plans import derived
+
+    rows = spark.range(1103, numPartitions=5).select(F.col("id").cast("string").alias("value"))
+    monkeypatch.setattr(derived, "log_lines", lambda *_: rows.unionByName(rows.limit(0)))
+    monkeypatch.setattr(derived, "LINES_PER_FILE", 10)
+    monkeypatch.setattr(derived, "FILES_PER_TASK", 4)
+    path = derived.small_log_files(spark, str(tmp_path))
+    read = spark.read.text(path)
+    assert sorted(int(r.value) for r in read.collect()) == list(range(1103))
+    sizes = [len(Path(file.removeprefix("file:")).read_text().splitlines()) for file in read.inputFiles()]
+    assert sorted(sizes) == [3] + [10] * 110
+    tasks = {re.search(r"part-(\d+)", file).group(1) for file in read.inputFiles()}
+    assert len(tasks) <= 28
