@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.llm.common import free_name, settle
@@ -149,13 +149,12 @@ def _earlier(dot: str = "_") -> Column:
 
 def _with_earliest(classes: DataFrame, percent: int) -> DataFrame:
     """Each class with the earliest of those that share an extreme with it."""
-    entries = classes.select(*_PLACE, "n", "low", "high", F.explode("extremes").alias("key"))
-    first = F.min(F.struct(*_PLACE, "n", "low", "high")).alias("first")
-    shared = entries.groupBy("key").agg(first, F.count("*").alias("members")).where("members > 1")
-    earliest = _named(shared.select("key", "first.*"), "a", "key", *_PLACE, "n", "low", "high")
-    others = _named(entries, "b", "key", *_PLACE, "n", "low", "high")
-    joined = others.join(earliest, (F.col("a_key") == F.col("b_key")) & _earlier() & _may_match(percent))
-    return joined.select(*_PAIR).distinct()
+    columns = [*_PLACE, "n", "low", "high"]
+    entries = classes.select(*columns, F.explode("extremes").alias("key"))
+    # A window, not a join with the earliest: the entries are moved once.
+    by_key = Window.partitionBy("key").orderBy(*_PLACE)
+    sides = [F.first(c).over(by_key).alias(f"a_{c}") for c in columns] + [F.col(c).alias(f"b_{c}") for c in columns]
+    return entries.select(*sides).where(_earlier() & _may_match(percent)).select(*_PAIR).distinct()
 
 
 def _entries(classes: DataFrame) -> DataFrame:
@@ -177,29 +176,39 @@ def _candidates(percent: int, dot: str = "_") -> Column:
     return (a["code"] == b["code"]) & bounds
 
 
+def _marked(classes: DataFrame, gone: DataFrame) -> DataFrame:
+    """``classes`` with ``open``, 0 for those ``gone`` and 1 for all others."""
+    # Only classes that the filter takes for gone are moved.
+    maybe = _in_filter(gone, *_PLACE, packed=PACKED_CODES)
+    joined = classes.where(maybe).join(gone.withColumn("gone", F.lit(1)), _PLACE, "left")
+    joined = joined.withColumn("open", F.when(F.col("gone").isNull(), 1).otherwise(0)).drop("gone")
+    return classes.where(~maybe).withColumn("open", F.lit(1)).unionByName(joined)
+
+
+def _size_step(n: Column) -> Column:
+    return F.floor(2 * F.log2(n)).cast("int")
+
+
 def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
-    """The entries of all classes that matter to those not ``gone`` which have a candidate; these are open.
+    """The entries that make a candidate pair at their own code, on either side of it. Settled.
 
-    An entry matters if one of the open classes has its code. Settled.
+    Classes not ``gone`` are open; only they are the later one of a pair.
     """
-    marked = classes.join(gone.withColumn("gone", F.lit(1)), _PLACE, "left")
-    marked = marked.withColumn("open", F.when(F.col("gone").isNull(), 1).otherwise(0)).drop("gone")
-    entries = _entries(marked)
+    entries = _entries(_marked(classes, gone))
     # Aliases, not new names: the optimizer moves names on one side only, and the sides would be shuffled apart.
-    asking = entries.alias("b").join(entries.alias("a"), _candidates(percent, "."), "left_semi")
-    asking = settle(asking.select(*_PLACE).distinct(), "line-asking")
-    # Few classes have a candidate, so few entries pass the filter and are moved.
-    asks = classes.where(_in_filter(asking, *_PLACE)).join(asking, _PLACE, "left_semi")
-    codes = settle(asks.select(F.explode("prefix").alias("code")).distinct(), "line-codes")
-    near = _entries(classes.withColumn("open", F.lit(0))).where(_in_filter(codes, "code", packed=PACKED_CODES)).join(codes, "code", "left_semi")
-    opened = near.drop("open").join(asking.withColumn("open", F.lit(1)), _PLACE, "left")
-    return settle(opened.withColumn("open", F.coalesce("open", F.lit(0))), "line-entries")
+    asking = settle(entries.alias("b").join(entries.alias("a"), _candidates(percent, "."), "left_semi"), "line-asking")
+    # Few entries ask, so few pass a filter of their codes with the sizes that match theirs, and are moved.
+    least, most = F.ceil(F.col("n") * percent / 100), F.floor(F.col("n") * 100 / max(percent, 1))
+    steps = F.explode(F.sequence(_size_step(F.greatest(least, F.lit(1))), _size_step(most))).alias("step")
+    asked = asking.select("code", steps).distinct()
+    near = entries.withColumn("step", _size_step(F.col("n"))).where(_in_filter(asked, "code", "step", packed=PACKED_CODES))
+    answers = near.drop("step").alias("a").join(asking.alias("b"), _candidates(percent, "."), "left_semi")
+    return settle(asking.unionByName(answers).distinct(), "line-entries")
 
 
 def _late_by_prefix(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     """The places of open ``entries`` whose words match those of an earlier one; settled."""
-    partners = entries.alias("a").join(entries.alias("b"), _candidates(percent, "."), "left_semi").select(*_PLACE)
-    words = _words(texts, settle(partners.union(entries.where("open = 1").select(*_PLACE)).distinct(), "line-places"))
+    words = _words(texts, settle(entries.select(*_PLACE).distinct(), "line-places"))
     first = F.min(F.struct(*_PLACE, "n", "low", "high", "open", "at")).alias("first")
     late = []
     for number in range(ROUNDS + 1):

@@ -121,3 +121,32 @@ def test_no_python_in_the_plan(spark):
 def test_filters_let_all_names_through(spark, packed):
     names = spark.range(3000).selectExpr("cast(id * 7919 as int) as code")
     assert names.where(lines._in_filter(names, "code", packed=packed)).count() == 3000
+
+
+def test_only_entries_of_candidates_meet(spark):
+    """Lines that share rare words, of which two match; the others are too long, too short or hold other words."""
+    pair = [f"w{i}" for i in range(20)]
+    rows = [(0, " ".join(pair)), (1, " ".join([*pair[:-1], "other"]))]
+    rows += [(i, " ".join(pair[i % 20 : i % 20 + 2] + [f"x{i}y{j}" for j in range(5 + i)])) for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = lines._classes(docs, 1, 80)
+    none = classes.select("doc_id", "line").limit(0)
+    found = lines._sharing_prefix(classes, none, 80)
+    assert {(r.doc_id, r.open) for r in found.collect()} == {(0, 1), (1, 1)}
+    gone = classes.where("doc_id = 1").select("doc_id", "line")
+    assert lines._sharing_prefix(classes, gone, 80).count() == 0
+    assert [r.doc_id for r in lines._late_by_prefix(docs, found, 80).distinct().collect()] == [1]
+
+
+def test_marked_classes(spark):
+    classes = spark.range(50).selectExpr("id as doc_id", "0 as line")
+    gone = spark.range(0, 50, 7).selectExpr("id as doc_id", "0 as line")
+    marked = {r.doc_id: r.open for r in lines._marked(classes, gone).collect()}
+    assert marked == {i: int(i % 7 != 0) for i in range(50)}
+
+
+def test_earliest_by_extreme_without_a_join(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a b c d e f g h i"), (3, "x y z")], "doc_id long, text string")
+    pairs = lines._with_earliest(lines._classes(docs, 1, 80), 80)
+    assert "Join" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in pairs.collect()} <= {(1, 0, 2, 0)}
