@@ -271,6 +271,25 @@ def test_hot_pairs_are_routed_apart(adjacency):
     assert all(set(r.names) == ({"hot1", "hot2"} if r.user != "v" else {"hot1"}) for r in hot)
 
 
+def test_one_hot_name_with_itself_is_one_row(adjacency):
+    """The only hot name stands twice in each list: its pair with itself comes in parts, which are merged."""
+    rows = [(f"u{i:03d}", ["x", "x", f"n{i % 9}"]) for i in range(40)]
+    found = graph.common_friends(adjacency(rows), part_members=10).collect()
+    assert len(found) == len(brute_common(rows)) and {(r.f1, r.f2): list(r.members) for r in found} == brute_common(rows)
+
+
+def test_pairs_take_numbers_not_all_hot_names(adjacency):
+    """Counts lie beside the names, so no pair looks anything up, and the parts are not written between."""
+    rows = random_graph(7)
+    made = graph.common_friends(adjacency(rows), block=2, part_members=1)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_contains_key" not in plan and "map_from_entries" not in plan and "Union" not in plan
+    assert plan.count("collect_set") == 1 and "RepartitionByExpression [f1" in plan
+    lists = graph._with_hot_names(graph._user_lists(adjacency(rows), None), 1)
+    for r in lists.select("names", "counts", "hot").collect():
+        assert dict(zip(r.names, r.counts, strict=True)) == {name: r.hot.get(name) for name in r.names}
+
+
 def test_lines_written_member_by_member(spark, adjacency, tmp_path):
     """The long form as lines: a pair of 30 000 members, repeats, odd names, and a repeated write."""
     rows = [(f"u{i:05d}", ["hot1", "hot2"]) for i in range(30_000)] + random_graph(4) + [("é, [x]", ["n1", "n2"])]
