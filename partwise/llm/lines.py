@@ -11,7 +11,7 @@ line goes if it matches one that comes earlier, by (doc_id, line number).
 4. What is left enters the join under the rarest words of its prefix, |A| - ceil(t |A|) + 1
    of them: matching sets share one there. Length, the words left behind the shared one, and
    the parities of the words' hashes bound the overlap from above before anything is verified.
-   A semi join finds the lines that have any candidate, without a pair.
+   Two semi joins find the entries of candidate pairs, those that ask and those that answer, without a pair.
 5. One earlier match is enough for a line to go. So those few lines meet the earliest line of
    each of their words first, in ``ROUNDS`` rounds, and only lines that no round settles are
    paired with all their candidates.
