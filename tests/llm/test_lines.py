@@ -123,6 +123,14 @@ def test_filters_let_all_names_through(spark, packed):
     assert names.where(lines._in_filter(names, "code", packed=packed)).count() == 3000
 
 
+@pytest.mark.parametrize("packed", [lines.PACKED, lines.PACKED_CODES])
+def test_no_filter_is_written_into_the_plan(spark, packed):
+    names = spark.range(3000).selectExpr("cast(id * 7919 as int) as code")
+    kept = names.where(lines._in_filter(names, "code", packed=packed))
+    kept.count()
+    assert len(kept._jdf.queryExecution().toString()) < 20_000
+
+
 def test_only_entries_of_candidates_meet(spark):
     """Lines that share rare words, of which two match; the others are too long, too short or hold other words."""
     pair = [f"w{i}" for i in range(20)]
