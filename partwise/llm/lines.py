@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from partwise.llm.common import free_name, settle
 
-COUNTERS = 1 << 18
-#: Numbers in the constants that counters and document filters are packed into.
+COUNTER_BITS = 18
+COUNTERS = 1 << COUNTER_BITS
+#: Numbers of 64 bits that a filter of documents is packed into.
 PACKED = 1 << 14
 #: The same for the filter of prefix words, of which a line has several.
 PACKED_CODES = 1 << 17
@@ -58,31 +59,29 @@ def _word_hashes(line: Column) -> Column:
     return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
-def _constant(cells: DataFrame, packed: int = PACKED) -> Column:
-    """(at, bits) as a constant array of ``packed`` numbers; no more rows than that reach the driver."""
-    found = {row["at"]: row["bits"] for row in cells.groupBy("at").agg(F.bit_or("bits").alias("bits")).collect()}
-    return F.split(F.lit(",".join(str(found.get(at, 0)) for at in range(packed))), ",").cast("array<long>")
-
-
 def _rarity(texts: DataFrame) -> Column:
-    """The counters as powers of two, 16 to a number: a constant of fixed size in the plan."""
-    words = texts.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("word"))
-    counter = F.xxhash64("word").bitwiseAND(COUNTERS * 4 - 4).cast("int").alias("counter")
-    counts = words.select(counter).groupBy("counter").agg(F.count("*").alias("n"))
-    level = F.least(F.floor(F.log2("n")), F.lit(15)).cast("long")
-    digit = F.call_function("shiftleft", level, F.col("counter").bitwiseAND(60))
-    return _constant(counts.select(F.shiftright("counter", 6).alias("at"), digit.alias("bits")))
+    """The level of each counter, floor(log2(count)) to 15: a constant array of fixed size in the plan.
 
+    Words are counted as they are written. Their lower-case forms are looked up, and any order is exact.
+    """
+    words = texts.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word"))
+    counts = words.groupBy(_counter(F.xxhash64("word")).alias("counter")).agg(F.count("*").alias("n"))
+    levels = ["0"] * COUNTERS
+    for row in counts.select("counter", F.least(F.floor(F.log2("n")), F.lit(15)).alias("level")).toLocalIterator():
+        levels[row["counter"]] = str(row["level"])
+    return F.split(F.lit(",".join(levels)), ",").cast("array<int>")
 
-def _level(rarity: Column, h: Column) -> Column:
-    """A word's counter is in its hash: bits 6 on name the number, bits 2 to 5 the place in it."""
-    sixteen = F.get(rarity, F.shiftright(h, 6).bitwiseAND(PACKED - 1).cast("int"))
-    return F.call_function("shiftrightunsigned", sixteen, h.bitwiseAND(60).cast("int")).bitwiseAND(15)
 
+def _counter(h: Column) -> Column:
+    """A word's counter is the upper part of its hash."""
+    return F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int")
 
-def _bit(h: Column) -> Column:
-    """One of 64 bits by the hash's bits 57 to 62; a shift looks at six bits only."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 57).cast("int"))
+
+def _parities(hashes: Column) -> Column:
+    """64 bits, flipped by each word at bits 57 to 62 of its hash; a shift looks at six bits only."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    place = lambda h: F.shiftrightunsigned(h, 57).cast("int")
+    return F.aggregate(hashes, zero, lambda bits, h: bits.bitwiseXOR(F.call_function("shiftleft", one, place(h))))
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -105,34 +104,37 @@ def _classes(texts: DataFrame, min_words: int, percent: int) -> DataFrame:
     hashed = _lines(texts).select(*_KEY, *_PLACE, _word_hashes(F.col("text")).alias("hashes"))
 
     def code(h: Column) -> Column:
-        return F.shiftleft(_level(rarity, h), 27).bitwiseOR(F.shiftrightunsigned(h, 37)).cast("int")
+        level = F.shiftleft(F.get(rarity, _counter(h)), 27)
+        # Numbers that cannot be null are sorted as such, not as objects.
+        return F.coalesce(level.bitwiseOR(F.shiftrightunsigned(h, 37).cast("int")), F.lit(0))
 
     n = F.size("hashes")
     prefix = F.slice(F.sort_array(F.transform("hashes", code)), F.lit(1), n - _needed(n, percent) + 1)
-    zero = F.lit(0).cast("long")
-    every = F.aggregate("hashes", zero, lambda bits, h: bits.bitwiseXOR(_bit(h)))
-    high = F.aggregate("hashes", zero, lambda bits, h: F.when(h < 0, bits.bitwiseXOR(_bit(h))).otherwise(bits))
-    hashed = hashed.select(*_KEY, *_PLACE, "hashes", prefix.alias("prefix"), every.alias("every"), high.alias("high"))
-    low = F.col("every").bitwiseXOR(F.col("high"))
+    # The place of a zero among the sorted hashes: those before it are below zero.
+    middle = F.array_position(F.sort_array(F.array_append("hashes", F.lit(0).cast("long"))), F.lit(0).cast("long")).cast("int")
+    hashed = hashed.select(*_KEY, *_PLACE, "hashes", prefix.alias("prefix"), middle.alias("middle"))
+    high = _parities(F.slice("hashes", F.lit(1), F.col("middle") - 1))
+    low = _parities(F.slice("hashes", F.col("middle"), n))
     # Lines of one or two words have fewer extremes, or they would all share the one of no word.
     ends = [F.xxhash64(F.get("hashes", F.lit(i)), F.get("hashes", n - 1 - i), F.lit(i)) for i in range(3)]
     extremes = F.slice(F.array(*ends), F.lit(1), F.least(n, F.lit(3)))
-    row = F.struct(*_PLACE, n.alias("n"), low.alias("low"), F.col("high"), F.col("prefix"), extremes.alias("extremes"))
+    row = F.struct(*_PLACE, n.alias("n"), low.alias("low"), high.alias("high"), F.col("prefix"), extremes.alias("extremes"))
     classes = hashed.select(*_KEY, row.alias("row")).groupBy(*_KEY).agg(F.min("row").alias("row"))
     # Not earlier: a test of the size before the grouping would have the words split twice.
     return classes.where(F.col("row.n") >= min_words).select(*_KEY, "row.*")
 
 
-def _may_match(percent: int, dot: str = "_") -> Column:
-    """Whether lengths and parities allow a match of a and b.
+def _parities_allow(percent: int, dot: str = "_") -> Column:
+    """Whether parities allow a match of a and b: each word that only one of them has flips a bit."""
+    flipped = [F.bit_count(F.col(f"a{dot}{half}").bitwiseXOR(F.col(f"b{dot}{half}"))).cast("double") for half in ("low", "high")]
+    both = F.col(f"a{dot}n").cast("double") + F.col(f"b{dot}n").cast("double")  # doubles are not checked for overflow
+    return (100.0 + percent) * (flipped[0] + flipped[1]) <= (100.0 - percent) * both
 
-    Each word that only one of them has flips a bit, so at least so many words differ.
-    """
+
+def _may_match(percent: int, dot: str = "_") -> Column:
+    """Whether lengths and parities allow a match of a and b."""
     a, b = F.col(f"a{dot}n"), F.col(f"b{dot}n")
-    both = a + b
-    lengths = 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    apart = sum(F.bit_count(F.col(f"a{dot}{half}").bitwiseXOR(F.col(f"b{dot}{half}"))) for half in ("low", "high"))
-    return lengths & ((100 + percent) * (both - apart) >= 2 * percent * both)
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & _parities_allow(percent, dot)
 
 
 _PAIR = ["a_doc_id", "a_line", "b_doc_id", "b_line"]
@@ -157,23 +159,31 @@ def _with_earliest(classes: DataFrame, percent: int) -> DataFrame:
     return entries.select(*sides).where(_earlier() & _may_match(percent)).select(*_PAIR).distinct()
 
 
-def _entries(classes: DataFrame) -> DataFrame:
-    """A row for each prefix word of each class: (doc_id, line, n, low, high, open, at, code)."""
-    return classes.select(*_PLACE, "n", "low", "high", "open", F.posexplode("prefix").alias("at", "code"))
+def _entries(classes: DataFrame, percent: int, *more: str) -> DataFrame:
+    """A row for each prefix word of each class: (doc_id, line, n, low, high, open, most, code) and ``more``.
+
+    ``most`` is the largest n of a line that may match by this word: with the words from here on, ``rest``,
+    as the overlap, (100 + percent) * rest >= percent * (n + most). It bounds the lengths, too.
+    """
+    columns = [*_PLACE, "n", "low", "high", "open", *more]
+    placed = classes.select(*columns, F.posexplode("prefix").alias("at", "code"))
+    most = F.floor((100 + percent) * (F.col("n") - F.col("at")) / max(percent, 1)).cast("int") - F.col("n")
+    placed = placed.withColumn("most", most if percent else F.lit(2**31 - 1))
+    # None of these is null; said here, the joins do not ask that of every pair.
+    return placed.select("doc_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in [*columns[1:], "most", "code"]])
 
 
 def _side(entries: DataFrame, side: str) -> DataFrame:
-    return _named(entries, side, "code", *_PLACE, "n", "low", "high", "open", "at")
+    return _named(entries, side, "code", *_PLACE, "n", "low", "high", "open", "most")
 
 
 def _candidates(percent: int, dot: str = "_") -> Column:
     """Whether an open b may match the earlier a by a word of the prefixes that both have."""
-    a, b = ({c: F.col(f"{side}{dot}{c}") for c in ("code", "n", "at", "open")} for side in "ab")
-    places = (100 + percent) * F.least(a["n"] - a["at"], b["n"] - b["at"]) >= percent * (a["n"] + b["n"])
+    a, b = ({c: F.col(f"{side}{dot}{c}") for c in ("code", "n", "most", "open")} for side in "ab")
+    bounds = (a["n"] <= b["most"]) & (b["n"] <= a["most"])  # the cheapest first
     # b must be open; said of both sides, so that both read the same shuffle.
     opened = 2 * b["open"] + a["open"] >= 2
-    bounds = opened & places & _earlier(dot) & _may_match(percent, dot)  # the cheapest first
-    return (a["code"] == b["code"]) & bounds
+    return (a["code"] == b["code"]) & bounds & _earlier(dot) & _parities_allow(percent, dot) & opened
 
 
 def _marked(classes: DataFrame, gone: DataFrame) -> DataFrame:
@@ -194,14 +204,16 @@ def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFr
 
     Classes not ``gone`` are open; only they are the later one of a pair.
     """
-    entries = _entries(_marked(classes, gone))
+    marked = _marked(classes, gone)
+    entries = _entries(marked, percent)
     # Aliases, not new names: the optimizer moves names on one side only, and the sides would be shuffled apart.
     asking = settle(entries.alias("b").join(entries.alias("a"), _candidates(percent, "."), "left_semi"), "line-asking")
     # Few entries ask, so few pass a filter of their codes with the sizes that match theirs, and are moved.
     least, most = F.ceil(F.col("n") * percent / 100), F.floor(F.col("n") * 100 / max(percent, 1))
     steps = F.explode(F.sequence(_size_step(F.greatest(least, F.lit(1))), _size_step(most))).alias("step")
     asked = asking.select("code", steps).distinct()
-    near = entries.withColumn("step", _size_step(F.col("n"))).where(_in_filter(asked, "code", "step", packed=PACKED_CODES))
+    stepped = _entries(marked.withColumn("step", _size_step(F.col("n"))), percent, "step")
+    near = stepped.where(_in_filter(asked, "code", "step", packed=PACKED_CODES))
     answers = near.drop("step").alias("a").join(asking.alias("b"), _candidates(percent, "."), "left_semi")
     return settle(asking.unionByName(answers).distinct(), "line-entries")
 
@@ -209,7 +221,7 @@ def _sharing_prefix(classes: DataFrame, gone: DataFrame, percent: int) -> DataFr
 def _late_by_prefix(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     """The places of open ``entries`` whose words match those of an earlier one; settled."""
     words = _words(texts, settle(entries.select(*_PLACE).distinct(), "line-places"))
-    first = F.min(F.struct(*_PLACE, "n", "low", "high", "open", "at")).alias("first")
+    first = F.min(F.struct(*_PLACE, "n", "low", "high", "open", "most")).alias("first")
     late = []
     for number in range(ROUNDS + 1):
         asked = entries
@@ -292,8 +304,8 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = PERC
     removed = removed_lines(rows.where("doc_id is not null"), min_words, percent)
     listed = removed.groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("removed"))
     listed = listed.select(F.col("doc_id").alias("id"), "removed")
-    sizes = rows.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
-    sizes = sizes.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    sizes = rows.select("doc_id", F.coalesce(breaks + 1, F.lit(0)).alias("n_lines"))
     joined = sizes.join(listed, F.col("doc_id") == F.col("id"), "left")
     own = F.filter(F.coalesce("removed", F.array().cast("array<int>")), lambda line: line < F.col("n_lines"))
     return joined.select("doc_id", "n_lines", own.alias("removed")).select(

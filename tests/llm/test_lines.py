@@ -131,6 +131,22 @@ def test_no_filter_is_written_into_the_plan(spark, packed):
     assert len(kept._jdf.queryExecution().toString()) < 20_000
 
 
+def test_entries_are_told_apart_by_lengths_alone(spark):
+    """``most`` is the exact bound of lengths and places, and nothing that a pair is asked for can be null."""
+    classes = lines._classes(spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(40)))], "doc_id long, text string"), 1, 80)
+    assert not classes.schema["prefix"].dataType.containsNull
+    entries = lines._entries(classes.selectExpr("*", "1 as open"), 80)
+    assert [f.name for f in entries.schema if f.nullable] == ["doc_id"]
+    most = sorted(r.most for r in entries.collect())
+    assert most == sorted(max(n for n in range(200) if 180 * (40 - at) >= 80 * (40 + n)) for at in range(9))
+
+
+@pytest.mark.parametrize(("text", "n_lines"), [(None, 0), ("", 1), ("a", 1), ("\n", 2), ("a\n\né\n", 4), ("a\r\nb", 2)])
+def test_number_of_lines(spark, text, n_lines):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert lines.line_report(docs).first().n_lines == n_lines
+
+
 def test_only_entries_of_candidates_meet(spark):
     """Lines that share rare words, of which two match; the others are too long, too short or hold other words."""
     pair = [f"w{i}" for i in range(20)]
