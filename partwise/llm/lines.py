@@ -78,10 +78,13 @@ def _counter(h: Column) -> Column:
 
 
 def _parities(hashes: Column) -> Column:
-    """64 bits, flipped by each word at bits 57 to 62 of its hash; a shift looks at six bits only."""
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    place = lambda h: F.shiftrightunsigned(h, 57).cast("int")
-    return F.aggregate(hashes, zero, lambda bits, h: bits.bitwiseXOR(F.call_function("shiftleft", one, place(h))))
+    """64 bits, each word flips that of its hash's bits 57 to 62; a shift looks at six bits only."""
+
+    def flipped(bits: Column, h: Column) -> Column:
+        place = F.shiftrightunsigned(h, 57).cast("int")
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+
+    return F.aggregate(hashes, F.lit(0).cast("long"), flipped)
 
 
 def _needed(n: Column, percent: int) -> Column:
